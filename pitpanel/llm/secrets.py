@@ -1,0 +1,124 @@
+"""Secret scans over an incremental blob ledger, with DataFrame functions only.
+
+A text is a blob named by its SHA-256. However many paths, versions or copies carry a
+blob, it is scanned once per rule version: pairs of blob and rule version that a ledger
+already lists are left out, and findings join back to all rows that carry the blob.
+Spans come from the pieces between matches: their lengths and those of the matches, summed
+in order, are the offsets.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import text_of
+
+
+@dataclass(frozen=True)
+class Rule:
+    """``pattern`` finds leftmost non-overlapping matches; a match stays if its ``group``
+    has at least ``least`` characters. ``hint`` matches wherever the pattern can."""
+
+    name: str
+    version: int
+    pattern: str
+    hint: str
+    group: int = 0
+    least: int = 1
+
+
+# The rules. A run of hex digits or capitals is taken whole, so its least
+# length can stand in the pattern; the lookbehind keeps long runs from being tried again.
+RULES = (
+    Rule("assign", 1, r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", r"(?i)(?:pass(?:word|wd)|secret|token|api_?key)[\"']?\x20*[:=]", 2, 6),
+    Rule("access", 1, r"AKIA[A-Z0-9]{16,}", r"AKIA[A-Z0-9]{16}"),
+    Rule("hex", 1, r"(?<![0-9a-f])[0-9a-f]{24,}", r"[0-9a-f]{24}"),
+)
+
+
+def blob_id(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def unseen(blobs: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None) -> DataFrame:
+    """``blob, rules``: the names of the rules whose version has not scanned the blob."""
+    every = F.array(*(F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules))
+    if ledger is None:
+        return blobs.withColumn("rules", every["rule"])
+    pairs = blobs.select("blob", F.explode(every).alias("r")).select("blob", "r.rule", "r.version")
+    return pairs.join(ledger, ["blob", "rule", "version"], "left_anti").groupBy("blob").agg(F.collect_set("rule").alias("rules"))
+
+
+def scan(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob, rule, start, end`` for each finding in ``blob, text, rules``; code points,
+    end exclusive."""
+    hit = texts.withColumns(
+        {f"hit_{r.name}": F.array_contains("rules", r.name) & F.col("text").rlike(r.hint) for r in rules}
+    )
+    found = [
+        F.when(
+            F.col(f"hit_{r.name}"),
+            F.struct(
+                F.lit(r.name).alias("rule"),
+                F.regexp_extract_all("text", F.lit(r.pattern), F.lit(0)).alias("matches"),
+                F.split("text", r.pattern, -1).alias("pieces"),
+                (F.regexp_extract_all("text", F.lit(r.pattern), F.lit(r.group)) if r.group else F.lit(None).cast("array<string>")).alias("groups"),
+            ),
+        )
+        for r in rules
+    ]
+    some = hit.where(" or ".join(f"hit_{r.name}" for r in rules)).select("blob", F.explode(F.array_compact(F.array(*found))).alias("f"))
+    each = some.select("blob", "f.rule", F.posexplode(F.arrays_zip("f.matches", "f.pieces", "f.groups")).alias("i", "m"))
+    measured = each.where(F.col("m.matches").isNotNull()).select(
+        "blob", "rule", "i", F.length("m.pieces").cast("long").alias("gap"), F.length("m.matches").cast("long").alias("n"), F.length("m.groups").alias("g")
+    )
+    # one text's matches of one rule at a time, so a partition is bounded by a text
+    upto = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    least = F.coalesce(*(F.when(F.col("rule") == r.name, F.lit(r.least)) for r in rules))
+    return measured.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto)).where(F.coalesce("g", "n") >= least).select(
+        "blob", "rule", (F.col("end") - F.col("n")).alias("start"), "end"
+    )
+
+
+def scan_new(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(findings, ledger rows to append) for the blobs of ``docs`` that ``ledger``
+    (``blob, rule, version``) lacks. Copies of a text meet before the shuffle."""
+    t = docs.select(text_of().alias("text"))
+    blobs = t.select(blob_id(F.col("text")).alias("blob"), "text").groupBy("blob").agg(F.first("text").alias("text"))
+    if ledger is None:
+        texts = unseen(blobs, rules, None)
+    else:
+        texts = blobs.join(unseen(t.select(blob_id(F.col("text")).alias("blob")).distinct(), rules, ledger), "blob")
+    versions = F.create_map(*(x for r in rules for x in (F.lit(r.name), F.lit(r.version))))
+    scanned = texts.select("blob", F.explode("rules").alias("rule")).withColumn("version", versions[F.col("rule")])
+    return scan(texts, rules), scanned
+
+
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, known: DataFrame | None = None, ledger: DataFrame | None = None) -> DataFrame:
+    """``doc_id, n_<rule>..., base_sha256, spans`` for each row of ``docs``.
+
+    ``known`` holds findings of earlier scans, for the pairs in ``ledger``. Null text
+    counts as empty, without findings: counts 0, empty ``spans``. Repeated rows and copies
+    get equal results from one scan. Other columns are ignored; an empty table gives an
+    empty result. ``spans`` lists kind:start:end by start, then in the order of ``rules``.
+    """
+    found, _ = scan_new(docs, rules, ledger)
+    if known is not None:
+        found = found.unionByName(known.select("blob", "rule", "start", "end")).distinct()
+    place = F.coalesce(*(F.when(F.col("rule") == r.name, F.lit(i)) for i, r in enumerate(rules)))
+    per_blob = found.groupBy("blob").agg(
+        *(F.count_if(F.col("rule") == r.name).alias(f"n_{r.name}") for r in rules),
+        F.sort_array(F.collect_list(F.struct("start", place.alias("place"), "end"))).alias("all"),
+    )
+    shown = F.array_join(
+        F.transform("all", lambda x: F.concat_ws(":", F.element_at(F.array(*(F.lit(r.name) for r in rules)), x["place"] + 1), x["start"], x["end"])), ","
+    )
+    per_blob = per_blob.withColumn("spans", shown).drop("all")
+    carried = docs.select("doc_id", blob_id(text_of()).alias("blob")).join(per_blob, "blob", "left")
+    spans = F.coalesce("spans", F.lit(""))
+    return carried.select(
+        "doc_id", *(F.coalesce(f"n_{r.name}", F.lit(0)).cast("long").alias(f"n_{r.name}") for r in rules), F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans")
+    )
