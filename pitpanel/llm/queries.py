@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, secrets, simhash, tokens
+from . import blobscan, media, mixing, simhash, tokens
 from .common import table
 
 
@@ -27,7 +27,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return blobscan.find_secrets(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
