@@ -9,10 +9,10 @@ buckets per source; documents are filtered by comparing a hash.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, row_key, stored, text_of
+from .common import WORD, fresh, row_key, stored, text_of
 
 #: Weights that repeat over the sources in code-point order.
 WEIGHTS = (1, 2, 3)
@@ -22,15 +22,18 @@ REPEATS = 3
 BITS, LEVELS = 12, 3
 
 
+def words() -> Column:
+    return F.regexp_count(text_of(), F.lit(f"({WORD})")).cast("long")
+
+
+def position() -> Column:
+    """A hash of ``BITS * LEVELS`` bits of a row's id and text."""
+    return F.conv(F.substring(row_key(), 1, BITS * LEVELS // 4), 16, 10).cast("long")
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size, h``: words of the text and a hash of ``BITS * LEVELS`` bits."""
-    digits = BITS * LEVELS // 4
-    return docs.select(
-        "doc_id",
-        F.col("source").cast("string").alias("source"),
-        F.regexp_count(text_of(), F.lit(f"({WORD})")).cast("long").alias("size"),
-        F.conv(F.substring(row_key(), 1, digits), 16, 10).cast("long").alias("h"),
-    )
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words().alias("size"), position().alias("h"))
 
 
 def targets(per_source: DataFrame) -> DataFrame:
@@ -101,6 +104,16 @@ def thresholds(sizes: DataFrame, budgeted: DataFrame) -> DataFrame:
     return bounds.select("source", (F.col("prefix") + F.when(nearer, 1).otherwise(0)).alias("below"))
 
 
+def plan(sizes: DataFrame) -> DataFrame:
+    """``source, source_size, target, times, below``: what the mix takes of each source."""
+    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    budgeted = stored(budgets(targets(per_source)), "mix-budgets")
+    below = thresholds(sizes, budgeted)
+    joined = budgeted.alias("p").join(below.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")), "left")
+    # one row per source; Spark broadcasts it if it is small enough
+    return stored(joined.select("p.source", "p.source_size", "p.target", "p.times", F.coalesce("t.below", F.lit(0)).alias("below")), "mix-plan")
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for each row of ``docs``.
 
@@ -111,15 +124,21 @@ def mix(docs: DataFrame) -> DataFrame:
     0. Other columns are ignored; an empty table gives an empty result.
     """
     sizes = stored(sized(docs), "mix-sizes")
-    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    budgeted = stored(budgets(targets(per_source)), "mix-budgets")
-    below = thresholds(sizes, budgeted)
-    plan = stored(
-        budgeted.alias("p").join(below.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")), "left")
-        .select("p.source", "p.source_size", "p.target", "p.times", F.coalesce("t.below", F.lit(0)).alias("below")),
-        "mix-plan",
-    )  # one row per source; Spark broadcasts it if it is small enough
     taken = F.col("s.size") * (F.col("p.times") + F.when(F.col("s.h") < F.col("p.below"), 1).otherwise(0))
-    return sizes.alias("s").join(plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select(
+    return sizes.alias("s").join(plan(sizes).alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select(
         "s.doc_id", "s.size", "p.source_size", "p.target", taken.cast("long").alias("taken")
     )
+
+
+def take(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with all their columns and ``size`` and
+    ``taken``; columns of these names are replaced. Rows without words are never taken."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("size", "taken")])
+    sizes = stored(sized(docs), "mix-sizes")
+    own, h, size, *theirs = fresh(docs, "mix_own", "mix_h", "mix_size", "mix_source", "mix_times", "mix_below")
+    parts = plan(sizes).select(*(F.col(c).alias(n) for c, n in zip(("source", "times", "below"), theirs)))
+    marked = docs.withColumns({own: F.col("source").cast("string"), size: words(), h: position()})
+    joined = marked.join(parts, F.col(own).eqNullSafe(F.col(theirs[0])))
+    taken = F.col(size) * (F.col(theirs[1]) + F.when(F.col(h) < F.col(theirs[2]), 1).otherwise(0))
+    out = joined.withColumns({"size": F.col(size), "taken": taken.cast("long")}).where("taken > 0")
+    return out.select(*docs.columns, "size", "taken")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blobscan, media, mixing, simhash, tokens
+from . import blobscan, decontam, linededup, media, mixing, pii, quality, simhash, tokens, toxicity
 from .common import table
 
 
@@ -22,6 +22,23 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.without_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_chars", "n_lines", "n_removed")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = quality.select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return chosen.select("doc_id", "source", "lang", "n_chars", "log_weight")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -30,5 +47,14 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blobscan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media_matroska, op2_simhash, op3_mixing, op8_token_counts, op9_secrets)}
+    found = (op1_media_matroska, op2_simhash, op3_mixing, op4_decontamination, op5_toxicity, op6_line_dedup, op7_quality, op8_token_counts, op9_secrets, op10_personal_data)
+    return {f.__name__: f for f in found}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
