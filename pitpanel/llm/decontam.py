@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,8 +167,6 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int
 
 def clean_mark(shared):
     """A column function: whether a text overlaps nothing in a block."""
-    import pandas as pd
-
     @F.pandas_udf("boolean")
     def mark(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: not overlaps(text, shared.value)).astype(bool)
