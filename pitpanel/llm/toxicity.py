@@ -112,22 +112,42 @@ def features(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(weight > 0, index, -1), weight / np.maximum(norm, 1e-12)
 
 
-def dense(strings: list[str]) -> np.ndarray:
-    """The feature rows in full; for the landmarks only."""
-    out = np.zeros((len(strings), CLASSES**3), np.float32)
-    index, weight = features(strings)
-    for row, i, w in zip(out, index, weight):
-        row[i[i >= 0]] = w[i >= 0]
-    return out
+@dataclass
+class Landmarks:
+    """Unit feature rows of the landmarks over the triples that any of them has:
+    ``place`` gives each triple's column, -1 for the others."""
 
+    place: np.ndarray
+    rows: np.ndarray
 
-def kernel(strings: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """Kernel of each string with each landmark, given as dense rows; 1 for equal strings."""
-    out = np.zeros((len(strings), len(landmarks)))
-    index, weight = features(strings)
-    for k, (i, w) in enumerate(zip(index, weight)):
-        out[k] = landmarks[:, i[i >= 0]] @ w[i >= 0]
-    return out
+    @staticmethod
+    def of(strings: list[str]) -> Landmarks:
+        index, weight = features(strings)
+        found = np.unique(index[index >= 0])
+        place = np.full(CLASSES**3, -1, np.int32)
+        place[found] = np.arange(len(found))
+        rows = np.zeros((len(strings), len(found)))
+        for row, i, w in zip(rows, index, weight):
+            row[place[i[i >= 0]]] = w[i >= 0]
+        return Landmarks(place, rows)
+
+    def kernel(self, strings: list[str], part: int = 512) -> np.ndarray:
+        """Kernel of each string with each landmark; 1 for equal strings. Strings are taken
+        some at a time, as their triples need far more room than the result."""
+        out = np.zeros((len(strings), len(self.rows)))
+        for begin in range(0, len(strings), part):
+            index, weight = features(strings[begin : begin + part])
+            for k, (i, w) in enumerate(zip(index, weight), begin):
+                at = self.place[i]
+                both = (i >= 0) & (at >= 0)
+                out[k] = self.rows[:, at[both]] @ w[both]
+        return out
+
+    def table(self, weights: np.ndarray) -> np.ndarray:
+        """A weighted sum of landmarks as one number for each triple."""
+        out = np.zeros(CLASSES**3)
+        out[self.place >= 0] = self.rows.T @ weights
+        return out
 
 
 @dataclass
@@ -164,18 +184,19 @@ def train_words(bad: list[tuple[str, int]], good: list[tuple[str, int]]) -> tupl
     frequent words of both kinds, one half each."""
     marks = [w for w, _ in bad[: LANDMARKS // 2]]
     marks += [w for w, _ in good[: LANDMARKS - len(marks)]]
-    base = dense(marks)
-    values, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
+    base = Landmarks.of(marks)
+    values, vectors = np.linalg.eigh(base.rows @ base.rows.T)
     stay = values > 1e-6 * values.max()
     root = vectors[:, stay] / np.sqrt(values[stay])
     strings = [w for w, _ in bad + good]
-    x = np.hstack([kernel(strings, base) @ root, np.ones((len(strings), 1))])
+    x = np.ones((len(strings), root.shape[1] + 1))
+    x[:, :-1] = base.kernel(strings) @ root
     y = np.array([1.0] * len(bad) + [-1.0] * len(good))
     share = np.array([n for _, n in bad + good], float) ** 0.5
     for side in (y > 0, y < 0):
         share[side] /= share[side].sum()
     w = machine(x, y, share * len(y))
-    return (base.T.astype(np.float64) @ (root @ w[:-1])), float(w[-1])
+    return base.table(root @ w[:-1]), float(w[-1])
 
 
 class Decisions(dict):
