@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import stored, text_of
 
 
 @dataclass(frozen=True)
@@ -116,7 +116,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, known: DataFr
     shown = F.array_join(
         F.transform("all", lambda x: F.concat_ws(":", F.element_at(F.array(*(F.lit(r.name) for r in rules)), x["place"] + 1), x["start"], x["end"])), ","
     )
-    per_blob = per_blob.withColumn("spans", shown).drop("all")
+    # written out, so that a blob that many rows carry meets a table, whose join Spark can split
+    per_blob = stored(per_blob.withColumn("spans", shown).drop("all"), "blob-findings")
     carried = docs.select("doc_id", blob_id(text_of()).alias("blob")).join(per_blob, "blob", "left")
     spans = F.coalesce("spans", F.lit(""))
     return carried.select(
