@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, row_key, text_of
+from .common import fresh, row_key, stored, text_of
 
 # The masks, each with six compared words.
 MASKS = ("111111", "1111011", "11011011", "101101011")
@@ -157,16 +157,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that overlap no test item, with all their columns. They are
     filtered where they lie, a pass for each block."""
-    for rows in blocks(benchmark, block_words):
+    (mark,) = fresh(docs, "is_clean")
+    for i, rows in enumerate(blocks(benchmark, block_words)):
+        if i:  # so that no worker holds more than one block
+            docs = stored(docs, "decontaminated")
         shared = docs.sparkSession.sparkContext.broadcast(build(rows))
-
-        mark = fresh(docs, "is_clean")[0]
         docs = docs.withColumn(mark, clean_mark(shared)(text_of())).where(mark).drop(mark)
     return docs
 
 
 def clean_mark(shared):
     """A column function: whether a text overlaps nothing in a block."""
+
     @F.pandas_udf("boolean")
     def mark(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: not overlaps(text, shared.value)).astype(bool)
