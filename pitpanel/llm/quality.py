@@ -144,8 +144,10 @@ def kth_largest(keys: DataFrame, k: int) -> int:
     return prefix
 
 
-def select(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, temperature: float = TEMPERATURE) -> DataFrame:
-    """The rows of ``docs`` in the sample, with all their columns and ``log_weight``.
+def select(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None, sample: int = SAMPLE, temperature: float = TEMPERATURE) -> DataFrame:
+    """The rows of ``docs`` in the sample, with their ``columns`` (all if not given) and
+    ``log_weight``. Each text is read twice, for the raw model and for its weight; the
+    columns are written out with the weight, so that the cut reads no text again.
 
     The target model is that of labelled rows of quality 1, the raw model that of all
     rows. k is the number of rows whose weight is over the cut that parts the labels best.
@@ -162,11 +164,13 @@ def select(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, temperature
     ratio = spark.sparkContext.broadcast(log_ratio(counts(labelled.where("y = 1").select("text")), counts(docs.select(text_of().alias("text")))))
     cut = best_cut([(r["w"], r["y"]) for r in labelled.select(weight(F.col("text"), ratio).alias("w"), "y").collect()])
 
+    kept = docs.columns if columns is None else [c for c in columns if c != "log_weight"]
     (level,) = fresh(docs, "level")
     scored = docs.withColumn("log_weight", weight(text_of(), ratio))
     noisy = F.col("log_weight") + temperature * gumbel(row_key())
     # a weight is within +-log of the counts' ratio; 2**48 steps hold any to 2**-40
     scored = scored.withColumn(level, F.floor((F.greatest(F.lit(-100.0), F.least(F.lit(100.0), noisy)) + 128.0) * STEPS).cast("long"))
-    keys = stored(scored.select(F.col("log_weight").alias("w"), F.col(level).alias("level")), "quality-keys")
-    k = keys.where(F.col("w") >= F.lit(cut)).count() if cut > float("-inf") else keys.count()
-    return scored.where(F.col(level) >= kth_largest(keys, k)).drop(level) if k else scored.where(F.lit(False)).drop(level)
+    scored = stored(scored.select(*kept, "log_weight", level), "quality-scores")
+    k = scored.where(F.col("log_weight") >= F.lit(cut)).count() if cut > float("-inf") else scored.count()
+    least = kth_largest(scored.select(F.col(level).alias("level")), k) if k else 1 << 60
+    return scored.where(F.col(level) >= least).drop(level)

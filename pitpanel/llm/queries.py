@@ -35,8 +35,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = quality.select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return chosen.select("doc_id", "source", "lang", "n_chars", "log_weight")
+    return quality.select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id", "source", "lang", "n_chars"])
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
