@@ -65,7 +65,7 @@ def scan(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
                 F.lit(r.name).alias("rule"),
                 F.regexp_extract_all("text", F.lit(r.pattern), F.lit(0)).alias("matches"),
                 F.split("text", r.pattern, -1).alias("pieces"),
-                (F.regexp_extract_all("text", F.lit(r.pattern), F.lit(r.group)) if r.group else F.lit(None).cast("array<string>")).alias("groups"),
+                F.regexp_extract_all("text", F.lit(r.pattern), F.lit(r.group)).alias("groups"),
             ),
         )
         for r in rules
@@ -78,7 +78,7 @@ def scan(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     # one text's matches of one rule at a time, so a partition is bounded by a text
     upto = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     least = F.coalesce(*(F.when(F.col("rule") == r.name, F.lit(r.least)) for r in rules))
-    return measured.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto)).where(F.coalesce("g", "n") >= least).select(
+    return measured.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto)).where(F.col("g") >= least).select(
         "blob", "rule", (F.col("end") - F.col("n")).alias("start"), "end"
     )
 

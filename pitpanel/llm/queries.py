@@ -55,5 +55,50 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+MIXING_SQL = r"""with s as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+    cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, 9) as bigint) as h from documents),
+  p as (select source, cast(sum(size) as bigint) as source_size from s group by 1),
+  w as (select *, source_size * 3 as cap, (row_number() over (order by source nulls last) - 1) % 3 + 1 as w from p),
+  r as (select *, cast(cap as double) / w as ratio from w),
+  l as (select *, cast(sum(source_size) over () - sum(cap) over (order by ratio, source nulls last rows unbounded preceding) + cap as double)
+      / sum(w) over (order by ratio, source nulls last rows between current row and unbounded following) as level from r),
+  c as (select *, max(case when ratio > level then level end) over () as common from l),
+  t as (select source, source_size, case when common is null or ratio <= common then cast(cap as double) else w * common end as target from c),
+  b as (select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as times from t),
+  g as (select source, h, sum(size) as n from s group by 1, 2),
+  u as (select g.source, g.h, g.n, b.target - b.times * b.source_size as budget, sum(g.n) over (partition by g.source order by g.h) as upto
+      from g join b on g.source is not distinct from b.source),
+  x as (select source, min(h) as edge, min_by(upto - n, h) as before, min_by(n, h) as n, any_value(budget) as budget from u where upto > budget group by 1),
+  y as (select source, edge + case when before + n - budget < budget - before then 1 else 0 end as below from x)
+select s.doc_id, s.size, b.source_size, b.target, cast(s.size * (b.times + case when s.h < coalesce(y.below, 0) then 1 else 0 end) as bigint) as taken
+from s join b on s.source is not distinct from b.source left join y on s.source is not distinct from y.source"""
+
+LINES_SQL = """with d as (select row_number() over () as k, doc_id, source, text, string_split(text, chr(10)) as ls from documents),
+  l as (select k, source, unnest(ls) as line, generate_subscripts(ls, 1) as place from d),
+  t as (select *, trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) as body from l),
+  bad as (select body from t where length(body) >= 16 group by body having count(distinct coalesce('s' || source, '')) >= 8),
+  m as (select t.*, bad.body is not null as gone from t left join bad on bad.body = t.body),
+  a as (select k, count(*) as n_lines, count(*) filter (where gone) as n_removed, string_agg(line, chr(10) order by place) filter (where not gone) as rest from m group by 1),
+  o as (select d.doc_id, d.source, case when coalesce(a.n_removed, 0) = 0 then d.text else coalesce(a.rest, '') end as text, coalesce(a.n_lines, 0) as n_lines, coalesce(a.n_removed, 0) as n_removed
+      from d left join a on a.k = d.k)
+select doc_id, source, text, cast(length(text) as bigint) as n_chars, n_lines, n_removed from o"""
+
+
+SECRETS_SQL = r"""with d as (select row_number() over () as k, doc_id, coalesce(text, '') as t from documents),
+  rules as (select * from (values
+      (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["' || chr(39) || ']?\x20*[:=]\x20*["' || chr(39) || ']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+      (1, 'access', '(AKIA[A-Z0-9]+)', 1, 20), (2, 'hex', '([0-9a-f]+)', 1, 24)) r(place, kind, pattern, grp, least)),
+  f as (select k, place, kind, least, string_split_regex(t, pattern) as pieces, regexp_extract_all(t, pattern, 0) as found,
+      case when grp = 2 then regexp_extract_all(t, pattern, 2) else regexp_extract_all(t, pattern, 1) end as groups from d, rules where regexp_matches(t, pattern)),
+  e as (select k, place, kind, least, unnest(pieces) as piece, unnest(found) as hit, unnest(groups) as g, generate_subscripts(pieces, 1) as i from f),
+  m as (select *, sum(length(piece) + coalesce(length(hit), 0)) over (partition by k, place order by i) as stop from e),
+  s as (select k, place, kind, cast(stop - length(hit) as bigint) as start, cast(stop as bigint) as stop from m where hit is not null and length(g) >= least),
+  j as (select k, string_agg(kind || ':' || start || ':' || stop, ',' order by start, place) as spans, count(*) filter (where kind = 'assign') as n_assign,
+      count(*) filter (where kind = 'access') as n_access, count(*) filter (where kind = 'hex') as n_hex from s group by k)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join j on j.k = d.k"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that it can express in full."""
+    return {"op3_mixing": MIXING_SQL, "op6_line_dedup": LINES_SQL, "op9_secrets": SECRETS_SQL}
