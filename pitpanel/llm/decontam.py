@@ -82,13 +82,14 @@ def build(rows: list[tuple[int, str]]) -> Block:
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
-    """(begin, end, equal words) of the stretch with the largest sum, an equal word being
-    worth 1 and another what makes ``SHARE`` of equal words worth 0."""
-    worth = np.where(equal, 1.0, -SHARE / (1 - SHARE))
-    total = np.concatenate(([0.0], np.cumsum(worth)))
+    """(begin, end, equal words) of the stretch with the largest sum, the longest of several:
+    equal words count for it and others against it so that ``SHARE`` of equal ones is 0."""
+    worth = np.where(equal, round(100 * (1 - SHARE)), -round(100 * SHARE))
+    total = np.concatenate(([0], np.cumsum(worth)))
     low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    begin = int(np.flatnonzero(total[: end + 1] == low[end])[-1])
+    gain = total - low
+    end = int(np.flatnonzero(gain == gain.max())[-1])
+    begin = int(np.flatnonzero(total[: end + 1] == low[end])[0])
     return begin, end, int(equal[begin:end].sum())
 
 
