@@ -33,6 +33,8 @@ CLASSES = 64
 #: Characters of a word that the kernel sees at once; a longer word is seen in such pieces.
 WIDTH = 24
 LANDMARKS, VOCABULARY, SAMPLE, HARD_ROUNDS = 256, 10_000, 20_000, 2
+#: So many of the most frequent insults also come in with letters doubled and marks put in.
+DISTURBED = 40
 #: A word of the training rows is an example of label 1 if at least so many toxic documents
 #: have it, and toxic ones make up this share of its documents after weighing both labels equally.
 SUPPORT, PURITY = 3, 0.9
@@ -179,6 +181,12 @@ def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1
     return w
 
 
+def disturbed(word: str) -> list[str]:
+    """A word with a letter doubled or a mark put in at each place, and with marks all over."""
+    places = range(1, len(word))
+    return [word[:i] + word[i - 1] + word[i:] for i in places] + [word[:i] + "." + word[i:] for i in places] + [".".join(word)]
+
+
 def train_words(bad: list[tuple[str, int]], good: list[tuple[str, int]]) -> tuple[np.ndarray, float]:
     """Table and bias from words with their document counts. Landmarks are the most
     frequent words of both kinds, one half each."""
@@ -188,6 +196,9 @@ def train_words(bad: list[tuple[str, int]], good: list[tuple[str, int]]) -> tupl
     values, vectors = np.linalg.eigh(base.rows @ base.rows.T)
     stay = values > 1e-6 * values.max()
     root = vectors[:, stay] / np.sqrt(values[stay])
+    for w, n in bad[:DISTURBED]:
+        forms = [f for f in disturbed(w) if len(f) <= WIDTH] if len(w) > 3 else []
+        bad = bad + [(f, n / len(forms)) for f in forms]
     strings = [w for w, _ in bad + good]
     x = np.ones((len(strings), root.shape[1] + 1))
     x[:, :-1] = base.kernel(strings) @ root
