@@ -32,7 +32,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(docs).where("doc_id <=> component_id")
     kept = stored(groups.groupBy(F.col("doc_id").alias(first)).agg(F.count(F.lit(1)).alias(n)), "kept-ids")
     same = docs["doc_id"].eqNullSafe(F.col(first))
-    out = docs.join(kept.where(F.col(n) == 1), same, "left_semi")
+    # the kept ids grow with the corpus, so they are never broadcast, however small they are
+    out = docs.join(kept.where(F.col(n) == 1).hint("merge"), same, "left_semi")
     several = kept.where(F.col(n) > 1)
     if several.isEmpty():
         return out
