@@ -75,7 +75,9 @@ def links(fps: DataFrame) -> DataFrame:
     connected components are those of all such pairs."""
     near, far = masks()
     even = F.bit_count("fp") % 2 == 0
-    variants = fps.select("fp", F.explode(F.when(even, F.lit(near + far)).otherwise(F.lit(near))).alias("mask")).select(
+    # a file of fingerprints is small, but each makes hundreds of variants: deal them out first
+    dealt = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    variants = dealt.select("fp", F.explode(F.when(even, F.lit(near + far)).otherwise(F.lit(near))).alias("mask")).select(
         "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant")
     )
     met = variants.repartition("variant").withColumn("away", F.bit_count(F.col("fp").bitwiseXOR(F.col("variant"))))
