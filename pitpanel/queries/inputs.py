@@ -10,7 +10,7 @@ from ..plans import windows as pl
 from ..schemas import DAILY, require_columns
 from ..sources import extract as ex
 from ..sources import tables as ta
-from .base import B, END, FACTORS, LOOKBACK, P, PLAN, Run, near, query, sql_near, table
+from .base import B, END, FACTORS, P, Run, near, query, sql_near, table
 
 # fmt: off
 DAYS = ", ".join(DAILY.names)

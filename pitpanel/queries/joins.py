@@ -10,7 +10,7 @@ from ..operators import events as ev
 from ..operators import joins as jo
 from ..operators import normalize as no
 from ..operators import panel as pa
-from .base import B, END, FEATURES, HORIZON, ISSUE, KNOWN, LABELS, OFFSET, P, PANEL, PLAN, AUDIT, STATE, Run, near, query, sql_near
+from .base import AUDIT, B, END, HORIZON, ISSUE, KNOWN, OFFSET, P, PANEL, PLAN, Run, near, query, sql_near
 
 # fmt: off
 ON = f"h.permno = f.permno and f.date >= h.valid_from and f.date <= coalesce(h.valid_to, {END})"

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as ag
 from ..operators import audit as au
 from ..operators import factors as fa
-from ..operators import features as fe
 from ..operators import index as ix
 from ..operators import labels as la
 from ..operators import normalize as no
