@@ -275,15 +275,16 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int =
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows whose crc32(doc_id as text) mod 5 is not 0.
 
-    Document counts of words come from all of them; the machine sees the VOCABULARY words of
-    each kind that most documents have, and the logistic function SAMPLE rows at most. With
-    labels of one kind only the model scores every text alike.
+    At most ``sample`` labelled ids, by hash, are learned from, so that the ids that join the
+    documents are of bounded size; the machine sees the VOCABULARY words of each kind that
+    most of these documents have. With labels of one kind only every text scores alike.
     """
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
-    rows = stored(docs.select("doc_id", text_of().alias("text")).join(known, "doc_id").select("doc_id", "text", "y"), "toxicity-rows")
+    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = stored(docs.select("doc_id", text_of().alias("text")).join(F.broadcast(known), "doc_id").select("doc_id", "text", "y"), "toxicity-rows")
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         flat = 3.0 if sizes.get(1) else -3.0
@@ -310,7 +311,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         more = hard.where("d > -1").orderBy(F.desc("d"), "word").limit(VOCABULARY).collect()
         good = list(dict(good + [(r["word"], r["n0"]) for r in more]).items())
         model = Model(*train_words(bad, good), np.zeros(4))
-    seen = mark_rows(rows.orderBy(F.xxhash64("doc_id")).limit(SAMPLE) if sum(sizes.values()) > SAMPLE else rows, model).collect()
+    seen = mark_rows(rows, model).collect()
     x = np.array([r[1:] for r in seen], float)
     model.logistic = logistic(x, np.array([r[0] for r in seen], float))
     return model
