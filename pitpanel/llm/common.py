@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def local_dir() -> str:
+    return tempfile.mkdtemp(prefix="spark-shared-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share; only an unset one gets a local default."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """Folder that driver and executors share, as the cluster names it; only where it names
+    none, as in tests, a local one of this process."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or local_dir()).rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
