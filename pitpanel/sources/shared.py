@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def local_dir() -> str:
+    return tempfile.mkdtemp(prefix="spark-shared-")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster names; only an unset one gets a local default."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    """A new path in the folder that the cluster names; only where it names none, as in tests,
+    in a local one of this process."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or local_dir()
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
