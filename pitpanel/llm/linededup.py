@@ -3,7 +3,8 @@
 A line hash gets a HyperLogLog sketch of the sites that it occurs on. Sketches are made in
 each task and merged by the aggregation, so a line costs a bounded sketch however often it
 occurs. Lines whose estimate lies near the threshold get an exact distinct count; only
-they are counted exactly. Lines over the threshold go from every document.
+they are counted exactly. Lines over the threshold go from every document, except from
+those that consist of little else.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from .common import fresh, row_key, stored, text_of
 
 #: Sites from which on a line is boilerplate, and the shortest such line.
 SITES, LEAST_CHARS = 8, 16
+#: A document that would lose more than this share of its lines is a copy of another whole
+#: document rather than a page with boilerplate; it stays whole, for near-dedup to judge.
+MOST = 0.5
 #: Sketches have 2**LG registers; an estimate off the threshold by more than BAND of it
 #: (over six standard errors, and never less than one site) is trusted.
 LG, BAND = 11, 0.2
@@ -49,9 +53,10 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     ``n_chars``, if there, is counted anew, and ``n_lines`` and ``n_removed`` are added.
 
     Lines are compared without the white space at their ends; those of fewer than 16
-    characters stay. A line repeated in one site only stays. Null text stays null with 0
-    lines; empty text has one line. Repeated rows are treated alike; a document may end up
-    empty but is kept. Columns of these names in ``docs`` are replaced.
+    characters stay. A line repeated in one site only stays, and so do all lines of a
+    document that would lose over half of them. Null text stays null with 0 lines; empty
+    text has one line. Repeated rows are treated alike; no document goes. Columns of these
+    names in ``docs`` are replaced.
     """
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_lines", "n_removed")])
     key, gone, rest, parts = fresh(docs, "row_key", "gone", "kept_lines", "all_lines")
@@ -63,11 +68,9 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     marked = docs.withColumn(key, row_key()).join(removed, key, "left")
     split = marked.withColumn(parts, F.split("text", "\n", -1))
     kept = split.withColumn(rest, F.filter(parts, lambda _, i: ~F.array_contains(F.coalesce(gone, F.array().cast("array<int>")), i)))
-    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    out = kept.withColumn("text", text)
+    some = F.coalesce(F.size(gone) <= MOST * F.size(parts), F.lit(False))
+    out = kept.withColumn("text", F.when(some, F.array_join(rest, "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    no_lines = F.array().cast("array<int>")
-    return out.withColumns(
-        {"n_lines": F.when(F.col(parts).isNull(), 0).otherwise(F.size(parts)).cast("long"), "n_removed": F.size(F.coalesce(gone, no_lines)).cast("long")}
-    ).drop(key, gone, rest, parts)
+    counts = {"n_lines": F.when(F.col(parts).isNull(), 0).otherwise(F.size(parts)), "n_removed": F.when(some, F.size(gone)).otherwise(0)}
+    return out.withColumns({n: c.cast("long") for n, c in counts.items()}).drop(key, gone, rest, parts)

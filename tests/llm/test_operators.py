@@ -329,14 +329,20 @@ def plain_lines(rows, sites):
         for line in (t or "").split("\n"):
             where.setdefault(line.strip(" \t\r\x0b\x0c"), set()).add(s)
     bad = {b for b, found in where.items() if len(b) >= linededup.LEAST_CHARS and len(found) >= sites}
-    return sorted((i or -1, None if t is None else "\n".join(x for x in t.split("\n") if x.strip(" \t\r\x0b\x0c") not in bad)) for i, t, _ in rows), bad
+
+    def clean(text):
+        lines = text.split("\n")
+        stay = [x for x in lines if x.strip(" \t\r\x0b\x0c") not in bad]
+        return "\n".join(stay) if 2 * len(stay) >= len(lines) else text
+
+    return sorted((i or -1, None if t is None else clean(t)) for i, t, _ in rows), bad
 
 
 def test_lines(spark):
     rng = random.Random(2)
     shared = [f"shared boilerplate line number {k}" for k in range(12)]
     rows = [(i, "\n".join(rng.sample(shared, 3) + [f"own line of document {i}", "short", "\t" + shared[0] + " "]), f"s{rng.randrange(14)}" if i % 9 else None) for i in range(60)]
-    rows += [(90 + k, "seen on few sites only, but there often", "s1") for k in range(9)] + [(99, None, "x"), (100, "", "x"), (None, shared[1], "x"), (5, rows[5][1], rows[5][2]), (101, shared[0], "s2")]
+    rows += [(90 + k, "seen on few sites only, but there often", "s1") for k in range(9)] + [(99, None, "x"), (100, "", "x"), (None, shared[1], "x"), (5, rows[5][1], rows[5][2]), (101, shared[0], "s2"), (102, "\n".join(shared[:5]) + "\nand one own line here", "s3")]
     df = frame(spark, rows)
     for sites in (3, 8, 12):
         due, bad = plain_lines(rows, sites)
