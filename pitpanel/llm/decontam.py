@@ -3,8 +3,8 @@
 A seed is a hash of the words at the 1-positions of a fixed mask, so a substituted word
 under a 0 does not disturb it. Seeds of the test items are laid out as sorted arrays and
 joined with the seeds of each document where it lies; around each hit the words of the
-item and of the document are compared along the hit's diagonal, and the best stretch
-counts if enough of its words agree.
+item and of the document are compared along the hit's diagonal, and any stretch that is
+long enough counts if enough of its words agree.
 
 Test sets go to the executors in blocks of a bounded number of words. A larger set makes
 more blocks, each with a pass of its own over the documents, never a larger broadcast.
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import fresh, row_key, stored, text_of
 
-# The masks, each with six compared words.
-MASKS = ("111111", "1111011", "11011011", "101101011")
+# The masks, each with six compared words. They hit every stretch of 13 to 25
+# words with 80 % equal words, and a longer one has a half that is such a stretch.
+MASKS = ("111111", "1111011", "11011011", "101101011", "1101000111")
 #: Shortest stretch that counts, unless the item is shorter, and the share of equal words in it.
 LEAST, SHARE = 13, 0.8
 #: Words of test items that one broadcast block holds, about.
@@ -81,16 +82,21 @@ def build(rows: list[tuple[int, str]]) -> Block:
     return Block(items, vocabulary, seeds)
 
 
-def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
-    """(begin, end, equal words) of the stretch with the largest sum, the longest of several:
-    equal words count for it and others against it so that ``SHARE`` of equal ones is 0."""
+def best_stretch(equal: np.ndarray, least: int = LEAST) -> tuple[int, int, int]:
+    """(begin, end, equal words) of the stretch of at least ``least`` words with the largest
+    sum, the longest of several: equal words count for it and others against it so that
+    ``SHARE`` of equal ones is 0. (0, 0, 0) if no such stretch reaches that share."""
+    if len(equal) < least:
+        return 0, 0, 0
     worth = np.where(equal, round(100 * (1 - SHARE)), -round(100 * SHARE))
     total = np.concatenate(([0], np.cumsum(worth)))
-    low = np.minimum.accumulate(total)
-    gain = total - low
-    end = int(np.flatnonzero(gain == gain.max())[-1])
-    begin = int(np.flatnonzero(total[: end + 1] == low[end])[0])
-    return begin, end, int(equal[begin:end].sum())
+    low = np.minimum.accumulate(total[: len(total) - least])  # at the last begin that each end allows
+    gain = total[least:] - low
+    if gain.max() < 0:
+        return 0, 0, 0
+    last = int(np.flatnonzero(gain == gain.max())[-1])
+    begin = int(np.flatnonzero(total[: last + 1] == low[last])[0])
+    return begin, last + least, int(equal[begin : last + least].sum())
 
 
 def overlaps(text: str, block: Block) -> list[tuple[int, int, int, int]]:
@@ -107,8 +113,8 @@ def overlaps(text: str, block: Block) -> list[tuple[int, int, int, int]]:
     for k, shift in sorted(diagonals):
         item, own = block.items[k]
         begin, end = max(0, shift), min(len(codes), shift + len(own))
-        a, b, same = best_stretch(codes[begin:end] == own[begin - shift : end - shift])
-        if b - a >= min(LEAST, len(own)) and same >= SHARE * (b - a) and (item not in best or same > best[item][3]):
+        a, b, same = best_stretch(codes[begin:end] == own[begin - shift : end - shift], min(LEAST, len(own)))
+        if b > a and (item not in best or same > best[item][3]):
             best[item] = (item, begin + a, begin + b, same)
     return [best[i] for i in sorted(best)]
 

@@ -267,6 +267,20 @@ def test_decontamination_equals_full_scan(spark, docs, texts):
     assert {r["doc_id"] for r in decontam.contaminated(docs, bench).collect()} == due and due
 
 
+def test_decontamination_finds_every_stretch():
+    rng = random.Random(6)
+    given = [[j] for j in (2, 3, 11, 12)] + [[3, 7, 11]] + [rng.sample(range(n), k) for n, k in ((15, 2), (15, 3), (20, 4), (27, 5), (38, 7), (40, 10)) for _ in range(60)]
+    for k, places in enumerate(given):
+        n = 15 if k < 5 else (15, 15, 20, 27, 38, 40)[(k - 5) // 60]
+        own = [f"w{j}" for j in range(n)]
+        copy = ["other" if j in places else w for j, w in enumerate(own)]
+        runs = [(a, b) for a in range(n) for b in range(a + decontam.LEAST, n + 1) if 5 * sum(j not in places for j in range(a, b)) >= 4 * (b - a)]
+        found = decontam.overlaps("before it " + " ".join(copy) + " after", decontam.build([(1, " ".join(own))]))
+        assert bool(found) == bool(runs), (n, places)
+        for _, begin, end, matched in found:
+            assert (begin - 2, end - 2) in runs and matched == sum(j + 2 in range(begin, end) for j in range(n) if j not in places)
+
+
 # 5: toxicity
 
 
