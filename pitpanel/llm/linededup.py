@@ -16,6 +16,7 @@ from .common import fresh, row_key, stored, text_of
 
 #: Sites from which on a line is boilerplate, and the shortest such line.
 SITES, LEAST_CHARS = 8, 16
+WHITE = " \t\r\x0b\x0c"
 #: A document that would lose more than this share of its lines is a copy of another whole
 #: document rather than a page with boilerplate; it stays whole, for near-dedup to judge.
 MOST = 0.5
@@ -28,7 +29,7 @@ def lines(docs: DataFrame) -> DataFrame:
     """``key, site, place, h``: a row for each line that is long enough to count. ``h`` is
     128 bits of the trimmed line."""
     t = docs.select(row_key().alias("key"), F.col("source").cast("string").alias("site"), F.posexplode(F.split(text_of(), "\n", -1)).alias("place", "line"))
-    line = F.trim(F.col("line"), F.lit(" \t\r\x0b\x0c"))
+    line = F.trim(F.col("line"), F.lit(WHITE))
     return t.select("key", "site", "place", line.alias("line")).where(F.length("line") >= LEAST_CHARS).select(
         "key", "site", "place", F.struct(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), F.col("line")).alias("b")).alias("h")
     )
@@ -48,13 +49,14 @@ def spread(found: DataFrame, sites: int = SITES) -> DataFrame:
     return stored(rated.where(F.col("estimate") > sites + band).select("h").unionByName(exact.select("h")), "boilerplate-lines")
 
 
-def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
+def without_boilerplate(docs: DataFrame, sites: int = SITES, most: float | None = MOST) -> DataFrame:
     """The rows of ``docs`` with all their columns; ``text`` loses its boilerplate lines,
     ``n_chars``, if there, is counted anew, and ``n_lines`` and ``n_removed`` are added.
 
     Lines are compared without the white space at their ends; those of fewer than 16
     characters stay. A line repeated in one site only stays, and so do all lines of a
-    document that would lose over half of them. Null text stays null with 0 lines; empty
+    document that would lose more than the share ``most`` of them; if ``most`` is None, only
+    a document that would lose every line that is long enough stays whole. Null text stays null with 0 lines; empty
     text has one line. Repeated rows are treated alike; no document goes. Columns of these
     names in ``docs`` are replaced.
     """
@@ -68,7 +70,8 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     marked = docs.withColumn(key, row_key()).join(removed, key, "left")
     split = marked.withColumn(parts, F.split("text", "\n", -1))
     kept = split.withColumn(rest, F.filter(parts, lambda _, i: ~F.array_contains(F.coalesce(gone, F.array().cast("array<int>")), i)))
-    some = F.coalesce(F.size(gone) <= MOST * F.size(parts), F.lit(False))
+    long_enough = F.filter(parts, lambda line: F.length(F.trim(line, F.lit(WHITE))) >= LEAST_CHARS)
+    some = F.coalesce(F.size(gone) < F.size(long_enough) if most is None else F.size(gone) <= most * F.size(parts), F.lit(False))
     out = kept.withColumn("text", F.when(some, F.array_join(rest, "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

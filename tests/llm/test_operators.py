@@ -368,6 +368,17 @@ def test_lines(spark):
     assert linededup.without_boilerplate(df.limit(0)).count() == 0
 
 
+def test_line_stage_keeps_only_whole_copies(spark):
+    import corpus_pipeline as cp
+
+    head, foot = "a header that all sites have", "a footer that all sites have"
+    rows = [(k, f"{head}\nbody of page {k} which no other has\n {foot}", f"s{k}") for k in range(9)]
+    rows += [(20, f"{head}\n{foot}\nshort", "s1"), (21, f"{head}\n{head}\n{foot}\n{foot}\nthe only own line there", "s2"), (22, head, "s3"), (23, None, "s4")]
+    got = by_id(dict(cp.STAGES)["line dedup"](spark, frame(spark, rows), SF).collect())
+    assert all(got[k]["text"] == f"body of page {k} which no other has" for k in range(9)) and got[21]["text"] == "the only own line there"
+    assert all(got[k]["text"] == rows[k - 11][1] for k in (20, 21, 22, 23) if k != 21) and got[5]["n_chars"] == len(got[5]["text"])
+
+
 # 7: quality
 
 
