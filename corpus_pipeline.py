@@ -7,7 +7,7 @@ as the next one's docs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.llm import decontam, linededup, mixing, quality, simhash
@@ -26,22 +26,20 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id. If several rows
-    have this id, the one with the smallest content key stays; if no row of a group has an
-    id, one row without an id stays for all such groups."""
-    first, n, key, place = fresh(docs, "first_id", "rows", "row_key", "place")
-    groups = simhash.near_duplicates(docs).where("doc_id <=> component_id")
-    kept = stored(groups.groupBy(F.col("doc_id").alias(first)).agg(F.count(F.lit(1)).alias(n)), "kept-ids")
-    same = docs["doc_id"].eqNullSafe(F.col(first))
-    # the kept ids grow with the corpus, so they are never broadcast, however small they are
-    out = docs.join(kept.where(F.col(n) == 1).hint("merge"), same, "left_semi")
+    """Of each group of near-duplicates one row: the one with the smallest id, rows without
+    an id last, then the one with the smallest content key. Groups are those of the texts,
+    so a repeated or null id neither joins two groups nor keeps a second row of one."""
+    key, name, n = fresh(docs, "row_key", "kept_key", "rows")
+    kept = stored(simhash.survivors(docs).select(F.col("row_key").alias(name), F.col("n").alias(n)), "kept-keys")
+    keyed = docs.withColumn(key, row_key())
+    same = F.col(key) == F.col(name)
+    # the kept keys grow with the corpus, so they are never broadcast, however small they are
+    out = keyed.join(kept.where(F.col(n) == 1).hint("merge"), same, "left_semi")
     several = kept.where(F.col(n) > 1)
-    if several.isEmpty():
-        return out
-    # only repeated ids come here, and only their keys are sorted
-    by_key = Window.partitionBy("doc_id").orderBy(key)
-    more = docs.join(several, same, "left_semi").withColumn(key, row_key())
-    return out.unionByName(more.withColumn(place, F.row_number().over(by_key)).where(F.col(place) == 1).drop(key, place))
+    if not several.isEmpty():
+        # only repeated rows come here; each task leaves one of them before they are shuffled
+        out = out.unionByName(keyed.join(several.hint("merge"), same, "left_semi").dropDuplicates([key]))
+    return out.drop(key)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

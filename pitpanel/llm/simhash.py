@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import row_key, stored, text_of
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -50,16 +50,18 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` for each row; a null text counts as empty."""
+def fingerprints(docs: DataFrame, keyed: bool = False) -> DataFrame:
+    """``doc_id, fp`` for each row, and its ``row_key`` if asked for; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(text.as_py()) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            more = [batch.column(2)] if keyed else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *more], ["doc_id", "fp", "row_key"][: 2 + keyed])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    given = docs.select("doc_id", text_of().alias("text"), *([row_key().alias("row_key")] if keyed else []))
+    return given.mapInArrow(run, f"doc_id {kind}, fp long" + ", row_key string" * keyed)
 
 
 def masks() -> tuple[list[int], list[int]]:
@@ -115,6 +117,14 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stored(star(star(edges, True), False), "links")
 
 
+def grouped(hashed: DataFrame) -> DataFrame:
+    """``fp, first_id, root`` for each distinct ``fp`` of ``hashed``: its smallest id, and the
+    fingerprint that names its component, which is never null."""
+    distinct = stored(hashed.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    roots = components(links(distinct.select("fp")))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for each row of ``docs``.
 
@@ -124,9 +134,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stay repeated. Other columns are ignored; an empty table gives an empty result.
     """
     hashed = stored(fingerprints(docs), "fingerprints")
-    distinct = stored(hashed.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp")))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    rooted = grouped(hashed)
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     per_fp = stored(rooted.join(ids, "root").select("fp", "component_id"), "component-ids")
     return hashed.join(per_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def survivors(docs: DataFrame) -> DataFrame:
+    """``row_key, n`` of one row for each component: that of the smallest id, null ids last,
+    then of the smallest key. ``n`` counts the rows that have this key."""
+    hashed = stored(fingerprints(docs, keyed=True), "fingerprints")
+    rooted = grouped(hashed).select("fp", "root")
+    rows = hashed.groupBy("fp", "row_key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "n")
+    return rows.join(rooted, "fp").groupBy("root").agg(F.min(order).alias("first")).select("first.row_key", "first.n")

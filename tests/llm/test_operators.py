@@ -547,3 +547,17 @@ def test_pipeline_edges(spark, edge):
         out.collect()
     kept = sorted(r["doc_id"] or -1 for r in dict(cp.STAGES)["near-dedup"](spark, edge, SF).collect())
     assert kept == [-1, 1, 4, 7, 8]
+
+
+def test_near_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as cp
+
+    rng = random.Random(8)
+    text = ["".join(rng.choice("abcdefghij ") for _ in range(400)) for _ in range(12)]
+    rows = [(None, text[k], "a") for k in range(4)] + [(None, text[0], "b"), (1, text[4], "a"), (1, text[5], "a"), (2, text[6], "a"), (2, text[7], "a"), (3, text[7], "a")]
+    rows += [(4, text[8], "a"), (4, text[8], "a"), (5, text[8], "a"), (None, text[8], "a"), (0, text[9], "a"), (0, text[10], "a"), (-1, text[10], "a")]
+    assert len({plain_fingerprint(t) for t in text}) == 12 == len(set(plain_components([(k, plain_fingerprint(t)) for k, t in enumerate(text)]).values()))
+    got = dict(cp.STAGES)["near-dedup"](spark, frame(spark, rows), SF)
+    assert got.columns == frame(spark, rows[:1]).columns
+    due = [(None, text[k]) for k in range(4)] + [(1, text[4]), (1, text[5]), (2, text[6]), (2, text[7]), (4, text[8]), (0, text[9]), (-1, text[10])]
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(due, key=str)
