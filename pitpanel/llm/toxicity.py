@@ -28,7 +28,8 @@ from .common import stored, text_of
 
 #: Triples of the kernel span this many characters at most; each one more multiplies by DECAY.
 SPAN, DECAY = 6, 0.6
-#: Character classes: 0 for none, 1 for the ends of a word, the rest by code point.
+#: Character classes: 0 for none, 1 for the ends of a word, 2 to 27 for a to z, and the rest
+#: for all others by code point, so that an alphabet's letters in a row stay distinct.
 CLASSES = 64
 #: Characters of a word that the kernel sees at once; a longer word is seen in such pieces.
 WIDTH = 24
@@ -81,7 +82,7 @@ def codes(strings: list[str]) -> np.ndarray:
     out = np.zeros((len(strings), max(map(len, strings), default=0) + 2 + SPAN), np.int32)
     for i, s in enumerate(strings):
         points = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
-        row = TABLE[np.minimum(points, 0x24F)]
+        row = np.where(points < 0x250, TABLE[np.minimum(points, 0x24F)], 28 + points % 36)
         out[i, 0], out[i, len(row) + 1] = 1, 1
         out[i, 1 : len(row) + 1] = row
     return out

@@ -301,6 +301,17 @@ def test_kernel_is_that_of_all_triples():
     assert np.allclose(got, due, atol=1e-9)
 
 
+@pytest.mark.parametrize("first, size", [(0x430, 32), (0x3B1, 25), (0x5D0, 27), (0x627, 36), (0x4E00, 2000), (0x10428, 40)])
+def test_kernel_tells_words_of_other_scripts_apart(first, size):
+    rng = random.Random(7)
+    word = lambda n: "".join(chr(first + rng.randrange(size)) for _ in range(n))
+    bad, good = [word(6) for _ in range(20)], [word(6) for _ in range(200)]
+    between = toxicity.Landmarks.of(bad).kernel(good)
+    assert between.max() < 0.9 and between.mean() < 0.2
+    model = toxicity.Model(*toxicity.train_words([(w, 5) for w in bad], [(w, 5) for w in good]), np.zeros(4))
+    assert model.decisions(bad).min() > toxicity.LIKELY > model.decisions(good).max()
+
+
 def test_toxicity_learns(spark, edge):
     rng = random.Random(5)
     syllables = ["ta", "ro", "lin", "mek", "su", "pol", "da", "ver"]
