@@ -13,9 +13,10 @@ more blocks, each with a pass of its own over the documents, never a larger broa
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pandas as pd
@@ -38,11 +39,11 @@ words_of = re.compile(r"\w+").findall
 
 @dataclass
 class Block:
-    """Test items as word numbers, and their seeds: per mask sorted hashes with item and place."""
+    """Test items as word numbers, and their seeds: mask, sorted hashes with item and place."""
 
     items: list[tuple[int, np.ndarray]]
     vocabulary: dict[str, int]
-    seeds: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    seeds: list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def hashes(codes: np.ndarray, mask: str) -> np.ndarray:
@@ -60,6 +61,16 @@ def hashes(codes: np.ndarray, mask: str) -> np.ndarray:
 SLOTS = 1 << 20
 
 
+def masks(n: int) -> tuple[str, ...]:
+    """The masks of an item of ``n`` words. One shorter than a stretch must agree as a whole,
+    with m = n // 5 words substituted at most: of m + 2 parts of it, two are left untouched."""
+    if n >= LEAST:
+        return MASKS
+    parts = np.array_split(np.arange(n), n // 5 + 2)
+    pairs = (set(np.concatenate(pair).tolist()) for pair in combinations(parts, 2))
+    return tuple("".join("01"[i in pair] for i in range(n)) for pair in pairs)
+
+
 def build(rows: list[tuple[int, str]]) -> Block:
     """A block of ``(item_id, text)``; of items with equal words the smallest id stays."""
     vocabulary: dict[str, int] = {}
@@ -70,15 +81,19 @@ def build(rows: list[tuple[int, str]]) -> Block:
             by_words.setdefault(codes.tobytes(), (item, codes))
     items = list(by_words.values())
     seeds = []
-    for mask in MASKS:
-        found = [(hashes(codes, mask), k) for k, (_, codes) in enumerate(items)]
+    by_mask: dict[str, list[int]] = {}
+    for k, (_, codes) in enumerate(items):
+        for mask in masks(len(codes)):
+            by_mask.setdefault(mask, []).append(k)
+    for mask, owners in by_mask.items():
+        found = [(hashes(items[k][1], mask), k) for k in owners]
         h = np.concatenate([x for x, _ in found] or [np.zeros(0, np.uint64)])
         owner = np.concatenate([np.full(len(x), k, np.int64) for x, k in found] or [np.zeros(0, np.int64)])
         place = np.concatenate([np.arange(len(x)) for x, _ in found] or [np.zeros(0, np.int64)])
         order = np.argsort(h, kind="stable")
         slots = np.zeros(SLOTS, bool)
         slots[h >> np.uint64(44)] = True
-        seeds.append((h[order], owner[order], place[order], slots))
+        seeds.append((mask, h[order], owner[order], place[order], slots))
     return Block(items, vocabulary, seeds)
 
 
@@ -104,7 +119,7 @@ def overlaps(text: str, block: Block) -> list[tuple[int, int, int, int]]:
     and end count the text's words. One stretch per item, the one with most equal words."""
     codes = np.fromiter(map(block.vocabulary.get, words_of(text.lower()), repeat(0)), np.uint64)
     diagonals = set()
-    for mask, (sorted_h, owner, place, slots) in zip(MASKS, block.seeds):
+    for mask, sorted_h, owner, place, slots in block.seeds:
         h = hashes(codes, mask)
         for p in np.flatnonzero(slots[h >> np.uint64(44)]).tolist():
             a, b = np.searchsorted(sorted_h, h[p], "left"), np.searchsorted(sorted_h, h[p], "right")
@@ -119,18 +134,30 @@ def overlaps(text: str, block: Block) -> list[tuple[int, int, int, int]]:
     return [best[i] for i in sorted(best)]
 
 
-def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, str]]]:
-    """Rows of the test set in blocks of about ``block_words`` words; one pass each."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text")).where("item_id is not null")
+def words_hash():
+    """A column function: a number that is equal for texts of equal words, as build() reads them."""
+
+    @F.pandas_udf("long")
+    def number(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: zlib.crc32(" ".join(words_of(text.lower())).encode())).astype("int64")
+
+    return number
+
+
+def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS, unnamed: bool = False) -> Iterator[list[tuple[int, str]]]:
+    """Rows of the test set in blocks of about ``block_words`` words; one pass each. Items of
+    equal words come in one block. Null ids are left out, or come as 0 if ``unnamed``."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
+    rows = rows.withColumn("item_id", F.coalesce("item_id", F.lit(0))) if unnamed else rows.where("item_id is not null")
     total = rows.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
     n = -(-total // block_words) or 1
     for i in range(n):
-        yield [tuple(r) for r in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()]
+        yield [tuple(r) for r in (rows if n == 1 else rows.where(F.pmod(words_hash()("text"), F.lit(n)) == i)).collect()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id, item_ids, item_id, begin, end, matched``: a row for each document that
-    overlaps a test item, with all such items and the stretch of the one that agrees most
+    overlaps a test item, with all such items (of several with equal words the smallest) and the stretch of the one that agrees most
     (ties: the smallest item). Clean documents have no row.
 
     Null or empty texts and items without words overlap nothing; items with a null id are
@@ -162,10 +189,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` that overlap no test item, with all their columns. They are
-    filtered where they lie, a pass for each block."""
+    """The rows of ``docs`` that overlap no test item, with or without an id, with all their
+    columns. They are filtered where they lie, a pass for each block."""
     (mark,) = fresh(docs, "is_clean")
-    for i, rows in enumerate(blocks(benchmark, block_words)):
+    for i, rows in enumerate(blocks(benchmark, block_words, unnamed=True)):
         if i:  # so that no worker holds more than one block
             docs = stored(docs, "decontaminated")
         shared = docs.sparkSession.sparkContext.broadcast(build(rows))

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -281,6 +282,24 @@ def test_decontamination_finds_every_stretch():
             assert (begin - 2, end - 2) in runs and matched == sum(j + 2 in range(begin, end) for j in range(n) if j not in places)
 
 
+def test_decontamination_finds_short_items():
+    for n in range(1, 13):
+        own = [f"w{j}" for j in range(n)]
+        block = decontam.build([(1, " ".join(own))])
+        for k in range(n // 5 + 2):
+            for places in combinations(range(n), k):
+                copy = ["other" if j in places else w for j, w in enumerate(own)]
+                assert bool(decontam.overlaps("before " + " ".join(copy) + " after", block)) == (k <= n // 5), (n, places)
+
+
+def test_decontamination_items_without_id_or_with_equal_words(spark):
+    docs = frame(spark, [(1, "it has " + ITEM, "a"), (2, "it has an unnamed item text here", "a"), (3, "nothing", "a")])
+    bench = spark.createDataFrame([(10, ITEM), (11, ITEM.upper() + "!"), (12, "  " + ITEM), (None, "an unnamed item text"), (13, "of no use at all")], "item_id long, text string")
+    for size in (decontam.BLOCK_WORDS, 10):
+        assert [(r["doc_id"], r["item_ids"]) for r in decontam.contaminated(docs, bench, size).collect()] == [(1, [10])]
+        assert [r["doc_id"] for r in decontam.without_contaminated(docs, bench, size).collect()] == [3]
+
+
 # 5: toxicity
 
 
