@@ -1,10 +1,10 @@
 """Quality selection by importance resampling with hashed n-gram models.
 
 Two bag-of-n-grams models over a fixed number of hash buckets, one of target text and one
-of the whole raw corpus, give each document the log ratio of its likelihoods. Gumbel noise
-that is fixed for each row is added, and the k largest sums are a sample without
-replacement in proportion to the importance weights. The k-th largest is found by
-histograms of a fixed number of buckets, without sorting the corpus.
+of the whole raw corpus, give each document the log ratio of its likelihoods: the sum of
+the log ratios of its n-grams. Gumbel noise that is fixed for each row is added, and the k
+largest sums are a sample without replacement in proportion to the importance weights. The
+k-th largest is found by histograms of a fixed number of buckets, without sorting the corpus.
 """
 
 from __future__ import annotations
@@ -22,12 +22,12 @@ from .common import fresh, row_key, stored, text_of
 
 #: Hash buckets of the models, half for single tokens and half for pairs.
 BUCKETS = 20_000
-#: Labelled documents that the target model and the cut are fitted on, at most.
+#: Labelled ids whose documents the target model is fitted on, at most.
 SAMPLE = 20_000
-#: Gumbel noise is multiplied by this; 0 takes the k best.
-TEMPERATURE = 0.002
-#: Rare buckets get this many counts more.
-SMOOTHING = 1.0
+#: Gumbel noise is multiplied by this: 1 samples in proportion to the weights, 0 takes the k best.
+TEMPERATURE = 1.0
+#: Counts that each bucket of the target gets more; those of the raw model, in proportion to its size.
+SMOOTHING = 20.0
 
 tokens_of = re.compile(r"\w+|[^\w\s]+").findall
 
@@ -82,23 +82,20 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     """log of target over raw probability for each bucket, singles and pairs apart."""
     out = np.zeros(BUCKETS)
     for part in (slice(0, BUCKETS // 2), slice(BUCKETS // 2, BUCKETS)):
-        t, r = target[part] + SMOOTHING, raw[part] + SMOOTHING
+        t, r = target[part], raw[part]
+        t, r = t + SMOOTHING, r + SMOOTHING * max(1.0, r.sum() / max(1.0, t.sum()))
         out[part] = np.log(t / t.sum()) - np.log(r / r.sum())
     return out
 
 
 def weight(docs_text: Column, ratio) -> Column:
-    """Mean log ratio over a text's n-grams; 0 without tokens."""
+    """Log importance weight: the sum of log ratios over a text's n-grams; 0 without tokens."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codes = Codes()
         for texts in batches:
-            out = []
-            for text in texts:
-                b = buckets(text, codes)
-                out.append(float(ratio.value[b].mean()) if len(b) else 0.0)
-            yield pd.Series(out, dtype="float64")
+            yield pd.Series([float(ratio.value[buckets(text, codes)].sum()) for text in texts], dtype="float64")
 
     return score(docs_text)
 
@@ -109,22 +106,13 @@ def gumbel(key: Column) -> Column:
     return -F.log(-F.log(u))
 
 
-def best_cut(scores: list[tuple[float, int]]) -> float:
-    """The cut with the highest mean of both labels' rates; half way between two scores."""
-    scores = sorted(scores)
-    good, bad = sum(y for _, y in scores), sum(1 - y for _, y in scores)
-    if not good or not bad:
-        return float("-inf")
-    best, cut, below_good, below_bad = 1.0, float("-inf"), 0, 0
-    for i, (s, y) in enumerate(scores):
-        below_good, below_bad = below_good + y, below_bad + 1 - y
-        rate = (good - below_good) / good + below_bad / bad
-        if rate > best:
-            best, cut = rate, (s + scores[min(i + 1, len(scores) - 1)][0]) / 2
-    return cut
+#: Noisy log weights as whole numbers in their order: 48 bits hold +-2**22 to 2**-25.
+BOUND, STEPS, LEVEL_BITS, LEVELS = float(1 << 22), float(1 << 25), 12, 4
 
 
-STEPS, LEVEL_BITS, LEVELS = float(1 << 40), 12, 4
+def level_of(noisy: Column) -> Column:
+    inside = F.greatest(F.lit(-BOUND), F.least(F.lit(BOUND - 1.0), noisy))
+    return F.floor((inside + BOUND) * STEPS).cast("long")
 
 
 def kth_largest(keys: DataFrame, k: int) -> int:
@@ -144,33 +132,37 @@ def kth_largest(keys: DataFrame, k: int) -> int:
     return prefix
 
 
-def select(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None, sample: int = SAMPLE, temperature: float = TEMPERATURE) -> DataFrame:
-    """The rows of ``docs`` in the sample, with their ``columns`` (all if not given) and
-    ``log_weight``. Each text is read twice, for the raw model and for its weight; the
-    columns are written out with the weight, so that the cut reads no text again.
-
-    The target model is that of labelled rows of quality 1, the raw model that of all
-    rows. k is the number of rows whose weight is over the cut that parts the labels best.
-    Without labels of both kinds every row stays. Empty, null or token-less texts weigh 0
-    and pass or fail like any other; rows that tie with the k-th stay too; repeated rows
-    share their noise. A column ``log_weight`` of ``docs`` is replaced. An empty table
-    gives an empty result.
+def select(
+    docs: DataFrame, labels: DataFrame, columns: list[str] | None = None, k: int | None = None, fraction: float | None = None,
+    sample: int = SAMPLE, temperature: float = TEMPERATURE,
+) -> DataFrame:
+    """``k`` rows of ``docs``, or the ``fraction`` of them, drawn in proportion to their
+    importance weights, with their ``columns`` (all if not given) and ``log_weight``. With
+    neither, the fraction is the share of quality 1 among the labels. Each text is read
+    twice, for the raw model and for its weight; the columns are written out with the
+    weight, as joining them back would shuffle every text.
+
+    The target model is that of labelled documents of quality 1, the raw model that of all
+    rows. Without a label of quality 1 there is no target and every row stays. Empty, null
+    or token-less texts weigh 0 and pass or fail like any other; rows that tie with the
+    k-th stay too; repeated rows share their noise. A column ``log_weight`` of ``docs`` is
+    replaced. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     docs = docs.drop(*[c for c in docs.columns if c.lower() == "log_weight"])
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
-    bounded = known.orderBy(F.xxhash64("doc_id")).limit(sample)
-    labelled = stored(docs.select("doc_id", text_of().alias("text")).join(F.broadcast(bounded), "doc_id"), "quality-sample")
-    ratio = spark.sparkContext.broadcast(log_ratio(counts(labelled.where("y = 1").select("text")), counts(docs.select(text_of().alias("text")))))
-    cut = best_cut([(r["w"], r["y"]) for r in labelled.select(weight(F.col("text"), ratio).alias("w"), "y").collect()])
+    bounded = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    good, all_known = bounded.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count(F.lit(1))).first()
+    target = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(bounded.where("y = 1").select("doc_id")), "doc_id").select("text")
+    ratio = spark.sparkContext.broadcast(log_ratio(counts(target), counts(docs.select(text_of().alias("text")))) if good else np.zeros(BUCKETS))
 
     kept = docs.columns if columns is None else [c for c in columns if c != "log_weight"]
     (level,) = fresh(docs, "level")
     scored = docs.withColumn("log_weight", weight(text_of(), ratio))
-    noisy = F.col("log_weight") + temperature * gumbel(row_key())
-    # a weight is within +-log of the counts' ratio; 2**48 steps hold any to 2**-40
-    scored = scored.withColumn(level, F.floor((F.greatest(F.lit(-100.0), F.least(F.lit(100.0), noisy)) + 128.0) * STEPS).cast("long"))
+    scored = scored.withColumn(level, level_of(F.col("log_weight") + temperature * gumbel(row_key())))
     scored = stored(scored.select(*kept, "log_weight", level), "quality-scores")
-    k = scored.where(F.col("log_weight") >= F.lit(cut)).count() if cut > float("-inf") else scored.count()
-    least = kth_largest(scored.select(F.col(level).alias("level")), k) if k else 1 << 60
+    if k is None:
+        share = fraction if fraction is not None else good / all_known if good else 1.0
+        k = round(share * scored.count())
+    least = kth_largest(scored.select(F.col(level).alias("level")), k) if k > 0 else 1 << 60
     return scored.where(F.col(level) >= least).drop(level)

@@ -79,8 +79,8 @@ LINES_SQL = """with d as (select row_number() over () as k, doc_id, source, text
   bad as (select body from t where length(body) >= 16 group by body having count(distinct coalesce('s' || source, '')) >= 8),
   m as (select t.*, bad.body is not null as gone from t left join bad on bad.body = t.body),
   a as (select k, count(*) as n_lines, count(*) filter (where gone) as n_removed, string_agg(line, chr(10) order by place) filter (where not gone) as rest from m group by 1),
-  o as (select d.doc_id, d.source, case when a.n_removed > 0 and a.n_removed <= 0.5 * a.n_lines then coalesce(a.rest, '') else d.text end as text, coalesce(a.n_lines, 0) as n_lines,
-      case when a.n_removed <= 0.5 * a.n_lines then a.n_removed else 0 end as n_removed from d left join a on a.k = d.k)
+  o as (select d.doc_id, d.source, case when a.n_removed > 0 then coalesce(a.rest, '') else d.text end as text, coalesce(a.n_lines, 0) as n_lines,
+      coalesce(a.n_removed, 0) as n_removed from d left join a on a.k = d.k)
 select doc_id, source, text, cast(length(text) as bigint) as n_chars, n_lines, n_removed from o"""
 
 

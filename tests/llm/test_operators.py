@@ -4,6 +4,7 @@ long texts, ties, repeated rows, empty tables and further columns with clashing
 import hashlib
 import random
 import re
+import time
 import zlib
 from itertools import combinations
 
@@ -375,9 +376,7 @@ def plain_lines(rows, sites):
     bad = {b for b, found in where.items() if len(b) >= linededup.LEAST_CHARS and len(found) >= sites}
 
     def clean(text):
-        lines = text.split("\n")
-        stay = [x for x in lines if x.strip(" \t\r\x0b\x0c") not in bad]
-        return "\n".join(stay) if 2 * len(stay) >= len(lines) else text
+        return "\n".join(x for x in text.split("\n") if x.strip(" \t\r\x0b\x0c") not in bad)
 
     return sorted((i or -1, None if t is None else clean(t)) for i, t, _ in rows), bad
 
@@ -396,6 +395,20 @@ def test_lines(spark):
         assert sorted(((r["doc_id"] or -1, r["text"]) for r in got), key=str) == sorted(due, key=str) and (bad or sites == 12)
         assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in got)
     assert linededup.without_boilerplate(df.limit(0)).count() == 0
+    short = [(i, f"{'ab' * 4}\n{'cd' * 9}\nown line of {i}", f"s{i}") for i in range(9)]
+    for least, lost in ((8, 2), (16, 1), (19, 0)):
+        assert {r["n_removed"] for r in linededup.without_boilerplate(frame(spark, short), least_chars=least).collect()} == {lost}
+
+
+def test_lines_of_a_long_document(spark):
+    """Work grows with the lines, not with lines times removed lines."""
+    n = 200_000
+    shared = [(i, "a line that every site has\nown", f"s{i}") for i in range(9)]
+    long = "\n".join("a line that every site has" if i % 2 else f"line {i}" for i in range(n))
+    begin = time.monotonic()
+    got = by_id(linededup.without_boilerplate(frame(spark, [*shared, (20, long, "x")])).collect())
+    assert got[20]["n_removed"] == n // 2 and got[20]["text"] == "\n".join(f"line {i}" for i in range(0, n, 2))
+    assert got[3]["text"] == "own" and time.monotonic() - begin < 60
 
 
 def test_line_stage_keeps_only_whole_copies(spark):
@@ -412,16 +425,61 @@ def test_line_stage_keeps_only_whole_copies(spark):
 # 7: quality
 
 
-def test_quality(spark, edge):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
-    kept = {r["doc_id"]: r["log_weight"] for r in quality.select(docs, labels).collect()}
-    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
-    assert np.mean([i in kept for i, q in known.items() if q == 1]) >= 0.99 and np.mean([i not in kept for i, q in known.items() if q == 0]) >= 0.9
-    again = {r["doc_id"]: r["log_weight"] for r in quality.select(docs, labels, ["doc_id"]).collect()}
-    assert again == kept
-    assert quality.select(edge, labels.limit(0)).count() == len(EDGE)
+def plain_weights(texts, target):
+    """Log weights from n-grams as tuples, with the operator's buckets, in plain Python."""
+    half, h = quality.BUCKETS // 2, lambda w: xxhash.xxh32_intdigest(w.encode())
+
+    def grams(text):
+        words = re.findall(r"\w+|[^\w\s]+", (text or "").lower())
+        code = [quality.AGAIN if w in words[max(0, i - 2) : i] else h(w) for i, w in enumerate(words)]
+        pairs = [(a * 0x9E3779B97F4A7C15 ^ b * 0xC2B2AE3D27D4EB4F) % (1 << 64) for a, b in zip(code, code[1:])]
+        return [c % half for c in code], [p // (1 << 20) % half for p in pairs]
+
+    def model(chosen, k, extra):
+        n = [extra] * half
+        for t in chosen:
+            for g in grams(t)[k]:
+                n[g] += 1
+        return n
+
+    sizes = [[sum(len(grams(t)[k]) for t in chosen) for chosen in (target, texts)] for k in (0, 1)]
+    extra = [quality.SMOOTHING * max(1.0, r / max(1, t)) for t, r in sizes]
+    models = [(model(target, k, quality.SMOOTHING), model(texts, k, extra[k])) for k in (0, 1)]
+    ratio = [[np.log(x / sum(t)) - np.log(y / sum(r)) for x, y in zip(t, r)] for t, r in models]
+    return [sum(ratio[k][g] for k in (0, 1) for g in grams(t)[k]) for t in texts]
+
+
+def test_quality_is_gumbel_top_k_of_the_weights(spark, edge):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    given = docs.select("doc_id", "text").collect()
+    good = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    plain = dict(zip([r["doc_id"] for r in given], plain_weights([r["text"] for r in given], [r["text"] for r in given if r["doc_id"] in good])))
+    for k, temperature in ((60, 1.0), (60, 0.0), (7, 1.0)):
+        got = {r["doc_id"]: r["log_weight"] for r in quality.select(docs, labels, k=k, temperature=temperature).collect()}
+        assert len(got) == k and all(abs(got[i] - plain[i]) < 1e-6 for i in got)
+        noise = {r["doc_id"]: -np.log(-np.log((int(hashlib.md5(f"{r['doc_id']}:{r['text'] or ''}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48)) for r in given}
+        assert set(got) == set(sorted(plain, key=lambda i: plain[i] + temperature * noise[i])[-k:])
+    share = quality.select(docs, labels, ["doc_id"], fraction=0.25)
+    assert share.columns == ["doc_id", "log_weight"] and share.count() == 50 and quality.select(docs, labels, k=0).count() == 0
+    assert quality.select(edge, labels.limit(0)).count() == len(EDGE) == quality.select(edge, labels.where("quality = 0")).count()
     assert quality.select(edge, labels).columns == [*edge.columns, "log_weight"]
-    assert quality.select(edge.limit(0), labels).count() == 0
+    assert quality.select(edge, labels, k=2).count() >= 2 and quality.select(edge.limit(0), labels).count() == 0
+
+
+def test_quality_on_held_out_labels(spark):
+    """The target is fitted on half of the labels; rates are those of the other half. The
+    fraction is the share of quality 1 in the table."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    fit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    kept = {r["doc_id"] for r in quality.select(docs, labels.where(fit), ["doc_id"], fraction=0.855).collect()}
+    held = {r["doc_id"]: r["quality"] for r in labels.where(~fit).collect()}
+    assert np.mean([i in kept for i, q in held.items() if q == 1]) >= 0.95 and np.mean([i in kept for i, q in held.items() if q == 0]) <= 0.15
+    codes, texts = quality.Codes(), {r["doc_id"]: r["text"] for r in docs.collect()}
+    model = lambda ids: (n := sum(np.bincount(quality.buckets(texts[i] or "", codes), minlength=quality.BUCKETS) for i in ids) + 1.0) / n.sum()
+    target, chosen = model(i for i, q in held.items() if q == 1), model(kept)
+    plain = model(random.Random(0).sample(sorted(texts), len(kept)))
+    away = lambda m: float((target * np.log(target / m)).sum())
+    assert away(chosen) < away(plain)  # nearer to the target than a random sample of the same size
 
 
 def test_kth_largest(spark):
