@@ -22,7 +22,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts without boilerplate lines. Only a document of nothing else
     stays whole, as a copy that near-dedup judges."""
-    return linededup.without_boilerplate(docs, most=None).select(*docs.columns)
+    return linededup.without_boilerplate(docs, keep_whole=True).select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
