@@ -1,8 +1,10 @@
 """Secret scans over an incremental blob ledger, with DataFrame functions only.
 
 A text is a blob named by its SHA-256. However many paths, versions or copies carry a
-blob, it is scanned once per rule version: pairs of blob and rule version that a ledger
-already lists are left out, and findings join back to all rows that carry the blob.
+blob, it is scanned once per rule version: the ledger keeps the pairs of blob and rule
+version that were scanned and what they gave. Each version of a corpus scans only the
+pairs that the ledger lacks, appends them, and joins the findings of the current rule
+versions back to all rows that carry the blob.
 Spans come from the pieces between matches: their lengths and those of the matches, summed
 in order, are the offsets.
 """
@@ -43,13 +45,28 @@ def blob_id(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def unseen(blobs: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None) -> DataFrame:
-    """``blob, rules``: the names of the rules whose version has not scanned the blob."""
-    every = F.array(*(F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules))
-    if ledger is None:
-        return blobs.withColumn("rules", every["rule"])
-    pairs = blobs.select("blob", F.explode(every).alias("r")).select("blob", "r.rule", "r.version")
-    return pairs.join(ledger, ["blob", "rule", "version"], "left_anti").groupBy("blob").agg(F.collect_set("rule").alias("rules"))
+#: So many unseen blobs (32 bytes each) are broadcast to leave known texts out of the shuffle.
+FEW = 100_000
+
+
+@dataclass(frozen=True)
+class Ledger:
+    """``pairs``: ``blob, rule, version`` of what was scanned; ``findings``: ``blob, rule,
+    version, start, end`` of what that found."""
+
+    pairs: DataFrame
+    findings: DataFrame
+
+
+def unseen(blobs: DataFrame, rules: tuple[Rule, ...], pairs: DataFrame | None) -> DataFrame:
+    """The rows of ``blobs`` with ``rules``, the names of the rules whose version has not
+    scanned the blob; rows without any are left out."""
+    if pairs is None:
+        return blobs.withColumn("rules", F.array(*(F.lit(r.name) for r in rules)))
+    current = " or ".join(f"rule = '{r.name}' and version = {r.version}" for r in rules)
+    done = pairs.where(current).groupBy("blob").agg(F.collect_set("rule").alias("done"))
+    left = F.array_except(F.array(*(F.lit(r.name) for r in rules)), F.coalesce("done", F.array().cast("array<string>")))
+    return blobs.join(done, "blob", "left").withColumn("rules", left).drop("done").where(F.size("rules") > 0)
 
 
 def scan(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -83,31 +100,38 @@ def scan(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     )
 
 
-def scan_new(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(findings, ledger rows to append) for the blobs of ``docs`` that ``ledger``
-    (``blob, rule, version``) lacks. Copies of a text meet before the shuffle."""
-    t = docs.select(text_of().alias("text"))
-    blobs = t.select(blob_id(F.col("text")).alias("blob"), "text").groupBy("blob").agg(F.first("text").alias("text"))
-    if ledger is None:
-        texts = unseen(blobs, rules, None)
-    else:
-        texts = blobs.join(unseen(t.select(blob_id(F.col("text")).alias("blob")).distinct(), rules, ledger), "blob")
-    versions = F.create_map(*(x for r in rules for x in (F.lit(r.name), F.lit(r.version))))
-    scanned = texts.select("blob", F.explode("rules").alias("rule")).withColumn("version", versions[F.col("rule")])
-    return scan(texts, rules), scanned
+def scan_new(docs: DataFrame, rules: tuple[Rule, ...] = RULES, pairs: DataFrame | None = None) -> Ledger:
+    """What the blobs of ``docs`` add to the scanned ``pairs``. Copies of a text meet
+    before the shuffle; few new blobs are looked for first by their ids alone."""
+    t = docs.select(text_of().alias("text")).select(blob_id(F.col("text")).alias("blob"), "text")
+    if pairs is not None:
+        new = stored(unseen(t.select("blob").distinct(), rules, pairs).select("blob"), "unseen-blobs")
+        if new.count() <= FEW:
+            t = t.join(F.broadcast(new), "blob", "left_semi")
+    texts = unseen(t.groupBy("blob").agg(F.first("text").alias("text")), rules, pairs)
+    version = F.create_map(*(x for r in rules for x in (F.lit(r.name), F.lit(r.version))))[F.col("rule")]
+    scanned = texts.select("blob", F.explode("rules").alias("rule")).withColumn("version", version)
+    return Ledger(scanned, scan(texts, rules).select("blob", "rule", version.alias("version"), "start", "end"))
+
+
+def update(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: Ledger | None = None) -> Ledger:
+    """``ledger`` with what ``docs`` adds, which is written to the shared folder."""
+    new = scan_new(docs, rules, ledger.pairs if ledger else None)
+    new = Ledger(stored(new.pairs, "ledger-pairs"), stored(new.findings, "ledger-findings"))
+    return Ledger(ledger.pairs.unionByName(new.pairs), ledger.findings.unionByName(new.findings)) if ledger else new
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, known: DataFrame | None = None, ledger: DataFrame | None = None) -> DataFrame:
-    """``doc_id, n_<rule>..., base_sha256, spans`` for each row of ``docs``.
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: Ledger | None = None) -> DataFrame:
+    """``doc_id, n_<rule>..., base_sha256, spans`` for each row of ``docs``, by the findings
+    that ``ledger`` holds and those of the pairs that it lacks.
 
-    ``known`` holds findings of earlier scans, for the pairs in ``ledger``. Null text
-    counts as empty, without findings: counts 0, empty ``spans``. Repeated rows and copies
-    get equal results from one scan. Other columns are ignored; an empty table gives an
-    empty result. ``spans`` lists kind:start:end by start, then in the order of ``rules``.
+    Null text counts as empty, without findings: counts 0, empty ``spans``. Repeated rows
+    and copies get equal results from one scan. Findings of rule versions other than those
+    of ``rules`` are passed over. Other columns are ignored; an empty table gives an empty
+    result. ``spans`` lists kind:start:end by start, then in the order of ``rules``.
     """
-    found, _ = scan_new(docs, rules, ledger)
-    if known is not None:
-        found = found.unionByName(known.select("blob", "rule", "start", "end")).distinct()
+    current = " or ".join(f"rule = '{r.name}' and version = {r.version}" for r in rules)
+    found = update(docs, rules, ledger).findings.where(current)
     place = F.coalesce(*(F.when(F.col("rule") == r.name, F.lit(i)) for i, r in enumerate(rules)))
     per_blob = found.groupBy("blob").agg(
         *(F.count_if(F.col("rule") == r.name).alias(f"n_{r.name}") for r in rules),

@@ -134,6 +134,16 @@ def overlaps(text: str, block: Block) -> list[tuple[int, int, int, int]]:
     return [best[i] for i in sorted(best)]
 
 
+def word_count():
+    """A column function: the number of words of a text, as build() reads them."""
+
+    @F.pandas_udf("long")
+    def number(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: len(words_of(text.lower()))).astype("int64")
+
+    return number
+
+
 def words_hash():
     """A column function: a number that is equal for texts of equal words, as build() reads them."""
 
@@ -149,7 +159,7 @@ def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS, unnamed: bool =
     equal words come in one block. Null ids are left out, or come as 0 if ``unnamed``."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
     rows = rows.withColumn("item_id", F.coalesce("item_id", F.lit(0))) if unnamed else rows.where("item_id is not null")
-    total = rows.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
+    total = rows.select(word_count()("text").alias("n")).agg(F.sum("n")).first()[0] or 0
     n = -(-total // block_words) or 1
     for i in range(n):
         yield [tuple(r) for r in (rows if n == 1 else rows.where(F.pmod(words_hash()("text"), F.lit(n)) == i)).collect()]
@@ -165,20 +175,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK
     columns are ignored; an empty table of either kind gives an empty result.
     """
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
-    keyed = docs.select("doc_id", text_of().alias("text"))
+    keyed = docs.select("doc_id", row_key().alias("key"), text_of().alias("text"))
     found = None
     for rows in blocks(benchmark, block_words):
         shared = spark.sparkContext.broadcast(build(rows))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                hits = [(i, text.as_py(), o) for i, text in enumerate(batch.column(1)) for o in overlaps(text.as_py(), shared.value)]
-                ids = batch.column(0).take(pa.array([i for i, _, _ in hits], pa.int64()))
-                texts = pa.array([t for _, t, _ in hits], pa.string())
-                yield pa.RecordBatch.from_arrays([ids, texts, *(pa.array([o[j] for _, _, o in hits], pa.int64()) for j in range(4))], ["doc_id", "text", "item_id", "begin", "end", "matched"])
+                hits = [(i, o) for i, text in enumerate(batch.column(2)) for o in overlaps(text.as_py(), shared.value)]
+                at = pa.array([i for i, _ in hits], pa.int64())
+                names = ["doc_id", "key", "item_id", "begin", "end", "matched"]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array([o[j] for _, o in hits], pa.int64()) for j in range(4))], names)
 
-        part = keyed.mapInArrow(run, f"doc_id {kind}, text string, item_id long, begin long, end long, matched long")
-        part = part.select("doc_id", row_key().alias("key"), "item_id", "begin", "end", "matched")
+        part = keyed.mapInArrow(run, f"doc_id {kind}, key string, item_id long, begin long, end long, matched long")
         found = part if found is None else found.unionByName(part)
     top = F.max(F.struct("matched", (-F.col("item_id")).alias("less"), (-F.col("begin")).alias("first"), "end")).alias("top")
     return (

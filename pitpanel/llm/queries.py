@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import blobscan, decontam, linededup, media, mixing, pii, quality, simhash, tokens, toxicity
 from .common import table
@@ -43,7 +44,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blobscan.find_secrets(table(spark, sf_dir, "documents"))
+    """An earlier version of the corpus, about half of its rows, is scanned first; the whole
+    corpus then scans only what that ledger lacks."""
+    docs = table(spark, sf_dir, "documents")
+    earlier = docs.where(F.xxhash64("doc_id") % 2 == 0)
+    return blobscan.find_secrets(docs, ledger=blobscan.update(earlier))
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -283,6 +283,26 @@ def test_decontamination_finds_every_stretch():
             assert (begin - 2, end - 2) in runs and matched == sum(j + 2 in range(begin, end) for j in range(n) if j not in places)
 
 
+def test_decontamination_recall_of_the_stated_rule():
+    """Random substitutions in items of 1 to 60 words against the rule by plain counting."""
+    rng = random.Random(11)
+    for n in range(1, 61):
+        own = [f"w{n}x{j}" for j in range(n)]
+        block = decontam.build([(1, " ".join(own)), (2, " ".join(f"v{j}" for j in range(40)))])
+        assert decontam.overlaps("before " + " ".join(own) + " after", block)[0][1:] == (1, n + 1, n)
+        for _ in range(25):
+            places = {j for j in range(n) if rng.random() < rng.choice((0.1, 0.2, 0.25))}
+            copy = ["other" if j in places else w for j, w in enumerate(own)]
+            least = min(13, n)
+            due = any(5 * sum(j not in places for j in range(a, b)) >= 4 * (b - a) for a in range(n) for b in range(a + least, n + 1))
+            assert bool(decontam.overlaps("before " + " ".join(copy) + " after", block)) == due, (n, places)
+
+
+def test_decontamination_counts_words_of_any_script(spark):
+    bench = spark.createDataFrame([(i, "слово ещё одно и другие слова здесь " + "абвгд"[i % 5] * (i + 1)) for i in range(40)], "item_id long, text string")
+    assert len(list(decontam.blocks(bench, 40))) == 8 and sum(map(len, decontam.blocks(bench, 40))) == 40
+
+
 def test_decontamination_finds_short_items():
     for n in range(1, 13):
         own = [f"w{j}" for j in range(n)]
@@ -540,17 +560,37 @@ def test_secrets(spark, docs, texts):
     assert blobscan.find_secrets(df.limit(0)).count() == 0
 
 
-def test_ledger_scans_only_unseen_pairs(spark):
+def pairs_of(df):
+    return sorted((bytes(r["blob"]).hex(), r["rule"], r["version"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("few", [0, blobscan.FEW])
+def test_ledger_scans_only_unseen_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(blobscan, "FEW", few)
     first = frame(spark, [(1, SECRETS[0], "a"), (2, "plain", "a")])
-    found, ledger = (x.cache() for x in blobscan.scan_new(first))
-    assert ledger.count() == 2 * len(blobscan.RULES)
-    both = first.unionByName(frame(spark, [(3, SECRETS[1], "a"), (4, SECRETS[0], "b")]))
-    more, rows = blobscan.scan_new(both, ledger=ledger)
-    assert rows.count() == len(blobscan.RULES) and more.select("blob").distinct().count() == 1
-    whole = {str(r) for r in blobscan.find_secrets(both).collect()}
-    assert {str(r) for r in blobscan.find_secrets(both, known=found, ledger=ledger).collect()} == whole
-    newer = tuple(blobscan.Rule(r.name, 2 if r.name == "hex" else 1, r.pattern, r.hint, r.group, r.least) for r in blobscan.RULES)
-    assert {r["rule"] for r in blobscan.scan_new(first, newer, ledger)[1].collect()} == {"hex"}
+    ledger = blobscan.update(first)
+    names = [r.name for r in blobscan.RULES]
+    sha = lambda *texts: {hashlib.sha256((t or "").encode()).hexdigest() for t in texts}
+    assert pairs_of(ledger.pairs) == sorted((b, n, 1) for b in sha(SECRETS[0], "plain") for n in names)
+    both = first.unionByName(frame(spark, [(3, SECRETS[1], "a"), (4, SECRETS[0], "b"), (5, None, "b"), (None, "", "b")]))
+    new = blobscan.scan_new(both, pairs=ledger.pairs)
+    assert pairs_of(new.pairs) == sorted((b, n, 1) for b in sha(SECRETS[1], "") for n in names)  # scanned pairs are the unseen ones
+    assert {bytes(r["blob"]).hex() for r in new.findings.collect()} == sha(SECRETS[1])
+    whole = sorted(map(str, blobscan.find_secrets(both).collect()))
+    assert sorted(map(str, blobscan.find_secrets(both, ledger=ledger).collect())) == whole
+    assert blobscan.scan_new(both, pairs=blobscan.update(both, ledger=ledger).pairs).pairs.count() == 0
+    # a rule that changes is scanned anew, and findings of its earlier version no longer count
+    newer = tuple(blobscan.Rule("hex", 2, r"(?<![0-9a-f])[0-9a-f]{30,}", r.hint) if r.name == "hex" else r for r in blobscan.RULES)
+    ledger = blobscan.update(both, ledger=ledger)
+    assert {r["rule"] for r in blobscan.scan_new(both, newer, ledger.pairs).pairs.collect()} == {"hex"}
+    assert sorted(map(str, blobscan.find_secrets(both, newer, ledger).collect())) == sorted(map(str, blobscan.find_secrets(both, newer).collect()))
+
+
+def test_secrets_query_equals_one_scan(spark):
+    from pitpanel.llm import queries
+
+    due = blobscan.find_secrets(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    assert sorted(map(str, queries.op9_secrets(spark, SF).collect())) == sorted(map(str, due))
 
 
 # 10: personal data
