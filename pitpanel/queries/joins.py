@@ -10,7 +10,7 @@ from ..operators import events as ev
 from ..operators import joins as jo
 from ..operators import normalize as no
 from ..operators import panel as pa
-from .base import AUDIT, B, END, HORIZON, ISSUE, KNOWN, OFFSET, P, PANEL, PLAN, Run, near, query, sql_near
+from .base import AUDIT, B, END, HORIZON, KNOWN, OFFSET, P, PANEL, PLAN, RETURN_FAULTS, SUPPORTED, Run, first_of, near, query, span, sql_near
 
 # fmt: off
 ON = f"h.permno = f.permno and f.date >= h.valid_from and f.date <= coalesce(h.valid_to, {END})"
@@ -125,7 +125,7 @@ def q1_return_validity(spark, sf):
     return Run(spark, sf).daily.select("permno", "date", q.return_validity("ret_total").alias("validity"))
 
 
-@query(f"{P} select permno, date, {ISSUE} as issue from daily")
+@query(f"{P} select permno, date, {first_of(RETURN_FAULTS)} as issue from daily")
 def q2_daily_return_issue(spark, sf):
     return Run(spark, sf).daily.select("permno", "date", q.daily_return_issue().alias("issue"))
 
@@ -157,10 +157,10 @@ def q7_baseline_eligible(spark, sf):
     return Run(spark, sf).panel.select("permno", "date", "baseline_eligible_observed")
 
 
-UNIVERSE = f"""{P}, u as (select d.permno, d.date, h.share_type = 'NS' and h.security_type = 'EQTY' and h.security_subtype = 'COM' and h.us_incorporated_flag = 'Y' and h.issuer_type in ('ACOR', 'CORP') as is_common_stock,
-  h.primary_exchange in ('N', 'A', 'Q') as is_primary_exchange, h.trading_status_flag = 'A' as is_active, h.conditional_type = 'RW' as is_regular_way
-  from daily d left join history h on h.permno = d.permno and d.date >= h.valid_from and d.date <= h.valid_to),
-universe as (select *, is_common_stock and is_primary_exchange and is_active and is_regular_way as is_investable from u)"""
+UNIVERSE = f"""{P}, held as (select d.permno, d.date, (select max_by(h, h.valid_from) from history h where h.permno = d.permno and d.date between h.valid_from and h.valid_to) as m from daily d),
+  flags as (select permno, date, if(m is null, null, m.issuer_type in ('ACOR', 'CORP') and concat_ws('/', m.share_type, m.security_type, m.security_subtype, m.us_incorporated_flag) = 'NS/EQTY/COM/Y') as is_common_stock,
+    contains('NAQ', m.primary_exchange) as is_primary_exchange, m.trading_status_flag = 'A' as is_active, m.conditional_type = 'RW' as is_regular_way from held),
+  universe as (select *, not (not is_common_stock or not is_primary_exchange or not is_active or not is_regular_way) as is_investable from flags)"""
 
 
 @query(f"{UNIVERSE} select * from universe")
@@ -180,13 +180,14 @@ def q9_build_panel(spark, sf):
         "is_delisting_return", "event_terms_incomplete", "ledger_status", "requires_review", F.col("return_available_at").isNull().alias("availability_unknown"))
 
 
-REVERSE = """select e.permno, coalesce(e.return_storage_date, e.event_date) as observed_date, e.event_date, d.date as actual_daily_date, d.ret_total, e.delisting_return,
-    case when e.return_storage_date is null then 'MISSING_SOURCE_STORAGE_DATE' when d.permno is null then 'MISSING_TERMINAL_DAILY_ROW'
-      when d.delist_flag is distinct from 'Y' then 'EXPECTED_TERMINAL_FLAG' when d.ret_total is distinct from e.delisting_return then 'TERMINAL_RETURN_MISMATCH'
-      when d.ret_total is null then 'MATCHED_NULL' else 'MATCHED_VALUE' end as reconciliation_status
-  from terminal e left join daily d on d.permno = e.permno and d.date = e.return_storage_date
-  union all select d.permno, d.date, null, d.date, d.ret_total, null, 'UNMATCHED_TERMINAL_EVENT' from daily d
-    where d.delist_flag = 'Y' and not exists (select 1 from terminal e where e.permno = d.permno and e.return_storage_date = d.date)"""
+# How an event and the daily row on its storage date can stand to each other.
+AGREEMENT = (
+    ("UNMATCHED_TERMINAL_EVENT", "e is null"), ("MISSING_SOURCE_STORAGE_DATE", "e.return_storage_date is null"), ("MISSING_TERMINAL_DAILY_ROW", "d is null"),
+    ("EXPECTED_TERMINAL_FLAG", "ifnull(d.delist_flag, '') <> 'Y'"), ("TERMINAL_RETURN_MISMATCH", "d.ret_total is distinct from e.delisting_return"), ("MATCHED_NULL", "d.ret_total is null"), ("MATCHED_VALUE", "true"),
+)
+REVERSE = f"""select ifnull(e.permno, d.permno) as permno, coalesce(e.return_storage_date, e.event_date, d.date) as observed_date, e.event_date, d.date as actual_daily_date, d.ret_total, e.delisting_return,
+    {first_of(AGREEMENT)} as reconciliation_status
+  from (select t as e, permno, return_storage_date as date from terminal t) full join (select t as d, permno, date from daily t) using (permno, date) where e is not null or d.delist_flag = 'Y'"""
 
 
 @query(f"{P} {REVERSE}")
@@ -208,8 +209,8 @@ def q11_event_evidence(spark, sf):
 
 
 @query(f"""{P} select permno, event_date, coalesce({ACTION}, 'unknown') as category,
-  case when action_type in ('GDR', 'GEX', 'GLI', 'MER') then 'requires_return_reconciliation' else 'unsupported' end as event_status,
-  case when action_type in ('GDR', 'GEX', 'GLI', 'MER') then 'matched terminal return only' when action_type = 'LOS' then 'no final recovery value' else 'unknown code' end as event_reason,
+  case when action_type in {SUPPORTED} then 'requires_return_reconciliation' else 'unsupported' end as event_status,
+  case when action_type in {SUPPORTED} then 'matched terminal return only' when action_type = 'LOS' then 'no final recovery value' else 'unknown code' end as event_reason,
   'unsupported' as event_ledger_status, false as successor_auto_linked from terminal""")
 def q12_classify_events(spark, sf):
     return ev.classify_events(Run(spark, sf).events).select("permno", "event_date", "category", "event_status", "event_reason", "event_ledger_status", "successor_auto_linked")
@@ -230,9 +231,9 @@ def q13_classify_distributions(spark, sf):
       when terminal_row and has_event and validity = 'VALID' and theirs = 'VALID' and ret_total <> delisting_return then 'RETURNS_DISAGREE'
       when terminal_row and has_event and validity <> theirs then 'VALIDITY_DISAGREES' end as violation,
     case when terminal_row and not has_event then 'UNRECONCILED_TERMINAL_RETURN'
-      when terminal_row and has_event and coalesce(action_type, '?') not in ('GDR', 'GEX', 'GLI', 'MER') then 'UNSUPPORTED_TERMINAL_EVENT'
+      when terminal_row and has_event and coalesce(action_type, '?') not in {SUPPORTED} then 'UNSUPPORTED_TERMINAL_EVENT'
       when terminal_row and has_event and validity = 'MISSING' then 'MISSING_TERMINAL_RETURN' when terminal_row and has_event and validity <> 'VALID' then validity
-      when {ISSUE} in ('MISSING_RETURN', 'INVALID_RETURN') then validity else {ISSUE} end as review_reason from y)
+      when {first_of(RETURN_FAULTS)} in ('MISSING_RETURN', 'INVALID_RETURN') then validity else {first_of(RETURN_FAULTS)} end as review_reason from y)
   select permno, date, violation, review_reason, case when violation is null and review_reason is null then ret_total end as ret_released, not terminal_row and review_reason is null as usable_as_feature from z""")
 def q14_resolve_returns(spark, sf):
     r = Run(spark, sf)
@@ -245,11 +246,14 @@ def q15_identity_changes(spark, sf):
     return ev.identity_changes(Run(spark, sf).history)
 
 
-HELD = f"""{PANEL}, hold as (select distinct a.permno, c.date as interval_date from panel a join calendar c on c.date between date '{PLAN['eval_start']}' and date '{PLAN['eval_end']}'),
-  o as (select h.interval_date, h.permno, p.* exclude (permno), p.permno as seen from hold h left join panel p on p.permno = h.permno and p.date = h.interval_date)"""
-PLAIN = f"""case when seen is null then 'MISSING_HELD_SECURITY' when {VALIDITY.format('ret_total_backtest')} <> 'VALID' then coalesce(return_quality, 'MISSING_OR_INVALID_HELD_RETURN')
-  when return_quality not in ('VALID', 'VALID_VENDOR_RETURN') then return_quality when requires_review then 'HELD_OUTCOME_REQUIRES_REVIEW'
-  when ret_missing_flag is distinct from 'NA' then 'INCOMPLETE_VENDOR_RETURN' when coalesce(delist_flag, '?') not in ('N', 'Y') then 'UNKNOWN_DELISTING_FLAG' end"""
+HELD = f"""{PANEL}, days as (select cast(unnest(generate_series(date '{PLAN['eval_start']}', date '{PLAN['eval_end']}', interval 1 day)) as date) as date),
+  held as (select date as interval_date, permno, (select any_value(p) from panel p where p.permno = e.permno and p.date = days.date) as p from days, (select distinct permno from panel) e)"""
+# Why a held row can't be used, in the order in which the reasons are given.
+HELD_FAULTS = (
+    ("MISSING_OR_INVALID_HELD_RETURN", "ifnull(p.ret_total_backtest, -2) < -1 or not isfinite(p.ret_total_backtest)"), ("HELD_OUTCOME_REQUIRES_REVIEW", "p.requires_review"),
+    ("INCOMPLETE_VENDOR_RETURN", "ifnull(p.ret_missing_flag, '') <> 'NA'"), ("UNKNOWN_DELISTING_FLAG", "ifnull(p.delist_flag, '') not in ('N', 'Y')"),
+)
+GIVEN = "nullif(p.return_quality, 'VALID_VENDOR_RETURN')"  # the panel's own reason goes before
 
 
 def _holdings(r: Run):
@@ -257,14 +261,14 @@ def _holdings(r: Run):
     return r.run_panel.select("permno").distinct().select("permno", F.explode(days).alias("interval_date"))
 
 
-@query(f"{HELD} select interval_date, permno, count(seen) as observations, min({PLAIN}) as reason from o group by 1, 2")
+@query(f"{HELD} select interval_date, permno, cast(p is not null as bigint) as observations, if(p is null, 'MISSING_HELD_SECURITY', coalesce({GIVEN}, {first_of(HELD_FAULTS)})) as reason from held")
 def q16_held_outcomes(spark, sf):
     r = Run(spark, sf)
     return ev.held_outcomes(_holdings(r), r.run_panel)
 
 
-@query(f"""{HELD} select interval_date, permno, count(seen) as observations,
-  min(case when seen is null then 'MISSING_HELD_SECURITY' when delist_flag = 'Y' or event_terms_incomplete then 'UNSUPPORTED_CASH_SHARE_SETTLEMENT' else {PLAIN} end) as reason from o group by 1, 2""")
+@query(f"""{HELD} select interval_date, permno, cast(p is not null as bigint) as observations, case when p is null then 'MISSING_HELD_SECURITY'
+  else coalesce(if(p.delist_flag = 'Y' or p.event_terms_incomplete, 'UNSUPPORTED_CASH_SHARE_SETTLEMENT', null), {GIVEN}, {first_of(HELD_FAULTS)}) end as reason from held""")
 def q16_held_outcomes_cash(spark, sf):
     r = Run(spark, sf)
     return ev.held_outcomes(_holdings(r), r.run_panel, "cash_shares")

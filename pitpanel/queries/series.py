@@ -11,7 +11,7 @@ from ..operators import index as ix
 from ..operators import labels as la
 from ..operators import normalize as no
 from ..operators import panel as pa
-from .base import AUDIT, FACTORS, FEATURES, LABELS, LOG, LOOKBACK, P, PANEL, PLAN, RATE, SUMMARY, WEALTH, HORIZON, Run, near, query, sql_near, table
+from .base import AUDIT, FACTORS, FEATURES, LABELS, LOOKBACK, P, PANEL, PLAN, RATE, SUMMARY, WEALTH, HORIZON, Run, near, query, sql_near, table
 from .joins import REVERSE, UNIVERSE
 
 # fmt: off
@@ -68,7 +68,7 @@ def w8_rebase_with_fallback(spark, sf):
     return ix.rebase_with_fallback(Run(spark, sf).wealth, PLAN["base_date"], "first_valid_after_base").select("permno", "date", "status", "actual_base_date", near("rebased").alias("rebased"))
 
 
-COMPOUND = f"case when count(case when ret_total is null then 1 end) over w > 0 then null when count(case when ret_total = -1 then 1 end) over w > 0 then 0.0 else {{0}} * exp(sum({LOG.format('ret_total')}) over w) end"
+COMPOUND = "if(count(*) over w = count(ret_total) over w, {0} * product(1 + ret_total) over w, null)"
 WIN = f"window w as ({BY} rows between unbounded preceding and current row)"
 
 
@@ -77,9 +77,9 @@ def w9_compound_returns(spark, sf):
     return ix.compound_returns(Run(spark, sf).run_panel).select("permno", "date", near("wealth").alias("wealth"))
 
 
-@query(f"""{PANEL}, x as (select permno, date, ret_total, count(*) over w as n, count(ret_total) over w as k, min(ret_total) over w as low, sum({LOG.format('ret_total')}) over w as g,
+@query(f"""{PANEL}, x as (select permno, date, ret_total, count(*) over w as n, count(ret_total) over w as k, product(1 + ret_total) over w as g,
     coalesce(bool_or(ret_total = -1) over ({BY} rows between unbounded preceding and 1 preceding), false) as ended from panel window w as ({BY} rows between {LOOKBACK - 1} preceding and current row))
-  select permno, date, {sql_near(f"case when n = {LOOKBACK} and k = {LOOKBACK} and not ended then case when low = -1 then -1.0 else exp(g) - 1 end end")} as momentum from x""")
+  select permno, date, {sql_near(f"case when n = {LOOKBACK} and k = {LOOKBACK} and not ended then g - 1 end")} as momentum from x""")
 def w10_rolling_momentum(spark, sf):
     return fa.rolling_momentum(Run(spark, sf).run_panel, LOOKBACK).select("permno", "date", near("momentum").alias("momentum"))
 
