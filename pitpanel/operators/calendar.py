@@ -72,7 +72,8 @@ def next_session(df: DataFrame, cal: DataFrame, column: str, name: str = "next_s
     dates = df.select(F.col(column).alias("_day")).where(F.col(column).isNotNull()).distinct()
     line = dates.select("_day", F.lit(None).cast("date").alias("_session")).unionByName(cal.select(F.col("date").alias("_day"), F.col("date").alias("_session")))
     line = line.withColumn("_day_n", F.unix_date("_day"))
-    ahead = Window.orderBy("_day_n").rangeBetween(1, Window.unboundedFollowing)
+    # latest first, so that the minimum runs on instead of starting anew at each row
+    ahead = Window.orderBy(F.desc("_day_n")).rangeBetween(Window.unboundedPreceding, -1)
     found = line.withColumn(name, F.min("_session").over(ahead)).where("_session is null").select("_day", name)
     return df.join(found, df[column] == found["_day"], "left").drop("_day")
 

@@ -27,6 +27,7 @@ Tables = Mapping[str, DataFrame]
 KEYS = {
     "panel": ("permno", "date"), "features": ("permno", "decision_date"), "evaluation": ("permno", "decision_date"), "labels": ("permno", "decision_date"),
     "training": ("permno", "decision_date"), "audit": ("permno", "decision_date"), "display": ("permno", "date"), "calendar": ("date",),
+    "evidence": ("permno", "observed_date"),
 }
 OUTCOMES = ("forward_vendor_return", "label_status", "delisting_return", "terminal_event_date", "successor_permno", "wealth_index", "index_base100", "valid_to")
 OBSERVED = "OBSERVED_APPROXIMATE_AVAILABILITY"
@@ -53,7 +54,10 @@ def day(plan: Mapping, name: str) -> Column:
 
 
 def check_artifacts(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return verify_run(spark, root, name).select(F.concat(F.lit("artifact:"), "table").alias("check"), (~F.col("agrees")).cast("bigint").alias("violations"))
+    """Content and row count of each published table against the manifest."""
+    seen = verify_run(spark, root, name)
+    own = lambda kind, flag: seen.select(F.concat(F.lit(f"{kind}:"), "table").alias("check"), (~F.col(flag)).cast("bigint").alias("violations"))
+    return own("artifact", "agrees").unionByName(own("rows", "rows_agree"))
 
 
 def check_schema(t: Tables, required: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -127,6 +131,7 @@ def check_training_labels(t: Tables, plan: Mapping) -> DataFrame:
 
 
 def check_audit_totals(t: Tables) -> DataFrame:
+    """Audit against features, training, summary, and its own rules."""
     keys = ["permno", "decision_date"]
     due = t["summary"].select(F.col("feature_rows").alias("n"), F.col("training_included").alias("k"))
     real = t["audit"].select(F.lit(-1).cast("bigint").alias("n"), F.when(F.col("training_included"), -1).otherwise(0).cast("bigint").alias("k"))
@@ -135,7 +140,10 @@ def check_audit_totals(t: Tables) -> DataFrame:
         [
             rows_of(bag_diff(t["features"].select(*keys), t["audit"].select(*keys)), "audit_has_features"),
             rows_of(bag_diff(t["audit"].where("training_included").select(*keys), t["training"].select(*keys)), "training_is_included"),
-            counted(t["audit"], {"included_is_usable": F.col("training_included") & (F.col("outcome_disposition") != "USABLE_AT_CUTOFF")}),
+            counted(
+                t["audit"],
+                {"included_is_usable": F.col("training_included") & ((F.col("outcome_disposition") != "USABLE_AT_CUTOFF") | ~F.col("training_candidate") | (F.col("sample_role") != "TRAINING") | (F.col("label_status") != OBSERVED))},
+            ),
             off,
         ]
     )
@@ -182,6 +190,14 @@ def check_terminal(t: Tables) -> DataFrame:
             rows_of(duplicate_keys(stored, ["permno", "return_storage_date"]), "one_row_per_event"),
             counted(e, {"storage_after_event": F.col("return_storage_date") <= F.col("event_date")}),
             rows_of(e.join(r, ["permno", "event_date"], "left_anti"), "no_event_lost"),
+            rows_of(t["panel"].where(q.is_terminal()).join(r.select("permno", F.col("actual_daily_date").alias("date")), ["permno", "date"], "left_anti"), "no_terminal_row_lost"),
+            counted(
+                r.where(F.col("reconciliation_status").isin(*q.MATCHED)),
+                {
+                    "reconciliation_keeps_dates": q.differs("actual_daily_date", "return_storage_date") | q.differs("delist_flag", F.lit("Y")) | q.differs("ret_total", "delisting_return")
+                    | F.coalesce(F.col("event_date") >= F.col("return_storage_date"), F.lit(True))
+                },
+            ),
         ]
     )
 
@@ -200,14 +216,37 @@ def check_display(t: Tables, plan: Mapping, tolerance: float = 1e-9) -> DataFram
             "display_formula": F.abs(out - 100 * value / F.nullif(base, F.lit(0.0))) > tolerance,
             "base_is_100": (F.col("date") == day(plan, "base_date")) & (F.abs(out - 100) > tolerance),
             "base_value_equal": (F.col("date") == day(plan, "base_date")) & q.differs("wealth_index", "base_wealth_index"),
+            "base_observed_as_planned": (F.col("date") == day(plan, "base_date")) & ~F.col("has_base"),
         },
     )
 
 
-def check_counts(t: Tables, status: DataFrame) -> DataFrame:
-    due = status.select(F.col("unresolved_returns").alias("n"))
-    real = t["panel"].where(F.col("return_quality") != "VALID_VENDOR_RETURN").select(F.lit(-1).cast("bigint").alias("n"))
-    return due.unionByName(real).agg(F.abs(F.sum("n")).alias("violations")).select(F.lit("unresolved_equals_status").alias("check"), "violations")
+def check_counts(t: Tables, status: DataFrame, report: DataFrame | None = None) -> DataFrame:
+    """The counts that a run reports against its tables: ``status`` of ``run_status`` and, if
+    given, the total of ``dropout_report``."""
+
+    def off(name: str, due: DataFrame, rows: DataFrame) -> DataFrame:
+        both = due.toDF("n").unionByName(rows.select(F.lit(-1).cast("bigint").alias("n")))
+        return both.agg(F.abs(F.sum("n")).alias("violations")).select(F.lit(name).alias("check"), "violations")
+
+    parts = [
+        off("unresolved_equals_status", status.select("unresolved_returns"), t["panel"].where(F.col("return_quality") != "VALID_VENDOR_RETURN")),
+        off("unresolved_events_equal_status", status.select("unresolved_events"), t["reconciliation"].where(~F.col("reconciliation_status").isin(*q.MATCHED))),
+    ]
+    if report is not None:
+        parts.append(off("candidates_equal_report", report.where("kind = 'total'").select("candidates"), t["audit"].where("training_candidate")))
+    return all_of(parts)
+
+
+EVENT_FIELDS = ("delisting_return", "action_type", "status_type", "reason_type", "payment_type", "successor_permno")
+
+
+def check_terminal_evidence(t: Tables) -> DataFrame:
+    """Terminal rows of the panel keep every field of their source event."""
+    source = t["events"].select("permno", F.col("event_date").alias("terminal_event_date"), F.lit(True).alias("_known"), *(F.col(c).alias(f"_{c}") for c in EVENT_FIELDS))
+    rows = t["panel"].where(q.is_terminal() & F.col("terminal_event_date").isNotNull()).join(source, ["permno", "terminal_event_date"], "left")
+    changed = reduce(lambda a, b: a | b, (q.differs(c, f"_{c}") for c in EVENT_FIELDS))
+    return counted(rows, {"terminal_evidence_preserved": F.col("_known").isNull() | changed})
 
 
 def check_source_preserved(t: Tables, plan: Mapping) -> DataFrame:
@@ -241,15 +280,24 @@ def check_causality(build, daily: DataFrame, upto: str, changed: DataFrame) -> D
     from rows whose future was cut off or changed."""
     limit = F.col("decision_date") <= F.lit(upto).cast("date")
     past = daily.where(F.col("date") <= F.lit(upto).cast("date"))
+    names = {"causal_if_cut": build(past), "causal_if_changed": build(changed)}
     whole = build(daily).where(limit)
-    return rows_of(bag_diff(whole, build(past).where(limit)), "causal_if_cut").unionByName(rows_of(bag_diff(whole, build(changed).where(limit)), "causal_if_changed"))
-
-
-def run_checks(t: Tables, plan: Mapping, config: Mapping, status: DataFrame) -> DataFrame:
-    """``check, violations, passed`` of all checks on the tables of a run."""
+    # the whole is built once and held against both others in one shuffle
+    signed = whole.select("*", F.explode(F.array(*map(F.lit, names))).alias("check"), F.lit(1).alias("sign"))
+    for name, other in names.items():
+        signed = signed.unionByName(other.where(limit).select("*", F.lit(name).alias("check"), F.lit(-1).alias("sign")))
+    off = signed.groupBy("check", *whole.columns).agg(F.sum("sign").alias("surplus")).where("surplus <> 0").select("check", F.lit(1).cast("bigint").alias("violations"))
+    none = all_of([constant(daily.sparkSession, name, 0) for name in names])
+    return off.unionByName(none).groupBy("check").agg(F.sum("violations").alias("violations"))
+
+
+def run_checks(t: Tables, plan: Mapping, config: Mapping, status: DataFrame, report: DataFrame | None = None, published: tuple[SparkSession, str, str] | None = None) -> DataFrame:
+    """``check, violations, passed`` of all checks on the tables of a run; with ``published``
+    (session, root, run) also of its files against their manifest."""
     parts = [
         check_schema(t, {"daily": DAILY.names}), check_keys(t), check_leakage_columns(t), check_availability(t, config["offset"]), check_feature_sources(t),
         check_evaluation_subset(t, plan), check_panel_range(t, plan), check_training_labels(t, plan), check_audit_totals(t), check_label_states(t, config["horizon"]),
-        check_return_policy(t), check_terminal(t), check_events(t), check_display(t, plan), check_counts(t, status), check_source_preserved(t, plan), check_inputs(t),
+        check_return_policy(t), check_terminal(t), check_events(t), check_display(t, plan), check_counts(t, status, report), check_source_preserved(t, plan), check_terminal_evidence(t), check_inputs(t),
+        *([check_artifacts(*published)] if published else []),
     ]
     return all_of(parts).withColumn("passed", F.col("violations") == 0)

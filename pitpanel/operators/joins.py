@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import ContractError
@@ -23,6 +23,27 @@ def interval_join(
     return df.join(h, (df[key] == h["_key"]) & (df[date] >= h[frm]) & (df[date] <= end), how)
 
 
+def carried_join(
+    df: DataFrame, hist: DataFrame, key: str = "permno", date: str = "date", frm: str = "valid_from", to: str = "valid_to", open_end: bool = True,
+) -> DataFrame:
+    """As ``interval_join`` for histories whose intervals of a key are disjoint: both sides
+    are ordered by date within the key and the last interval is carried forward, so a row
+    meets one interval however many its key has. Rows without a key or date match none."""
+    carried = [c for c in hist.columns if c != key]
+    own = df.withColumns({"_at": F.col(date).cast("date"), "_row": F.struct(*df.columns), "_interval": F.lit(None).cast(hist.select(*carried).schema)})
+    starts = hist.where(F.col(key).isNotNull() & F.col(frm).isNotNull()).select(
+        F.col(key), F.col(frm).cast("date").alias("_at"), F.lit(None).cast(df.schema).alias("_row"), F.struct(*carried).alias("_interval")
+    )
+    line = starts.unionByName(own.select(key, "_at", "_row", "_interval"))
+    # rows without a key meet nothing, so they are dealt out instead of sorted together
+    spread = F.when(F.col(key).isNull(), F.xxhash64("_row") % 1024)
+    upto = Window.partitionBy(key, spread).orderBy("_at", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = line.withColumn("_interval", F.last("_interval", ignorenulls=True).over(upto)).where("_row is not null")
+    end = F.col(f"_interval.{to}")
+    inside = F.col(key).isNotNull() & (F.col("_at") <= (end_of(end) if open_end else end))
+    return found.withColumn("_interval", F.when(inside, F.col("_interval"))).select("_row.*", *(F.col(f"_interval.{c}").alias(c) for c in carried))
+
+
 def ambiguous(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that a join has multiplied."""
     return joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("matches")).where("matches > 1")

@@ -10,6 +10,7 @@ from ..plans import windows as pl
 from ..schemas import DAILY, require_columns
 from ..sources import extract as ex
 from ..sources import tables as ta
+from ..sources.shared import scratch
 from .base import B, END, FACTORS, P, Run, near, query, sql_near, table
 
 # fmt: off
@@ -21,9 +22,12 @@ def s1_read_table(spark, sf):
     return ta.read_table(spark, [f"{sf}/lineitem.parquet"]).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
-@query("select event_id, user_id, event_type from events")
+@query("select event_id, user_id, event_type, year(ts) as year, month(ts) as month from events")
 def s2_read_panel(spark, sf):
-    return ta.read_panel(spark, f"{sf}/events.parquet").select("event_id", "user_id", "event_type")
+    """Written in ``year=/month=`` folders and read back by them."""
+    root = scratch(spark, "panel-months")
+    ta.write_months(table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("date").alias("date")), root)
+    return ta.read_panel(spark, root).select("event_id", "user_id", "event_type", F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"))
 
 
 @query(f"{P} select {DAYS} from daily")
@@ -71,8 +75,17 @@ def s13_manifest(spark, sf):
     return ta.manifest(months, "orders", by=["year", "month"]).select("year", "month", "rows", "min_date", "max_date")
 
 
-@query()
+@query("""select l_returnflag, count(*) as n, bit_xor(h) as xor, cast(sum(h) as varchar) as sum from
+  (select l_returnflag, cast((cast(l_orderkey as bigint) * 8 + l_linenumber) * 2654435761 + round(l_extendedprice * 100) as bigint) as h from lineitem) x group by 1""")
 def s14_fingerprint(spark, sf):
+    """By a row hash that SQL can say too; the default one is xxHash64 of all columns."""
+    key = F.col("l_orderkey").cast("bigint") * 8 + F.col("l_linenumber")
+    h = (key * 2654435761 + F.round(F.col("l_extendedprice") * 100)).cast("bigint")
+    return ta.fingerprint(table(spark, sf, "lineitem"), ["l_returnflag"], h).withColumn("sum", F.col("sum").cast("string"))
+
+
+@query()
+def s14_fingerprint_all_columns(spark, sf):
     return ta.fingerprint(table(spark, sf, "lineitem"), ["l_returnflag"])
 
 

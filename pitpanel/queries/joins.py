@@ -22,6 +22,13 @@ def j1_interval_join(spark, sf):
     return jo.interval_join(r.facts(), r.intervals()).select("permno", "date", "order_id", "line_id", "quantity", "valid_from", "attribute")
 
 
+@query(f"{B} select f.permno, f.date, f.order_id, f.line_id, f.quantity, h.valid_from, h.attribute from facts f left join intervals h on {ON}")
+def j1_carried_join(spark, sf):
+    """Disjoint intervals carried forward: linear however many intervals a key has."""
+    r = Run(spark, sf)
+    return jo.carried_join(r.facts(), r.intervals()).select("permno", "date", "order_id", "line_id", "quantity", "valid_from", "attribute")
+
+
 @query(f"{B} select f.permno, f.date, f.order_id, f.line_id, h.valid_from, h.attribute from facts f left join intervals h on h.permno = f.permno and f.date >= h.valid_from and f.date <= h.valid_to")
 def j2_closed_interval_join(spark, sf):
     r = Run(spark, sf)
@@ -92,10 +99,10 @@ def j12_with_exists(spark, sf):
     return jo.with_exists(r.daily, r.terminal, "permno", "has_terminal").select("permno", "date", "has_terminal")
 
 
-@query(f"{P} select permno, date, price_raw from daily d where not exists (select 1 from history h where h.permno = d.permno)")
+@query(f"{P} select permno, date, price_raw from daily d where not exists (select 1 from terminal t where t.permno = d.permno)")
 def j13_missing_in(spark, sf):
     r = Run(spark, sf)
-    return jo.missing_in(r.daily, r.history, ["permno"]).select("permno", "date", "price_raw")
+    return jo.missing_in(r.daily, r.terminal, ["permno"]).select("permno", "date", "price_raw")
 
 
 @query(f"{P} select e.permno, e.event_date, d.date as actual_daily_date, d.ret_total from terminal e left join daily d on d.permno = e.permno and d.date = e.return_storage_date")

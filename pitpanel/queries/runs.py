@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import audit as au
 from ..operators import checks as ck
 from ..operators import factors as fa
 from ..operators import features as fe
 from ..operators import panel as pa
+from ..schemas import DAILY, HISTORY
 from ..sources import tables as ta
 from ..sources.shared import scratch
-from .base import AUDIT, FEATURES, HORIZON, LABELS, LOOKBACK, OFFSET, P, PANEL, PLAN, WEALTH, Run, query, table
+from .base import AUDIT, FEATURES, HORIZON, LABEL_TAIL, LABELS, LOOKBACK, OFFSET, P, PANEL, PLAN, WEALTH, Run, query, table
 from .joins import REVERSE
 
 # fmt: off
@@ -53,21 +56,42 @@ def s18_publish_run(spark, sf):
     return spark.read.schema("table string, n long").json(f"{root}/{name}/manifest").where("table <> 'features'")
 
 
-@query("select unnest(['features', 'labels', 'panel', 'reconciliation']) as \"table\", true as agrees")
+def _damaged(r: Run) -> tuple[str, str]:
+    """A published run, of which rows are then added to one table and others in another are
+    replaced by as many wrong ones."""
+    root, name = _published(r)
+    folder = f"{root}/{name}"
+    r.reconciliation.where(UNRESOLVED).write.mode("append").parquet(f"{folder}/reconciliation")
+    r.labels.withColumn("observed_sessions", F.col("observed_sessions") + F.when(F.col("label_status") == "SESSION_GAP", 1).otherwise(0)).write.mode("overwrite").parquet(f"{folder}/labels")
+    return root, name
+
+
+UNRESOLVED = "reconciliation_status not in ('MATCHED_VALUE', 'MATCHED_NULL')"
+DAMAGE = f"""{FEATURES},
+{LABEL_TAIL}, rec as ({REVERSE}), damage as (select 'features' as t, 0 as added, (select count(*) from features where permno is null) as changed union all select 'panel', 0, (select count(*) from panel where permno is null)
+  union all select 'labels', 0, (select count(*) from labels where label_status = 'SESSION_GAP') union all select 'reconciliation', (select count(*) from rec where {UNRESOLVED}), 0)"""
+
+
+@query(f"{DAMAGE} select t as \"table\", added = 0 as rows_agree, added + changed = 0 as agrees from damage")
 def s19_verify_run(spark, sf):
-    r = Run(spark, sf)
-    return ta.verify_run(spark, *_published(r))
+    return ta.verify_run(spark, *_damaged(Run(spark, sf)))
 
 
-@query("select unnest(['artifact:features', 'artifact:labels', 'artifact:panel', 'artifact:reconciliation']) as \"check\", cast(0 as bigint) as violations")
+@query(f"""{DAMAGE} select 'artifact:' || t as "check", cast(least(added + changed, 1) as bigint) as violations from damage union all select 'rows:' || t, cast(least(added, 1) as bigint) from damage""")
 def k1_check_artifacts(spark, sf):
-    return ck.check_artifacts(spark, *_published(Run(spark, sf)))
+    return ck.check_artifacts(spark, *_damaged(Run(spark, sf)))
+
 
+def absent(required, relation: str) -> str:
+    """How many of the names are no columns of a relation."""
+    names = ", ".join(f"'{c}'" for c in required)
+    return f"(select count(*) from (select unnest([{names}]) as c) x where not list_contains((select json_keys(to_json(t)) from {relation} t limit 1), c))"
 
-@query("select 'schema:daily' as \"check\", cast(0 as bigint) as violations union all select 'schema:history', 1")
+
+@query(f"""{P} select 'schema:daily' as "check", {absent([*DAILY.names, 'user_id', 'value'], 'daily')} as violations union all select 'schema:history', {absent([*HISTORY.names, 'absent'], 'history')}""")
 def k2_check_schema(spark, sf):
     r = Run(spark, sf)
-    return ck.check_schema({"daily": r.daily, "history": r.history}, {"daily": r.daily.columns, "history": [*r.history.columns, "absent"]})
+    return ck.check_schema({"daily": r.daily, "history": r.history}, {"daily": [*DAILY.names, "user_id", "value"], "history": [*HISTORY.names, "absent"]})
 
 
 def one(name: str, where: str, frm: str) -> str:
@@ -85,9 +109,13 @@ def k3_check_keys(spark, sf):
     return ck.check_keys(r.tables(), {n: ck.KEYS[n] for n in ("panel", "features", "labels", "audit")})
 
 
-@query("select 'no_outcome_columns:features' as \"check\", cast(0 as bigint) as violations union all select 'no_outcome_columns:evaluation', 0")
+@query(f"""{AUDIT}, leaky as (select f.*, a.label_status, a.forward_vendor_return from features f join audit a using (permno, decision_date))
+  select 'no_outcome_columns:features' as "check", {len(ck.OUTCOMES)} - {absent(ck.OUTCOMES, 'features')} as violations union all select 'no_outcome_columns:evaluation', {len(ck.OUTCOMES)} - {absent(ck.OUTCOMES, 'leaky')}""")
 def k4_check_leakage(spark, sf):
-    return ck.check_leakage_columns(Run(spark, sf).tables())
+    """The evaluation table is given two columns that it must not have."""
+    t = Run(spark, sf).tables()
+    outcome = t["labels"].select("permno", "decision_date", "label_status", "forward_vendor_return")
+    return ck.check_leakage_columns(t | {"evaluation": t["features"].join(outcome, ["permno", "decision_date"])})
 
 
 @query(f"""{FEATURES}, x as (select f.*, a.session_index as o, b.session_index as d, b.decision_time as due from features f left join calendar a on a.date = f.observation_date left join calendar b on b.date = f.decision_date)
@@ -146,36 +174,52 @@ def k12_check_return_policy(spark, sf):
 @query(f"""{PANEL}, rec as ({REVERSE}) {union(one('terminal_values_equal', "terminal_reconciliation in ('MATCHED_VALUE', 'MATCHED_NULL') and ret_total is distinct from delisting_return", 'panel'),
   one('valid_terminal_has_event', "delist_flag = 'Y' and return_quality = 'VALID_VENDOR_RETURN' and terminal_event_date is null", 'panel'),
   "select 'one_row_per_event', count(*) from (select 1 from terminal where return_storage_date is not null group by permno, return_storage_date having count(*) > 1) x",
-  one('storage_after_event', 'return_storage_date <= event_date', 'terminal'), one('no_event_lost', 'not exists (select 1 from rec where rec.permno = terminal.permno and rec.event_date = terminal.event_date)', 'terminal'))}""")
+  one('storage_after_event', 'return_storage_date <= event_date', 'terminal'), one('no_event_lost', 'not exists (select 1 from rec where rec.permno = terminal.permno and rec.event_date = terminal.event_date)', 'terminal'),
+  one('no_terminal_row_lost', "delist_flag = 'Y' and not exists (select 1 from rec where rec.permno = panel.permno and rec.actual_daily_date = panel.date)", 'panel'),
+  one('reconciliation_keeps_dates', "reconciliation_status in ('MATCHED_VALUE', 'MATCHED_NULL') and (actual_daily_date is distinct from observed_date or ret_total is distinct from delisting_return or event_date >= observed_date)", 'rec'))}""")
 def k13_check_terminal(spark, sf):
     return ck.check_terminal(Run(spark, sf).tables())
 
 
-@query(f"{PANEL} {one('evidence_keeps_outcome', 'false', 'panel')}")
+EVIDENCE = "(delist_flag is distinct from 'N' or ifnull(distribution_return_flag, '') not in ('NO', 'NA'))"
+
+
+@query(f"{PANEL} {one('evidence_keeps_outcome', f'{EVIDENCE} and permno % 5 = 0 and ret_total <> 0', 'panel')}")
 def k14_check_events(spark, sf):
-    return ck.check_events(Run(spark, sf).tables())
+    """Every fifth entity's evidence says twice its return."""
+    t = Run(spark, sf).tables()
+    twice = F.when(F.col("permno") % 5 == 0, 2 * F.col("ret_total_vendor")).otherwise(F.col("ret_total_vendor"))
+    return ck.check_events(t | {"evidence": t["evidence"].withColumn("ret_total_vendor", twice)})
 
 
-@query(f"""{WEALTH}, r as (select w.*, b.wealth_index as base, case when b.wealth_index > 0 then 100 * w.wealth_index / b.wealth_index end as shown from wealth w left join wealth b on b.permno = w.permno and b.date = date '{PLAN['base_date']}')
+@query(f"""{WEALTH}, r as (select w.*, b.permno as based, b.wealth_index as base, case when b.wealth_index > 0 then 100 * w.wealth_index / b.wealth_index end as shown from wealth w left join wealth b on b.permno = w.permno and b.date = date '{PLAN['base_date']}')
   {union(one('base_zero_or_missing_is_null', '(base is null or base = 0) and shown is not null', 'r'), one('display_formula', 'abs(shown - 100 * wealth_index / nullif(base, 0)) > 1e-9', 'r'),
-         one('base_is_100', f"date = date '{PLAN['base_date']}' and abs(shown - 100) > 1e-9", 'r'), one('base_value_equal', f"date = date '{PLAN['base_date']}' and wealth_index is distinct from base", 'r'))}""")
+         one('base_is_100', f"date = date '{PLAN['base_date']}' and abs(shown - 100) > 1e-9", 'r'), one('base_value_equal', f"date = date '{PLAN['base_date']}' and wealth_index is distinct from base", 'r'), one('base_observed_as_planned', f"date = date '{PLAN['base_date']}' and based is null", 'r'))}""")
 def k15_check_display(spark, sf):
     return ck.check_display(Run(spark, sf).tables(), PLAN)
 
 
-@query("select 'unresolved_equals_status' as \"check\", cast(0 as bigint) as violations")
+@query(f"""{AUDIT}, rec as ({REVERSE}) select 'unresolved_equals_status' as "check", (select count(*) from fullpanel where return_quality <> 'VALID_VENDOR_RETURN') - (select count(*) from panel where return_quality <> 'VALID_VENDOR_RETURN') as violations
+  union all select 'unresolved_events_equal_status', (select count(*) from rec where {UNRESOLVED} and permno % 2 = 0) union all select 'candidates_equal_report', (select count(*) from audit where training_candidate and permno % 2 = 0)""")
 def k16_check_counts(spark, sf):
+    """The reported counts are those of all dates; half of the entities are gone from two tables."""
     r = Run(spark, sf)
-    return ck.check_counts(r.tables(), r.status)
+    whole = au.run_status(r.panel, r.reconciliation)
+    some = {n: r.tables()[n].where("permno % 2 = 1") for n in ("reconciliation", "audit")}
+    return ck.check_counts(r.tables() | some, whole, au.dropout_report(r.audit))
 
 
 DCOLS = "permno, date, price_raw, ret_total, delist_flag, ret_missing_flag, distribution_return_flag"
 RANGE = f"date between date '{PLAN['process_start']}' and date '{PLAN['eval_end']}'"
 
 
-@query(f"{PANEL} select 'source_rows_preserved' as \"check\", count(*) as violations from (select {DCOLS} from daily where {RANGE} except all select {DCOLS} from panel) x")
+@query(f"""{PANEL} select 'source_rows_preserved' as \"check\", count(*) as violations from (select {DCOLS} from daily where {RANGE} except all select {DCOLS} from panel) x
+  union all select 'terminal_evidence_preserved', count(*) from panel p where delist_flag = 'Y' and terminal_event_date is not null and permno % 2 = 0""")
 def k17_check_source(spark, sf):
-    return ck.check_source_preserved(Run(spark, sf).tables(), PLAN)
+    """Of every second event the source has since got another status."""
+    t = Run(spark, sf).tables()
+    newer = t["events"].withColumn("status_type", F.when(F.col("permno") % 2 == 0, "X").otherwise(F.col("status_type")))
+    return ck.check_source_preserved(t, PLAN).unionByName(ck.check_terminal_evidence(t | {"events": newer}))
 
 
 @query(f"""{P}, o as (select *, lag(coalesce(valid_to, date '9999-12-31')) over (partition by permno order by valid_from, valid_to) as pe from history),
@@ -188,10 +232,16 @@ def k18_check_inputs(spark, sf):
     return ck.check_inputs(Run(spark, sf).tables())
 
 
-@query("select 'causal_if_cut' as \"check\", cast(0 as bigint) as violations union all select 'causal_if_changed', 0")
+UPTO = "2024-01-17"
+
+
+@query(f"""{P}, nexts as (select permno, date, lead(price_raw) over (partition by permno order by date) as ahead, lead(date) over (partition by permno order by date) as ahead_date from daily),
+  edges as (select count(*) as n from nexts where date <= date '{UPTO}' and ahead_date > date '{UPTO}' and ahead <> 0), honest as (select count(*) as n from nexts where ahead_date <= date)
+  select 'causal_if_cut' as "check", n as violations from honest union all select 'causal_if_changed', n from honest union all select 'leak:causal_if_cut', 2 * n from edges union all select 'leak:causal_if_changed', 2 * n from edges""")
 def k19_check_causality(spark, sf):
+    """Of the features, which see no later row, and of a table that shows the next price."""
     r = Run(spark, sf)
-    upto = "2024-01-17"
+    upto = UPTO
 
     def build(daily):
         panel = pa.build_panel(daily, r.history, r.events, r.cal)
@@ -199,10 +249,16 @@ def k19_check_causality(spark, sf):
 
     late = F.col("date") > F.lit(upto).cast("date")
     changed = r.daily.withColumns({"ret_total": F.when(late, -0.5).otherwise(F.col("ret_total")), "price_raw": F.when(late, F.col("price_raw") * 2).otherwise(F.col("price_raw"))})
-    return ck.check_causality(build, r.daily, upto, changed)
+
+    def leak(daily):
+        ahead = F.lead("price_raw").over(Window.partitionBy("permno").orderBy("date"))
+        return daily.select("permno", F.col("date").alias("decision_date"), ahead.alias("ahead"))
+
+    leaky = ck.check_causality(leak, r.daily, upto, changed).withColumn("check", F.concat(F.lit("leak:"), "check"))
+    return ck.check_causality(build, r.daily, upto, changed).unionByName(leaky)
 
 
 @query()
 def k_run_checks(spark, sf):
     r = Run(spark, sf)
-    return ck.run_checks(r.tables(), PLAN, {"offset": OFFSET, "horizon": HORIZON}, r.status)
+    return ck.run_checks(r.tables(), PLAN, {"offset": OFFSET, "horizon": HORIZON}, r.status, au.dropout_report(r.audit), (spark, *_published(r)))

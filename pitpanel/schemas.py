@@ -30,10 +30,14 @@ class ContractError(ValueError):
     """A table breaks its contract."""
 
 
-def require_columns(df: DataFrame, columns) -> DataFrame:
-    """``df`` itself, if it has all of ``columns`` (names or a schema); names only are read."""
+def require_columns(df: DataFrame, columns, types: bool = False) -> DataFrame:
+    """``df`` itself, if it has all of ``columns`` (names or a schema), and with ``types``
+    those of the schema; only names and types are read."""
     names = columns.names if isinstance(columns, StructType) else list(columns)
     missing = [c for c in names if c not in df.columns]
     if missing:
         raise ContractError(f"columns missing: {', '.join(missing)}")
+    wrong = [f"{c.name} is {df.schema[c.name].dataType.simpleString()}, not {c.dataType.simpleString()}" for c in columns if df.schema[c.name].dataType != c.dataType] if types else []
+    if wrong:
+        raise ContractError("; ".join(wrong))
     return df

@@ -14,8 +14,15 @@ def local_dir() -> str:
     return tempfile.mkdtemp(prefix="spark-shared-")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``. Only a local session may do without: it gets a
+    temporary folder of this process; on a cluster executors would write where nobody reads."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return (named or local_dir()).rstrip("/")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster names; only where it names none, as in tests,
-    in a local one of this process."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or local_dir()
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -49,10 +49,11 @@ def write_table(df: DataFrame, path: str, sort: Sequence[str], mode: str = "erro
     sorted_output(df, sort).write.mode(mode).option("compression", "zstd").parquet(path)
 
 
-def fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def fingerprint(df: DataFrame, by: Sequence[str] = (), hashed: Column | None = None) -> DataFrame:
     """Per group: row count and two sums over row hashes that no order of rows changes. Equal
-    bags have equal fingerprints; the sum tells repeated rows apart, which xor cancels."""
-    h = F.xxhash64(*[c for c in df.columns])
+    bags have equal fingerprints; the sum tells repeated rows apart, which xor cancels.
+    ``hashed`` is a hash of the row as a long, one of all columns if not given."""
+    h = F.xxhash64(*[c for c in df.columns]) if hashed is None else hashed
     return df.withColumn("_h", h).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor("_h").alias("xor"), F.sum(F.col("_h").cast("decimal(38,0)")).alias("sum")
     )
@@ -76,23 +77,21 @@ def pending_months(inputs: DataFrame, manifest: DataFrame, policy: str) -> DataF
     return now.join(manifest, ["year", "month", "n", "xor", "sum", "policy"], "left_anti")
 
 
-def write_months(df: DataFrame, root: str, manifest: DataFrame | None = None, policy: str = "1", force: bool = False) -> DataFrame:
+def write_months(df: DataFrame, root: str, manifest: DataFrame | None = None, policy: str = "1", force: bool = False, file_rows: int = 5_000_000) -> DataFrame:
     """Write the months that the manifest lacks, replacing what is there of them, and return
     their new manifest rows. ``force`` writes all. A month that was written but not
-    committed to the manifest is written again."""
+    committed to the manifest is written again. A month of more than ``file_rows`` rows is
+    dealt out to several tasks and files, by a hash of its rows."""
     spark, whole = df.sparkSession, months_of(df)
     due = fingerprint(whole, ["year", "month"]).withColumn("policy", F.lit(policy))
     if manifest is not None and not force:
         due = pending_months(df, manifest, policy)
     rows = due.collect()  # one per month
     due = spark.createDataFrame(rows, due.schema)
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        part = whole.join(F.broadcast(due.select("year", "month")), ["year", "month"], "left_semi")
-        part.repartition("year", "month").write.mode("overwrite").partitionBy("year", "month").option("compression", "zstd").parquet(root)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    parts = F.broadcast(due.select("year", "month", F.ceil(F.col("n") / file_rows).alias("_parts")))  # a row for each month
+    part = whole.join(parts, ["year", "month"]).withColumn("_part", F.pmod(F.xxhash64(*df.columns), "_parts"))
+    dealt = part.repartition("year", "month", "_part").drop("_part", "_parts")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").option("compression", "zstd").parquet(root)
     return due
 
 
@@ -135,7 +134,8 @@ def publish_run(tables: Mapping[str, DataFrame], root: str, name: str, inputs: S
 
 
 def verify_run(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """``table, agrees``: each table of a run read again and held against its manifest."""
+    """``table, rows_agree, agrees``: each table of a run read again and held against its
+    manifest, by its row count and by its whole content."""
     folder = f"{root.rstrip('/')}/{name}"
     due = spark.read.schema("table string, n long, xor long, sum string").json(f"{folder}/manifest")
     found = None
@@ -144,4 +144,5 @@ def verify_run(spark: SparkSession, root: str, name: str) -> DataFrame:
         found = own if found is None else found.unionByName(own)
     found = found.select("table", F.col("n").alias("n2"), F.col("xor").alias("xor2"), F.col("sum").cast("string").alias("sum2"))
     same: Column = (F.col("n") == F.col("n2")) & F.col("xor").eqNullSafe(F.col("xor2")) & F.col("sum").eqNullSafe(F.col("sum2"))
-    return due.join(found, "table", "left").select("table", F.coalesce(same, F.lit(False)).alias("agrees"))
+    count = F.coalesce(F.col("n") == F.col("n2"), F.lit(False))
+    return due.join(found, "table", "left").select("table", count.alias("rows_agree"), F.coalesce(same, F.lit(False)).alias("agrees"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitpanel.operators import audit, calendar, events, factors, features, index, joins, labels, normalize, panel
-from pitpanel.operators.checks import check_causality
+from pitpanel.operators.checks import check_causality, run_checks
 from pitpanel.plans.windows import missing_sessions, plan_windows, planned_sessions
 from pitpanel.schemas import DAILY, HISTORY, TERMINAL, ContractError, require_columns
 from pitpanel.sources import extract, tables
@@ -312,6 +312,108 @@ def test_writes(spark, tmp_path, daily):
     assert {r["agrees"] for r in tables.file_counts(spark.read.parquet(f"{root}/verified"), counts).collect()} == {True}
 
 
+@pytest.fixture(scope="module")
+def published(spark, run, daily, history, terminal, cal, tmp_path_factory):
+    """The tables of a run, its plan and how its checks come out with some tables changed."""
+    plan = PLAN | {"process_start": "2024-01-01", "base_date": EVAL_START}
+    stored = panel.terminal_events(terminal, cal)
+    t = {"daily": daily, "history": history, "events": stored, "calendar": cal, "panel": run["panel"].where(F.col("date") <= F.lit(EVAL_END).cast("date")), "reconciliation": panel.reverse_reconciliation(stored, daily)}
+    t["evidence"] = events.event_evidence(t["panel"])
+    t["features"] = features.build_features(factors.momentum(t["panel"], LOOKBACK), cal, 1, EVAL_END)
+    t["evaluation"] = features.evaluation_features(t["features"], EVAL_START, EVAL_END)
+    t["labels"] = labels.build_labels(t["panel"], cal, HORIZON, EVAL_END)
+    t["audit"] = audit.training_audit(t["features"], t["labels"], terminal, PLAN)
+    t["training"] = audit.training_set(t["features"], t["labels"], t["audit"])
+    t["summary"] = audit.dropout_summary(t["audit"])
+    t["display"] = index.rebase(index.wealth_path(t["panel"]), EVAL_START)
+    status, report = audit.run_status(t["panel"], t["reconciliation"]), audit.dropout_report(t["audit"])
+    root = str(tmp_path_factory.mktemp("published"))
+    names = ("panel", "features", "evaluation", "training", "labels", "display", "evidence", "calendar", "audit", "summary", "reconciliation", "daily")
+    tables.publish_run({n: t[n] for n in names}, root, "run")
+    stored_t = t | {n: spark.read.parquet(f"{root}/run/{n}") for n in names}
+
+    def violations(changed, *only):
+        found = run_checks(stored_t | changed, plan, {"offset": 1, "horizon": HORIZON}, status, report, None if only else (spark, root, "run"))
+        rows = (found.where(F.col("check").isin(*only)) if only else found).collect()
+        assert all(r["passed"] == (r["violations"] == 0) for r in rows)
+        return {r["check"]: r["violations"] for r in rows}
+
+    return stored_t, violations
+
+
+def test_run_checks_pass_on_an_undamaged_run(published):
+    found = published[1]({})
+    assert len(found) >= 80 and {n: v for n, v in found.items() if v} == {}
+
+
+def test_dropped_candidate_is_caught(published):
+    t, violations = published
+    found = violations({"audit": t["audit"].where("not (permno = 100 and decision_date = date '2024-01-16')")}, "audit_has_features", "candidates_equal_report", "summary_totals")
+    assert found["audit_has_features"] == 1 and found["candidates_equal_report"] == 1 and found["summary_totals"] > 0
+
+
+def test_terminal_outcome_marked_as_included_is_caught(published):
+    t, violations = published
+    marked = F.col("training_included") | (F.col("training_candidate") & (F.col("outcome_disposition") == "TERMINAL_OUTCOME"))
+    found = violations({"audit": t["audit"].withColumn("training_included", marked)}, "included_is_usable", "training_is_included")
+    assert found["included_is_usable"] > 0 and found["training_is_included"] > 0
+
+
+def test_dropped_reconciliation_is_caught(published):
+    t, violations = published
+    found = violations({"reconciliation": t["reconciliation"].where("permno <> 200")}, "no_terminal_row_lost", "no_event_lost")
+    assert found["no_terminal_row_lost"] == 1 and found["no_event_lost"] == 1
+
+
+@pytest.mark.parametrize(
+    "table, column, value, check",
+    [
+        ("features", "price_raw", "price_raw + 1", "feature_values_preserved"),
+        ("features", "available_at", "decision_time + interval 1 second", "feature_available"),
+        ("features", "observation_date", "decision_date", "feature_offset"),
+        ("evaluation", "decision_date", "date '2024-01-16'", "evaluation_range"),
+        ("training", "forward_vendor_return", "forward_vendor_return + 1", "training_equals_labels"),
+        ("labels", "forward_vendor_return", "1.0D", "unobserved_is_null"),
+        ("labels", "observed_sessions", "1L", "complete_has_horizon"),
+        ("panel", "ret_total_backtest", "0.0D", "unresolved_not_filled"),
+        ("panel", "ret_total", "ret_total + 1", "source_rows_preserved"),
+        ("panel", "action_type", "'LOS'", "terminal_evidence_preserved"),
+        ("panel", "ledger_status", "'no_posting_required'", "ledger_fails_closed"),
+        ("evidence", "ret_total_vendor", "0.5D", "evidence_keeps_outcome"),
+        ("display", "index_base100", "index_base100 + 1", "base_is_100"),
+        ("reconciliation", "actual_daily_date", "event_date", "reconciliation_keeps_dates"),
+    ],
+)
+def test_damage_is_caught(published, table, column, value, check):
+    t, violations = published
+    assert violations({table: t[table].withColumn(column, F.expr(value))}, check)[check] > 0
+
+
+def test_carried_join(spark):
+    rows = [(1, D("2020-01-01") + timedelta(days=i % 400), i) for i in range(4000)] + [(2, D("2020-03-01"), -1), (3, None, -2), (None, D("2020-01-05"), -3), (None, D("2020-01-05"), -3)]
+    spans = [(1, D("2020-01-01") + timedelta(days=4 * i), D("2020-01-01") + timedelta(days=4 * i + i % 4) if i < 90 else None, f"v{i}") for i in range(91)] + [(2, D("2020-04-01"), None, "late"), (None, D("2020-01-01"), None, "x")]
+    df, h = spark.createDataFrame(rows, "permno long, date date, n long"), spark.createDataFrame(spans, "permno long, valid_from date, valid_to date, v string")
+    for open_end in (True, False):
+        due = joins.interval_join(df, h, open_end=open_end).select("permno", "date", "n", "valid_from", "valid_to", "v")
+        got = joins.carried_join(df, h, open_end=open_end)
+        assert got.columns == due.columns and sorted(map(str, got.collect())) == sorted(map(str, due.collect()))
+
+
+def test_months_are_pruned_split_and_typed(spark, tmp_path, daily):
+    root = str(tmp_path / "months")
+    whole = daily.unionByName(daily.withColumn("date", F.add_months("date", 1)))
+    tables.write_months(whole, root, file_rows=20)
+    january = tables.read_panel(spark, root, 2024, 1)
+    plan = january._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and january.count() == daily.count()
+    assert len(january.inputFiles()) > 1 and tables.read_panel(spark, root).count() == whole.count()
+    tables.write_months(daily.limit(5), root, force=True)  # replaces January only
+    assert tables.read_panel(spark, root).count() == 5 + daily.count()
+    assert require_columns(daily, DAILY, types=True) is daily
+    with pytest.raises(ContractError, match="permno is string, not bigint"):
+        require_columns(daily.withColumn("permno", F.col("permno").cast("string")), DAILY, types=True)
+
+
 def test_empty_tables(daily, history, terminal, cal):
     none = daily.limit(0)
     p = panel.build_panel(none, history.limit(0), panel.terminal_events(terminal.limit(0), cal), cal)
