@@ -10,6 +10,7 @@ confidence then mark identifiers that no fixed form covers.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -101,23 +102,25 @@ def is_identifier(s: str) -> bool:
 
 def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, str, bool, str, str]]:
     """(start, end, value, is seed, left pattern, middle pattern) of the entities and of the
-    identifier-like words outside them. The patterns are the two words before, and the word
-    before with the word after."""
+    identifier-like words outside them. The patterns are the two whole words before, and the
+    word before with the word after and how many words lie between. Words of nothing but
+    marks don't count."""
     spans = [(a, b, True) for a, _, b in known]
+    ends, starts, words = [], [], []  # of the words that count
     for m in token.finditer(text):
-        if digit.search(m.group()) or "@" in m.group():
-            word = m.group()
+        word = m.group()
+        if w := bare(word):
+            starts.append(m.start()), ends.append(m.end()), words.append(w)
+        if digit.search(word) or "@" in word:
             core = word.strip(MARKS)
             start = m.start() + len(word) - len(word.lstrip(MARKS))
             if is_identifier(core) and not any(a < start + len(core) and start < b for a, _, b in known):
                 spans.append((start, start + len(core), False))
     out = []
     for a, b, seed in sorted(spans):
-        before = [bare(w) for w in token.findall(text[max(0, a - 80) : a])]
-        after = [bare(w) for w in token.findall(text[b : b + 40])]
-        before, after = [w for w in before if w], [w for w in after if w]
-        left = " ".join(["L", *before[-2:]]) if len(before) > 1 else ""
-        middle = " ".join(["M", before[-1], after[0]]) if before and after else ""
+        i, j = bisect_right(ends, a), bisect_left(starts, b)  # the words i to j lie in or touch it
+        left = " ".join(["L", words[i - 2], words[i - 1]]) if i > 1 and j > i else ""
+        middle = " ".join([f"M{j - i}", words[i - 1], words[j]]) if i and j > i and j < len(words) else ""
         out.append((a, b, text[a:b].lower(), seed, left, middle))
     return out
 
@@ -145,8 +148,8 @@ def extract(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, patterns: DataFrame, block: int = BLOCK_PATTERNS) -> DataFrame:
-    """``pattern, total``: how often the words of each pattern occur with a word at its
-    gap, over all rows. Patterns go out in blocks of bounded size, each with its own pass."""
+    """``pattern, total``: how often the words of each pattern occur with words in its gap,
+    over all rows, read as ``candidates`` reads them. Patterns go out in blocks of bounded size, each with its own pass."""
     total = patterns.count()
     parts = None
     for i in range(-(-total // block) or 1):
@@ -158,18 +161,24 @@ def occurrences(docs: DataFrame, patterns: DataFrame, block: int = BLOCK_PATTERN
             split = [p.split(" ") for p in shared.value]
             for _, a, b in split:
                 vocabulary.setdefault(a, len(vocabulary) + 1), vocabulary.setdefault(b, len(vocabulary) + 1)
-            wanted = {kind: {vocabulary[a] << 32 | vocabulary[b]: p for (k, a, b), p in zip(split, shared.value) if k == kind} for kind in "LM"}
+            wanted: dict[str, dict[int, str]] = {}
+            for (kind, a, b), p in zip(split, shared.value):
+                wanted.setdefault(kind, {})[vocabulary[a] << 32 | vocabulary[b]] = p
             seen: Counter = Counter()
             for batch in batches:
                 for text in batch.column(0):
-                    words = [w for w in map(str.strip, text.as_py().lower().split(), repeat(MARKS)) if w]
+                    words = [w for w in map(bare, token.findall(text.as_py())) if w]
                     codes = np.fromiter(map(vocabulary.get, words, repeat(0)), np.uint64, len(words))
-                    # L: two words, then any; M: a word, any, a word
-                    for kind, a, b in (("L", codes[:-2], codes[1:-1]), ("M", codes[:-2], codes[2:])):
-                        both = np.flatnonzero((a > 0) & (b > 0))
+                    # L: two words, then any; Mk: a word, k others, a word
+                    for kind, own in wanted.items():
+                        gap = 1 if kind == "L" else int(kind[1:]) + 1
+                        a, b = codes[: len(codes) - gap - (kind == "L")], codes[gap : len(codes) - (kind == "L")]
+                        if not len(b):
+                            continue
+                        both = np.flatnonzero((a[: len(b)] > 0) & (b > 0))
                         for code in ((a[both] << np.uint64(32)) | b[both]).tolist():
-                            if code in wanted[kind]:
-                                seen[wanted[kind][code]] += 1
+                            if code in own:
+                                seen[own[code]] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["pattern", "n"])
 
         part = docs.select(text_of().alias("text")).mapInArrow(run, "pattern string, n long")

@@ -8,6 +8,8 @@ the caches hold: both only save encoding the same pre-token again.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections import Counter
 from collections.abc import Iterator
 
@@ -18,9 +20,10 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-# The pre-token pattern and the special string of the byte-level vocabulary.
+# Fixed value: the pre-token pattern of byte-level vocabularies.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SPECIAL = "<|endoftext|>"
+#: Files and tasks that the table is made from; each task hands the driver one bounded row.
+FILES, TASKS = 8, 8
 
 #: Up to here all Unicode versions agree on letters, numbers and space; beyond it the
 #: library's own splitter is used, whose Unicode tables may be older.
@@ -33,6 +36,21 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def special_strings(path: str) -> list[str]:
+    """Strings that the tokenizer of a file takes for one token each wherever they stand.
+    Raises unless pre-tokens of such a file are those of PRETOKEN, byte by byte."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)
+    pre = found.get("pre_tokenizer") or {}
+    plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+    if not plain or found.get("normalizer") or found.get("model", {}).get("type", "BPE") != "BPE":
+        raise ValueError(f"{path} is not a byte-level BPE tokenizer with the pre-tokens known here")
+    added = found.get("added_tokens", [])
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added):
+        raise ValueError(f"{path} has added tokens that take in their neighbours")
+    return [t["content"] for t in added]
+
+
 class Lengths(dict):
     """Pre-token to token count. A miss goes to a bounded cache, then to the encoder."""
 
@@ -42,6 +60,8 @@ class Lengths(dict):
         super().__init__(known)
         self.tokenizer = Tokenizer.from_file(path)
         self.split = regex.compile(PRETOKEN).findall
+        special = sorted(special_strings(path), key=len, reverse=True)
+        self.parts = regex.compile("|".join(map(regex.escape, special)) or r"(?!)").split
         self.unsettled = regex.compile(f"[^\\x00-{SETTLED}]").search
         self.cache_size, self.new, self.old = cache_size, {}, {}
 
@@ -66,17 +86,27 @@ class Lengths(dict):
         return [(text[a:b], (a, b)) for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
     def count(self, text: str) -> int:
-        parts = text.split(SPECIAL)
+        parts = self.parts(text)
         return len(parts) - 1 + sum(sum(map(self.__getitem__, self.pieces(part))) for part in parts if part)
 
 
+def sample(docs: DataFrame, sample_docs: int) -> DataFrame:
+    """``text`` of about ``sample_docs`` rows from a few of the files that ``docs`` reads,
+    or from all of it where it reads none. Row counts come from the files' footers."""
+    files = sorted(docs.inputFiles(), key=lambda name: hashlib.md5(name.encode()).digest())[:FILES]
+    some = docs
+    if files and all(name.endswith(".parquet") for name in files):
+        read = docs.sparkSession.read.parquet(*files)
+        some = read if "text" in read.columns and read.schema["text"].dataType == docs.schema["text"].dataType else docs
+    step = max(1, some.count() // max(1, sample_docs))
+    return some.select(text_of().alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(step)) == 0)
+
+
 def frequent_lengths(docs: DataFrame, path: str, sample_docs: int, per_task: int, size: int) -> dict[str, int]:
-    """Tier one: at most ``size`` pre-tokens. Each task counts the pre-tokens of its share
-    of about ``sample_docs`` documents and returns its ``per_task`` most frequent ones, so
-    the driver merges bounded lists. The table only saves work; counts don't depend on it."""
-    total = docs.count()
-    step = max(1, total // max(1, sample_docs))
-    texts = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select(text_of().alias("text"))
+    """Tier one: at most ``size`` pre-tokens. A few tasks count the pre-tokens of a sample
+    where they read it, and each hands over its ``per_task`` most frequent ones as one row,
+    so no pre-token is shuffled and the driver merges TASKS bounded rows. The table only
+    saves work; counts don't depend on it."""
 
     def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, seen = regex.compile(PRETOKEN).findall, Counter()
@@ -86,18 +116,14 @@ def frequent_lengths(docs: DataFrame, path: str, sample_docs: int, per_task: int
             if len(seen) > 40 * per_task:
                 seen = Counter(dict(seen.most_common(20 * per_task)))
         best = seen.most_common(per_task)
-        yield pa.RecordBatch.from_pydict({"piece": pa.array([p for p, _ in best], pa.string()), "n": pa.array([n for _, n in best], pa.int64())})
-
-    found = (
-        texts.mapInArrow(top, "piece string, n long")
-        .groupBy("piece")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "piece")
-        .limit(size)
-        .collect()
-    )
+        lists = [[p for p, _ in best]], [[n for _, n in best]]
+        yield pa.RecordBatch.from_arrays([pa.array(lists[0], pa.list_(pa.string())), pa.array(lists[1], pa.list_(pa.int64()))], ["pieces", "counts"])
+
+    merged: Counter = Counter()
+    for r in sample(docs, sample_docs).coalesce(TASKS).mapInArrow(top, "pieces array<string>, counts array<long>").collect():
+        merged.update(dict(zip(r["pieces"], r["counts"])))
     lengths = Lengths({}, path, 0)
-    return {r["piece"]: lengths[r["piece"]] for r in found}
+    return {piece: lengths[piece] for piece, _ in sorted(merged.items(), key=lambda x: (-x[1], x[0]))[:size]}
 
 
 def count_tokens(
@@ -112,7 +138,7 @@ def count_tokens(
     """``doc_id, n_bytes, n_tokens, over_limit`` for each row of ``docs``.
 
     Null or empty text: 0 bytes, 0 tokens. Special strings inside a text count as one
-    token each. Repeated rows give repeated results; other columns are ignored; an empty
+    token each. Other tokenizers than byte-level BPE raise. Repeated rows give repeated results; other columns are ignored; an empty
     table gives an empty result. ``table_size`` bounds what is broadcast.
     """
     path = path or default_tokenizer()

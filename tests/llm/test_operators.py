@@ -641,6 +641,52 @@ def test_contexts_discover_identifiers(spark):
     assert got[41]["spans"] == "" and got[3]["n_email"] == 1 and got[3]["n_context"] == 0
 
 
+def test_patterns_and_totals_agree(spark):
+    """Totals of patterns by plain counting over whole words, whatever stands between them."""
+    rng = random.Random(9)
+    words = ["mail", "call", "to", "at", "no-break\u00a0space", "next\u2028line", "-", "x" * 100, "Über", "now.", "user7777@a.bc", "id-12345", "4539", "1488", "0343", "6467", "+1 (555) 010-9999"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(300)] + ["a lonely 77441 number", "77441", ""]
+    df = frame(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    found = [c for t in texts for c in pii.candidates(t, pii.entities(t))]
+    patterns = {p for c in found for p in (c[4], c[5]) if p}
+    assert any(p.startswith("M4 ") for p in patterns) and "M1 lonely number" in patterns and "L a lonely" in patterns
+    plain = {}
+    for t in texts:
+        w = [x for x in (x.strip(pii.MARKS).lower() for x in re.findall("[^\x20\x09-\x0d]+", t)) if x]
+        for i in range(len(w)):
+            if i + 2 < len(w):
+                plain[f"L {w[i]} {w[i + 1]}"] = plain.get(f"L {w[i]} {w[i + 1]}", 0) + 1
+            for k in range(1, 12):
+                if i + k + 1 < len(w):
+                    plain[f"M{k} {w[i]} {w[i + k + 1]}"] = plain.get(f"M{k} {w[i]} {w[i + k + 1]}", 0) + 1
+    for block in (10**6, 50):
+        got = {r["pattern"]: r["total"] for r in pii.occurrences(df, spark.createDataFrame([(p,) for p in sorted(patterns)], "pattern string"), block).collect()}
+        assert got == {p: plain[p] for p in patterns}
+
+
+def test_token_table_and_settings(spark, docs, tmp_path):
+    import json
+
+    path = tokens.default_tokenizer()
+    table = tokens.frequent_lengths(docs, path, 50, 300, 1000)
+    assert 100 < len(table) <= 1000 and max(table, key=len) and set(table.values()) >= {1, 2}
+    assert tokens.frequent_lengths(docs.limit(0), path, 50, 300, 1000) == {} and tokens.frequent_lengths(frame(spark, [(None, "a a b", "x")]), path, 50, 3, 10) == {"a": 1, " a": 1, " b": 1}
+    assert tokens.special_strings(path) == ["<|endoftext|>"]
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="not a byte-level"):
+        tokens.special_strings(public_tokenizers.path("word_bpe_49k.json"))
+    changed = json.loads(open(path, encoding="utf-8").read())
+    changed["added_tokens"].append(dict(changed["added_tokens"][0], id=50257, content="<|endoftext|><|more|>"))
+    (tmp_path / "t.json").write_text(json.dumps(changed))
+    given = ["a<|endoftext|><|more|> b<|more|>", "<|endoftext|>", "plain"]
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(str(tmp_path / "t.json"))
+    got = tokens.count_tokens(frame(spark, [(i, t, "a") for i, t in enumerate(given)]), str(tmp_path / "t.json")).orderBy("doc_id").collect()
+    assert [r["n_tokens"] for r in got] == [len(library.encode(t, add_special_tokens=False).ids) for t in given]
+
+
 # pipeline
 
 
