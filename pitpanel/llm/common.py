@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import scratch
+
 #: Characters that separate words in every operator: space and U+0009 to U+000D.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
@@ -18,24 +16,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@cache
-def local_dir() -> str:
-    return tempfile.mkdtemp(prefix="spark-shared-")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share, as the cluster names it; only where it names
-    none, as in tests, a local one of this process."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or local_dir()).rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives
     lost executors, as nothing of it stays with an executor."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -24,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_key, stored, text_of
+from .common import discard, row_key, stored, text_of
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
+#: Fingerprints whose variants (some 560 of 16 bytes each) one task makes and one meets, at most.
+TASK_FINGERPRINTS = 50_000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -78,11 +80,12 @@ def links(fps: DataFrame) -> DataFrame:
     near, far = masks()
     even = F.bit_count("fp") % 2 == 0
     # a file of fingerprints is small, but each makes hundreds of variants: deal them out first
-    dealt = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    tasks = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-fps.count() // TASK_FINGERPRINTS))
+    dealt = fps.repartition(tasks, "fp")
     variants = dealt.select("fp", F.explode(F.when(even, F.lit(near + far)).otherwise(F.lit(near))).alias("mask")).select(
         "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant")
     )
-    met = variants.repartition("variant").withColumn("away", F.bit_count(F.col("fp").bitwiseXOR(F.col("variant"))))
+    met = variants.repartition(tasks, "variant").withColumn("away", F.bit_count(F.col("fp").bitwiseXOR(F.col("variant"))))
     # a variant's group is bounded by the ball around it, as fingerprints are distinct
     w = Window.partitionBy("variant").orderBy("away", "fp")
     hubs = met.select("fp", F.first("fp").over(w).alias("hub"), F.first("away").over(w).alias("hub_away"))
@@ -113,8 +116,9 @@ def components(edges: DataFrame) -> DataFrame:
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = now
+        state, before = now, edges
         edges = stored(star(star(edges, True), False), "links")
+        discard(before)
 
 
 def grouped(hashed: DataFrame) -> DataFrame:

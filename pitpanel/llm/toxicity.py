@@ -1,15 +1,19 @@
 """Toxicity by a subsequence string kernel and a support vector machine with Nyström landmarks.
 
-The kernel of two words sums over all character triples that both contain in order, with
-gaps: a triple that spans s characters counts decay**s. Inserted or replaced characters
-only lower the kernel, so "i.d.i0t" stays near "idiot". Words are its strings, as an
-insult fills a word; single letters in a row are read as one word. Landmark words span the
-space that the support vector machine is trained in. A document's score is a logistic
-function of how many of its words the machine takes for insults, and how surely.
+Strings are windows of a sentence: one to WORDS words in a row. The kernel of two windows
+sums over all character triples that both contain in order, with gaps, divided by the roots
+of their lengths: a triple that spans s characters counts decay**s. It runs over the spaces
+too, so an insult may be several words; inserted, doubled or replaced characters only lower
+it, so "i.d.i0t" stays near "idiot". Single letters in a row are read as one word.
+
+Labels are those of whole documents, so the machine learns from sentences of which only some
+bear out their label: in each round the windows of a toxic document that the last machine
+was surest of are its examples, and those of clean documents that it took for insults are
+the others. Landmark windows of both kinds span the space that it is trained in.
 
 With landmarks L and weights v the decision is v' K_LL^(-1/2) k(L, w). As the kernel is a
 sum over triples, so is the decision: landmarks and weights fold into one number for each
-triple, and scoring a word is a sum of table entries over its triples.
+triple, and a window's decision is a difference of running sums over the text.
 """
 
 from __future__ import annotations
@@ -20,7 +24,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,41 +31,23 @@ from .common import stored, text_of
 
 #: Triples of the kernel span this many characters at most; each one more multiplies by DECAY.
 SPAN, DECAY = 6, 0.6
-#: Character classes: 0 for none, 1 for the ends of a word, 2 to 27 for a to z, and the rest
-#: for all others by code point, so that an alphabet's letters in a row stay distinct.
+#: Character classes: 1 for white space and ends, 2 to 27 for a to z, and the rest for all
+#: others by code point, so that an alphabet's letters in a row stay distinct.
 CLASSES = 64
-#: Characters of a word that the kernel sees at once; a longer word is seen in such pieces.
-WIDTH = 24
-LANDMARKS, VOCABULARY, SAMPLE, HARD_ROUNDS = 256, 10_000, 20_000, 2
-#: So many of the most frequent insults also come in with letters doubled and marks put in.
-DISTURBED = 40
-#: A word of the training rows is an example of label 1 if at least so many toxic documents
-#: have it, and toxic ones make up this share of its documents after weighing both labels equally.
-SUPPORT, PURITY = 3, 0.9
-#: Decisions over which a word counts as a likely and as a sure insult; insults are trained to 1.
-LIKELY, SURE = 0.5, 0.8
+#: Words of a window at most, and the length from which on it counts for the kernel.
+WORDS, SHORT = 3, 4
+LANDMARKS, ROUNDS, PENALTY = 512, 4, 0.3
+#: Labelled documents of each kind that are learned from, and the characters of the longest.
+DOCUMENTS, FIT_CHARS = 1_500, 200_000
+#: Windows that one toxic or clean document gives in a round, and clean ones that are kept.
+TOXIC_WINDOWS, CLEAN_WINDOWS, HARD = 3, 2, 6_000
+#: Decisions over which a word counts as a likely, a middling and a sure insult.
+LIKELY, MIDDLING, SURE = 0.3, 0.5, 0.7
+#: Characters of a text that are decided at a time.
+CHUNK = 1 << 20
 
 PAIRS = [(a, b) for a in range(1, SPAN) for b in range(a + 1, SPAN)]
-words_of = re.compile(r"[^\x20\x09-\x0D]+").findall
-MARKS = "!\"#$%&'()*+,./:;<=>?@[\\]^_`{|}~-¿¡«»…“”‘’"
-
-
-def words(text: str) -> list[str]:
-    """Lower-case words without marks at their ends; single characters in a row are joined."""
-    out, run = [], []
-    for token in words_of(text.lower()):
-        word = token.strip(MARKS)
-        if len(word) == 1:
-            run.append(word)
-            continue
-        if len(run) > 2:
-            out.append("".join(run))
-        run = []
-        if word:
-            out.append(word)
-    if len(run) > 2:
-        out.append("".join(run))
-    return out
+single_letters = re.compile(r"(?<!\S)(\w) (?=\w(?!\w))")
 
 
 def classes() -> np.ndarray:
@@ -70,86 +55,83 @@ def classes() -> np.ndarray:
     table = np.zeros(0x250, np.int32)
     for c in range(0x250):
         x = chr(c).lower()[0]
-        table[c] = 2 + ord(x) - 97 if "a" <= x <= "z" else 28 + c % 36
+        table[c] = 1 if x.isspace() else 2 + ord(x) - 97 if "a" <= x <= "z" else 28 + c % 36
     return table
 
 
 TABLE = classes()
 
 
-def codes(strings: list[str]) -> np.ndarray:
-    """A row of classes for each string, its ends marked."""
-    out = np.zeros((len(strings), max(map(len, strings), default=0) + 2 + SPAN), np.int32)
-    for i, s in enumerate(strings):
-        points = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
-        row = np.where(points < 0x250, TABLE[np.minimum(points, 0x24F)], 28 + points % 36)
-        out[i, 0], out[i, len(row) + 1] = 1, 1
-        out[i, 1 : len(row) + 1] = row
-    return out
+def encode(text: str) -> np.ndarray:
+    """Classes of a text's characters, white space before and behind."""
+    text = single_letters.sub(r"\1", text.lower())
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    row = np.where(points < 0x250, TABLE[np.minimum(points, 0x24F)], 28 + points % 36).astype(np.int32)
+    return np.concatenate((np.ones(1, np.int32), row, np.ones(1, np.int32)))
 
 
-def triples(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of each row's triples, -1 where there is none, and their decays."""
-    n = c.shape[1] - SPAN
-    index = np.concatenate([(c[:, :n] * CLASSES + c[:, a : n + a]) * CLASSES + c[:, b : n + b] for a, b in PAIRS], axis=1)
-    there = np.concatenate([(c[:, :n] > 0) & (c[:, b : n + b] > 0) for _, b in PAIRS], axis=1)
-    decay = np.concatenate([np.full(n, DECAY ** (b + 1)) for _, b in PAIRS])
-    return np.where(there, index, -1), decay
+def triples(c: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, float]]:
+    """For each pair of gaps the numbers of the triples that start at the first ``n`` places
+    of ``c``, and their decay."""
+    c = np.concatenate((c[: n + SPAN], np.ones(SPAN, np.int32)))
+    first, middle = c[:n] * (CLASSES * CLASSES), c * CLASSES
+    for a, b in PAIRS:
+        yield first + middle[a : n + a] + c[b : n + b], DECAY ** (b + 1)
 
 
-def features(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Triples of each string, merged: numbers (-1 for none) and weights of unit length.
+def features(c: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct triples that start in a window, and their weights."""
+    n = end - begin
+    found = list(triples(c[begin : end + SPAN], n))
+    numbers, at = np.unique(np.concatenate([i for i, _ in found]), return_inverse=True)
+    weight = np.bincount(at, np.repeat([w for _, w in found], n), len(numbers))
+    return numbers, weight / max(n, SHORT) ** 0.5
 
-    Equal numbers in a row are summed into the last of them."""
-    index, decay = triples(codes(strings))
-    order = np.argsort(index, axis=1, kind="stable")
-    index = np.take_along_axis(index, order, axis=1)
-    total = np.cumsum(np.where(index >= 0, decay[order], 0.0), axis=1)
-    last = np.ones(index.shape, bool)
-    last[:, :-1] = index[:, 1:] != index[:, :-1]
-    upto = np.where(last, total, 0.0)
-    before = np.maximum.accumulate(upto, axis=1)
-    weight = np.where(last, total - np.concatenate([np.zeros((len(strings), 1)), before[:, :-1]], axis=1), 0.0)
-    weight[index < 0] = 0.0
-    norm = np.sqrt((weight * weight).sum(axis=1, keepdims=True))
-    return np.where(weight > 0, index, -1), weight / np.maximum(norm, 1e-12)
+
+def windows(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Begins and ends of all windows, those of one word first, and how many these are. A
+    window begins with the space before it."""
+    space = c == 1
+    begins, ends = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:]) + 1
+    n = len(begins)
+    some = range(1, min(WORDS, n) + 1)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *(begins[: n - k + 1] for k in some)]), np.concatenate([none, *(ends[k - 1 :] for k in some)]), n
 
 
 @dataclass
 class Landmarks:
-    """Unit feature rows of the landmarks over the triples that any of them has:
-    ``place`` gives each triple's column, -1 for the others."""
+    """Feature rows of the landmark windows over the triples that any of them has: ``place``
+    gives each triple's column, -1 for the others."""
 
+    found: np.ndarray
     place: np.ndarray
     rows: np.ndarray
 
     @staticmethod
-    def of(strings: list[str]) -> Landmarks:
-        index, weight = features(strings)
-        found = np.unique(index[index >= 0])
+    def of(strings: list[tuple[np.ndarray, int, int]]) -> Landmarks:
+        each = [features(*x) for x in strings]
+        found = np.unique(np.concatenate([i for i, _ in each]))
         place = np.full(CLASSES**3, -1, np.int32)
         place[found] = np.arange(len(found))
-        rows = np.zeros((len(strings), len(found)))
-        for row, i, w in zip(rows, index, weight):
-            row[place[i[i >= 0]]] = w[i >= 0]
-        return Landmarks(place, rows)
-
-    def kernel(self, strings: list[str], part: int = 512) -> np.ndarray:
-        """Kernel of each string with each landmark; 1 for equal strings. Strings are taken
-        some at a time, as their triples need far more room than the result."""
+        rows = np.zeros((len(each), len(found)))
+        for row, (i, w) in zip(rows, each):
+            row[place[i]] = w
+        return Landmarks(found, place, rows)
+
+    def kernel(self, strings: list[tuple[np.ndarray, int, int]]) -> np.ndarray:
+        """Kernel of each window with each landmark."""
         out = np.zeros((len(strings), len(self.rows)))
-        for begin in range(0, len(strings), part):
-            index, weight = features(strings[begin : begin + part])
-            for k, (i, w) in enumerate(zip(index, weight), begin):
-                at = self.place[i]
-                both = (i >= 0) & (at >= 0)
-                out[k] = self.rows[:, at[both]] @ w[both]
+        for k, x in enumerate(strings):
+            i, w = features(*x)
+            at = self.place[i]
+            out[k] = self.rows[:, at[at >= 0]] @ w[at >= 0]
         return out
 
     def table(self, weights: np.ndarray) -> np.ndarray:
         """A weighted sum of landmarks as one number for each triple."""
-        out = np.zeros(CLASSES**3)
-        out[self.place >= 0] = self.rows.T @ weights
+        out = np.zeros(CLASSES**3, np.float32)
+        out[self.found] = self.rows.T @ weights
         return out
 
 
@@ -161,12 +143,43 @@ class Model:
     bias: float
     logistic: np.ndarray
 
-    def decisions(self, strings: list[str]) -> np.ndarray:
-        index, weight = features(strings)
-        return (self.table[index] * weight).sum(axis=1) + self.bias
-
-
-def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-2, rounds: int = 30) -> np.ndarray:
+    def decisions(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Begins, ends and decisions of all windows, and how many are of one word."""
+        own = np.zeros(len(c), np.float32)
+        for i, w in triples(c, len(c)):
+            own += self.table[i] * np.float32(w)
+        total = np.concatenate(([0.0], np.cumsum(own, dtype=np.float64)))
+        begin, end, n = windows(c)
+        return begin, end, (total[end] - total[begin]) / np.sqrt(np.maximum(end - begin, SHORT)) + self.bias, n
+
+    def marks(self, text: str) -> list[float]:
+        """What the logistic function sees of a text: likely and sure insults, the share of
+        middling ones, the largest decision and the second largest on a word."""
+        words = likely = middling = sure = 0
+        top, best = -1.0, [-1.0, -1.0]
+        for part in parts(text):
+            _, _, d, n = self.decisions(encode(part))
+            if n:
+                one = d[:n]
+                words, likely, middling, sure = words + n, likely + int((one > LIKELY).sum()), middling + int((one > MIDDLING).sum()), sure + int((one > SURE).sum())
+                top, best = max(top, float(d.max())), sorted([*best, *np.partition(one, n - min(2, n))[-2:].tolist()])[-2:]
+        share = 1000.0 * middling / max(1, words)
+        return [1.0, *np.log1p([likely, sure, share]).tolist(), min(top, 1.5), min(best[0], 1.5)]
+
+
+def parts(text: str) -> Iterator[str]:
+    """A text in stretches of about CHUNK characters, cut at spaces where there are any."""
+    begin = 0
+    while begin < len(text):
+        end = begin + CHUNK
+        if end < len(text):
+            cut = max(text.rfind(" ", begin, end), text.rfind("\n", begin, end))
+            end = cut if cut > begin else end
+        yield text[begin:end]
+        begin = end
+
+
+def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = PENALTY, rounds: int = 30) -> np.ndarray:
     """Linear support vector machine with squared hinge loss by Newton steps; the last
     column of ``x`` is the bias. ``y`` is 1 or -1."""
     w = np.zeros(x.shape[1])
@@ -182,154 +195,99 @@ def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1
     return w
 
 
-def disturbed(word: str) -> list[str]:
-    """A word with a letter doubled or a mark put in at each place, and with marks all over."""
-    places = range(1, len(word))
-    return [word[:i] + word[i - 1] + word[i:] for i in places] + [word[:i] + "." + word[i:] for i in places] + [".".join(word)]
-
-
-def train_words(bad: list[tuple[str, int]], good: list[tuple[str, int]]) -> tuple[np.ndarray, float]:
-    """Table and bias from words with their document counts. Landmarks are the most
-    frequent words of both kinds, one half each."""
-    marks = [w for w, _ in bad[: LANDMARKS // 2]]
-    marks += [w for w, _ in good[: LANDMARKS - len(marks)]]
-    base = Landmarks.of(marks)
-    values, vectors = np.linalg.eigh(base.rows @ base.rows.T)
-    stay = values > 1e-6 * values.max()
-    root = vectors[:, stay] / np.sqrt(values[stay])
-    for w, n in bad[:DISTURBED]:
-        forms = [f for f in disturbed(w) if len(f) <= WIDTH] if len(w) > 3 else []
-        bad = bad + [(f, n / len(forms)) for f in forms]
-    strings = [w for w, _ in bad + good]
-    x = np.ones((len(strings), root.shape[1] + 1))
-    x[:, :-1] = base.kernel(strings) @ root
-    y = np.array([1.0] * len(bad) + [-1.0] * len(good))
-    share = np.array([n for _, n in bad + good], float) ** 0.5
-    for side in (y > 0, y < 0):
-        share[side] /= share[side].sum()
-    w = machine(x, y, share * len(y))
-    return base.table(root @ w[:-1]), float(w[-1])
-
-
-class Decisions(dict):
-    """Word to decision; forgets all when full."""
-
-    def __init__(self, model: Model, size: int = 400_000):
-        super().__init__()
-        self.model, self.size = model, size
-
-    def learn(self, new: set[str], wanted: set[str]) -> None:
-        if len(self) + len(new) > self.size:
-            self.clear()
-            new = wanted
-        todo = sorted(new, key=len)  # strings of one length take the least room
-        for i in range(0, len(todo), 512):
-            part = todo[i : i + 512]
-            pieces = [p for w in part for p in ((w[j : j + WIDTH] for j in range(0, len(w), WIDTH // 2)) if len(w) > WIDTH else (w,))]
-            owner = [k for k, w in enumerate(part) for _ in (range(0, len(w), WIDTH // 2) if len(w) > WIDTH else (0,))]
-            best = np.full(len(part), -np.inf)
-            np.maximum.at(best, owner, self.model.decisions(pieces))
-            self.update(zip(part, best.tolist()))
-
-
-def marks(texts: list[str], decisions: Decisions, most: int = 1 << 20) -> Iterator[tuple[float, ...]]:
-    """For each text what the logistic function sees: likely and sure insults, the latter
-    also as a share of all words, and the largest decision. Texts are read some ``most``
-    characters at a time, so that new words are decided together."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= most or i + 1 == len(texts):
-            found = [words(t) for t in texts[begin : i + 1]]
-            wanted = set().union(*found)
-            if missing := wanted.difference(decisions):
-                decisions.learn(missing, wanted)
-            for own in found:
-                d = np.fromiter(map(decisions.__getitem__, own), np.float64, len(own))
-                likely, sure = int((d > LIKELY).sum()), int((d > SURE).sum())
-                top = float(np.clip(d.max(), -1.0, 1.0)) if own else -1.0
-                yield 1.0, float(np.log1p(likely)), float(np.log1p(sure)), float(np.log1p(1000.0 * sure / max(1, len(own)))), top
-            begin, size = i + 1, 0
-
-
-def mark_rows(texts: DataFrame, model: Model) -> DataFrame:
-    """``y`` and the marks of each row of ``text, y``."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decisions = Decisions(shared.value)
-        for batch in batches:
-            rows = list(marks(batch.column(0).to_pylist(), decisions))
-            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array([r[i] for r in rows], pa.float64()) for i in range(5))], ["y", "m0", "m1", "m2", "m3", "m4"])
-
-    return texts.select("text", "y").mapInArrow(run, "y int, m0 double, m1 double, m2 double, m3 double, m4 double")
-
-
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int = 50) -> np.ndarray:
+def first_table(docs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Log odds of the labels for each triple by the documents that have it, less for rare ones."""
+    have = np.zeros((2, CLASSES**3))
+    for c, label in zip(docs, y):
+        seen = np.zeros(CLASSES**3, bool)
+        for i, _ in triples(c, len(c)):
+            seen[i] = True
+        have[label] += seen
+    clean, toxic = np.bincount(y, minlength=2)
+    more = clean / toxic
+    odds = np.log((have[1] + 0.5) / (toxic + 1)) - np.log((have[0] + 0.5 * more) / (clean + more))
+    return (odds * np.minimum(1.0, have[1] / (0.02 * toxic + 2))).astype(np.float32)
+
+
+def surest(c: np.ndarray, model: Model, most: int) -> list[tuple[float, int, int]]:
+    """Decision, begin and end of the windows with the largest decisions that don't overlap."""
+    begin, end, d, _ = model.decisions(c)
+    out: list[tuple[float, int, int]] = []
+    for k in np.argsort(-d, kind="stable")[:60]:
+        if all(end[k] <= a or begin[k] >= b for _, a, b in out):
+            out.append((float(d[k]), int(begin[k]), int(end[k])))
+            if len(out) == most:
+                break
+    return out
+
+
+def train_windows(docs: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Model:
+    """Table and bias from encoded documents and their labels, in ROUNDS rounds. Every toxic
+    document gives its surest window, and further ones that the last machine took for
+    insults; clean ones give their surest so far and some at random."""
+    rng = np.random.default_rng(seed)
+    model = Model(first_table(docs, y), 0.0, np.zeros(6))
+    clean = [c for c, label in zip(docs, y) if label == 0]
+    hard: dict[tuple[int, int, int], None] = {}
+    for r in range(ROUNDS):
+        bad = [(d, c, a, b) for c, label in zip(docs, y) if label == 1 for k, (d, a, b) in enumerate(surest(c, model, TOXIC_WINDOWS)) if k == 0 or (r and d > 0)]
+        for i, c in enumerate(clean):
+            hard |= {(i, a, b): None for _, a, b in surest(c, model, CLEAN_WINDOWS)}
+        good = [(clean[i], a, b) for i, a, b in list(hard)[-HARD:]]
+        for i in rng.permutation(len(clean)):
+            begin, end, _ = windows(clean[i])
+            good += [(clean[i], int(begin[k]), int(end[k])) for k in rng.integers(0, len(begin), min(3, len(begin)))]
+        if not bad or not good:
+            return Model(np.zeros(CLASSES**3, np.float32), -1.0, np.zeros(6))
+        strings = [x[1:] for x in bad] + good
+        label = np.array([1.0] * len(bad) + [-1.0] * len(good))
+        chosen = [x[1:] for x in sorted(bad, key=lambda x: -x[0])[: LANDMARKS // 2]]
+        chosen += [good[k] for k in rng.permutation(len(good))[: LANDMARKS - len(chosen)]]
+        base = Landmarks.of(chosen)
+        values, vectors = np.linalg.eigh(base.rows @ base.rows.T)
+        stay = values > 1e-5 * values.max()
+        root = vectors[:, stay] / np.sqrt(values[stay])
+        x = np.ones((len(strings), root.shape[1] + 1))
+        x[:, :-1] = base.kernel(strings) @ root
+        w = machine(x, label, np.where(label > 0, 0.5 / len(bad), 0.5 / len(good)) * len(label))
+        model = Model(base.table(root @ w[:-1]), float(w[-1]), np.zeros(6))
+    return model
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-2, rounds: int = 50) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w)), x.T @ (y - p) - penalty * w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w)), x.T @ (weight * (y - p)) - penalty * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from the labelled rows whose crc32(doc_id as text) mod 5 is not 0.
+def train(docs: DataFrame, labels: DataFrame, documents: int = DOCUMENTS) -> Model:
+    """A model from labelled documents whose crc32(doc_id as text) mod 5 is not 0.
 
-    At most ``sample`` labelled ids, by hash, are learned from, so that the ids that join the
-    documents are of bounded size; the machine sees the VOCABULARY words of each kind that
-    most of these documents have. With labels of one kind only every text scores alike.
+    Of each kind at most ``documents`` labelled ids, by hash, are learned from, one text for
+    each and none of over FIT_CHARS characters, so that what reaches the driver is bounded.
+    With labels of one kind only every text scores alike.
     """
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = stored(docs.select("doc_id", text_of().alias("text")).join(F.broadcast(known), "doc_id").select("doc_id", "text", "y"), "toxicity-rows")
-    sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(sizes) < 2:
-        flat = 3.0 if sizes.get(1) else -3.0
-        return Model(np.zeros(CLASSES**3), -1.0, np.array([flat, 0.0, 0.0, 0.0, 0.0]))
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = [(w, y) for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in set(words(t)) if len(w) <= WIDTH]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in pairs], pa.string()), pa.array([y for _, y in pairs], pa.int32())], ["word", "y"])
-
-    counted = rows.select("text", "y").mapInArrow(own, "word string, y int").groupBy("word").agg(F.count_if(F.col("y") == 1).alias("n1"), F.count_if(F.col("y") == 0).alias("n0"))
-    weighed = F.col("n1") / sizes[1]
-    pure = weighed / (weighed + F.col("n0") / sizes[0]) >= PURITY
-    counted = stored(counted, "toxicity-words")
-    pick = lambda rows, n: [(r["word"], r[n]) for r in rows.orderBy(F.desc(n), "word").limit(VOCABULARY).collect()]
-    bad = pick(counted.where((F.col("n1") >= SUPPORT) & pure), "n1")
-    good = pick(counted.where((F.col("n0") >= 1) & ~pure), "n0")
-    if not bad or not good:
-        return Model(np.zeros(CLASSES**3), -1.0, np.array([-3.0, 0.0, 0.0, 0.0, 0.0]))
-    model = Model(*train_words(bad, good), np.zeros(4))
-    for _ in range(HARD_ROUNDS):  # the clean words that it takes for insults most surely come in as examples
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-        hard = counted.where((F.col("n0") >= 1) & ~pure).withColumn("d", word_decision(shared)("word"))
-        more = hard.where("d > -1").orderBy(F.desc("d"), "word").limit(VOCABULARY).collect()
-        good = list(dict(good + [(r["word"], r["n0"]) for r in more]).items())
-        model = Model(*train_words(bad, good), np.zeros(4))
-    seen = mark_rows(rows, model).collect()
-    x = np.array([r[1:] for r in seen], float)
-    model.logistic = logistic(x, np.array([r[0] for r in seen], float))
+    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pick = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
+    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(pick(0).unionByName(pick(1))), "doc_id").where(F.length("text") <= FIT_CHARS)
+    rows = stored(rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")), "toxicity-rows").orderBy("doc_id").collect()
+    y = np.array([r["y"] for r in rows], np.int64)
+    if len(set(y.tolist())) < 2:
+        flat = 3.0 if y.any() else -3.0
+        return Model(np.zeros(CLASSES**3, np.float32), -1.0, np.array([flat, 0.0, 0.0, 0.0, 0.0, 0.0]))
+    model = train_windows([encode(r["text"]) for r in rows], y)
+    x = np.array([model.marks(r["text"]) for r in rows])
+    share = np.array([sizes[k] / (y == k).sum() for k in (0, 1)])  # both kinds weigh as they occur
+    model.logistic = logistic(x, y.astype(float), share[y] * len(y) / share[y].sum())
     return model
 
 
-def word_decision(shared):
-    """A column function: the decision on a word."""
-
-    @F.pandas_udf("double")
-    def decide(words: pd.Series) -> pd.Series:
-        decisions = Decisions(shared.value)
-        decisions.learn(set(words), set(words))
-        return words.map(decisions.__getitem__).astype("float64")
-
-    return decide
-
-
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
@@ -337,16 +295,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row. Null, empty and wordless texts
     get the score of a text without insults; repeated rows get equal scores; a null id is
-    not held out. Other columns are ignored; an empty table gives an empty result."""
+    not held out. Words of over CHUNK characters are seen in pieces. Other columns are
+    ignored; an empty table gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def rate(texts: pd.Series) -> pd.Series:
         model = shared.value
-        decisions = Decisions(model)
-        for texts in batches:
-            x = np.array(list(marks(list(texts), decisions)), float).reshape(-1, 5)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(x @ model.logistic, -30, 30))))
+        x = np.array([model.marks(text) for text in texts]).reshape(-1, 6)
+        return pd.Series(1 / (1 + np.exp(-np.clip(x @ model.logistic, -30, 30))))
 
     out = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), rate(text_of()).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -324,32 +324,52 @@ def test_decontamination_items_without_id_or_with_equal_words(spark):
 # 5: toxicity
 
 
+def whole(text):
+    c = toxicity.encode(text)
+    return c, 0, len(c) - 1
+
+
 def test_kernel_is_that_of_all_triples():
     def plain(s):
-        s, out = f"^{s}$", {}
+        s, out = f" {s}", {}
+        padded = s + " " * toxicity.SPAN
         for i in range(len(s)):
-            for j in range(i + 1, len(s)):
-                for k in range(j + 1, min(len(s), i + toxicity.SPAN)):
-                    out[s[i] + s[j] + s[k]] = out.get(s[i] + s[j] + s[k], 0) + toxicity.DECAY ** (k - i + 1)
+            for j in range(i + 1, i + toxicity.SPAN):
+                for k in range(j + 1, i + toxicity.SPAN):
+                    t = padded[i] + padded[j] + padded[k]
+                    out[t] = out.get(t, 0) + toxicity.DECAY ** (k - i + 1) / max(len(s), toxicity.SHORT) ** 0.5
         return out
 
-    strings = ["idiot", "i.d.i.o.t", "banana", "ab", "mississippi"]
-    got = toxicity.Landmarks.of(strings).kernel(strings)
+    strings = ["idiot", "i.d.i.o.t", "banana", "ab", "mississippi", "you are the worst"]
+    got = toxicity.Landmarks.of(list(map(whole, strings))).kernel(list(map(whole, strings)))
     rows = [plain(s) for s in strings]
-    dot = lambda a, b: sum(v * b.get(k, 0) for k, v in a.items())
-    due = [[dot(a, b) / (dot(a, a) * dot(b, b)) ** 0.5 for b in rows] for a in rows]
+    due = [[sum(v * b.get(k, 0) for k, v in a.items()) for b in rows] for a in rows]
     assert np.allclose(got, due, atol=1e-9)
 
 
+def test_decisions_are_those_of_the_folded_landmarks():
+    rng = np.random.default_rng(2)
+    base, weights = toxicity.Landmarks.of(list(map(whole, ["an idiot", "so what", "the worst one"]))), rng.normal(size=3)
+    model = toxicity.Model(base.table(weights), 0.25, np.zeros(6))
+    c = toxicity.encode("What an id.iot, the  worst\n of i d i o t s!")
+    begin, end, d, n = model.decisions(c)
+    assert n == 7 and len(d) == 7 + 6 + 5  # single letters count as one word
+    assert np.allclose(d, base.kernel([(c, a, b) for a, b in zip(begin, end)]) @ weights + 0.25, atol=1e-5)
+
+
 @pytest.mark.parametrize("first, size", [(0x430, 32), (0x3B1, 25), (0x5D0, 27), (0x627, 36), (0x4E00, 2000), (0x10428, 40)])
 def test_kernel_tells_words_of_other_scripts_apart(first, size):
     rng = random.Random(7)
     word = lambda n: "".join(chr(first + rng.randrange(size)) for _ in range(n))
     bad, good = [word(6) for _ in range(20)], [word(6) for _ in range(200)]
-    between = toxicity.Landmarks.of(bad).kernel(good)
+    own = lambda ws: np.sqrt([toxicity.Landmarks.of([whole(w)]).kernel([whole(w)])[0, 0] for w in ws])
+    between = toxicity.Landmarks.of(list(map(whole, bad))).kernel(list(map(whole, good))) / own(good)[:, None] / own(bad)
     assert between.max() < 0.9 and between.mean() < 0.2
-    model = toxicity.Model(*toxicity.train_words([(w, 5) for w in bad], [(w, 5) for w in good]), np.zeros(4))
-    assert model.decisions(bad).min() > toxicity.LIKELY > model.decisions(good).max()
+    docs = [" ".join(rng.sample(bad if k % 2 else good, 4)) for k in range(600)]
+    model = toxicity.train_windows([toxicity.encode(t) for t in docs], np.arange(600) % 2)
+    top = lambda w: model.decisions(toxicity.encode(w))[2].max()
+    # documents are labelled, not words, so a few words may go unlearned
+    assert np.mean([[top(b) > top(g) for g in good] for b in bad]) >= 0.95
 
 
 def test_toxicity_learns(spark, edge):
@@ -379,10 +399,30 @@ def test_toxicity_learns(spark, edge):
     assert toxicity.toxicity(docs, lab.limit(0)).count() == len(rows)
 
 
-def test_toxicity_held_out_accuracy(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+@pytest.mark.parametrize("sf, recall, alarms, area", [("sf0.01", 0.6, 0.03, 0.9), ("sf0.1", 0.88, 0.02, 0.95)])
+def test_toxicity_on_held_out_labels(spark, sf, recall, alarms, area):
+    """Recall, false alarms and area under the curve; sf0.01 has 6 toxic rows held out, sf0.1 has 97."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
-    assert np.mean([r["predicted"] == r["toxic"] for r in rows]) >= 0.9
+    bad, good = [[r for r in rows if r["toxic"] == k] for k in (1, 0)]
+    wins = sum((a["score"] > b["score"]) + 0.5 * (a["score"] == b["score"]) for a in bad for b in good) / len(bad) / len(good)
+    assert np.mean([r["predicted"] for r in bad]) >= recall and np.mean([r["predicted"] for r in good]) <= alarms and wins >= area
+
+
+def test_toxicity_of_several_words(spark):
+    """An insult whose words are harmless alone."""
+    rng = random.Random(12)
+    plain = ["ta", "ro", "lin", "mek", "su", "pol", "da", "ver", "waste", "of", "space"]
+    rows, labels = [], []
+    for i in range(300):
+        w = [rng.choice(plain) for _ in range(30)]
+        w = " ".join(w).replace("waste of", "waste su").replace("of space", "of da").split()
+        if i % 3 == 0:
+            w[10:10] = ["waste", "of", "space"]
+        rows.append((i, " ".join(w), "a"))
+        labels.append((i, 1, int(i % 3 == 0)))
+    got = by_id(toxicity.toxicity(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).where("held_out").collect())
+    assert np.mean([r["predicted"] == int(i % 3 == 0) for i, r in got.items()]) >= 0.9
 
 
 # 6: lines
