@@ -45,8 +45,8 @@ def blob_id(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-#: So many unseen blobs (32 bytes each) are broadcast to leave known texts out of the shuffle.
-FEW = 100_000
+#: Bits of the map that leaves known texts out of the shuffle; 8 MB, whatever the input.
+BITS = 1 << 26
 
 
 @dataclass(frozen=True)
@@ -100,14 +100,25 @@ def scan(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     )
 
 
+def likely_in(texts: DataFrame, blobs: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose blob is in ``blobs``, and a few others: a bit for a hash of
+    each blob goes out in a map of fixed size and is looked up where the text lies. The more
+    blobs there are, the more others pass; none of theirs is lost."""
+    place = F.pmod(F.xxhash64("blob"), F.lit(BITS))
+    numbered = lambda df: df.withColumn("place", place).selectExpr("*", "bitmap_bucket_number(place) as bucket", "bitmap_bit_position(place) as bit")
+    maps = stored(numbered(blobs.select("blob")).groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("map")), "unseen-bits")
+    near = numbered(texts).join(F.broadcast(maps), "bucket")
+    is_set = "shiftright(cast(conv(hex(substring(map, cast(bit div 8 as int) + 1, 1)), 16, 10) as int), cast(bit % 8 as int)) % 2 = 1"
+    return near.where(is_set).select(*texts.columns)
+
+
 def scan_new(docs: DataFrame, rules: tuple[Rule, ...] = RULES, pairs: DataFrame | None = None) -> Ledger:
     """What the blobs of ``docs`` add to the scanned ``pairs``. Copies of a text meet
-    before the shuffle; few new blobs are looked for first by their ids alone."""
+    before the shuffle. Unseen blobs are found by their ids alone; then only texts that may
+    be theirs are shuffled."""
     t = docs.select(text_of().alias("text")).select(blob_id(F.col("text")).alias("blob"), "text")
     if pairs is not None:
-        new = stored(unseen(t.select("blob").distinct(), rules, pairs).select("blob"), "unseen-blobs")
-        if new.count() <= FEW:
-            t = t.join(F.broadcast(new), "blob", "left_semi")
+        t = likely_in(t, unseen(t.select("blob").distinct(), rules, pairs))
     texts = unseen(t.groupBy("blob").agg(F.first("text").alias("text")), rules, pairs)
     version = F.create_map(*(x for r in rules for x in (F.lit(r.name), F.lit(r.version))))[F.col("rule")]
     scanned = texts.select("blob", F.explode("rules").alias("rule")).withColumn("version", version)

@@ -604,9 +604,18 @@ def pairs_of(df):
     return sorted((bytes(r["blob"]).hex(), r["rule"], r["version"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("few", [0, blobscan.FEW])
-def test_ledger_scans_only_unseen_pairs(spark, monkeypatch, few):
-    monkeypatch.setattr(blobscan, "FEW", few)
+@pytest.mark.parametrize("bits", [1, 2, 1 << 15, blobscan.BITS])
+def test_map_of_unseen_blobs_loses_none(spark, monkeypatch, bits):
+    monkeypatch.setattr(blobscan, "BITS", bits)
+    blobs = spark.range(4000).select(blobscan.blob_id(F.col("id").cast("string")).alias("blob"), "id")
+    passed = {r["id"] for r in blobscan.likely_in(blobs, blobs.where("id % 4 = 0")).collect()}
+    assert passed >= set(range(0, 4000, 4)) and (bits <= 1 << 15 or len(passed) < 1010)
+    assert blobscan.likely_in(blobs, blobs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1, blobscan.BITS])
+def test_ledger_scans_only_unseen_pairs(spark, monkeypatch, bits):
+    monkeypatch.setattr(blobscan, "BITS", bits)
     first = frame(spark, [(1, SECRETS[0], "a"), (2, "plain", "a")])
     ledger = blobscan.update(first)
     names = [r.name for r in blobscan.RULES]
