@@ -1,9 +1,10 @@
 """Media columns as Matroska: bytes are stored as 8-bit audio samples and read back.
 
-``encode`` writes each payload into a Matroska file held in a binary column; ``packets``
-parses such a column into one row per frame with track, timestamp, lacing and byte range;
-``features`` reads the stored samples back by these ranges. The reader knows elements of
-any size length, unknown sizes, simple blocks and block groups, and all lacing kinds.
+``encode`` writes each payload into a Matroska file held in a binary column; ``index``
+parses such a column into a table of packets for each file, with track, timestamp, lacing,
+byte range and cue; ``packets`` lays these tables out as one, a row per frame; ``features``
+reads the stored samples back by the ranges of the table. The reader knows elements of any
+size length, unknown sizes, simple blocks and block groups, and all lacing kinds.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ SCALE, DURATION, MUXING_APP, WRITING_APP = 0x2AD7B1, 0x4489, 0x4D80, 0x5741
 TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0xE7, 0xA3, 0xA0, 0xA1
 CUE_POINT, CUE_TIME, CUE_POSITIONS, CUE_TRACK, CUE_CLUSTER = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 DOC_TYPE, DOC_VERSION, DOC_READ_VERSION, MAX_ID, MAX_SIZE = 0x4282, 0x4287, 0x4285, 0x42F2, 0x42F3
-TOP = {INFO, TRACKS, CLUSTER, CUES}
+SEEK_HEAD, CHAPTERS, TAGS, ATTACHMENTS = 0x114D9B74, 0x1043A770, 0x1254C367, 0x1941A469
+#: What ends an element of unknown size, by the element.
+ENDS = {SEGMENT: {EBML, SEGMENT}, CLUSTER: {EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES, SEEK_HEAD, CHAPTERS, TAGS, ATTACHMENTS}}
 LACINGS = ("none", "xiph", "fixed", "ebml")
 
 
@@ -94,9 +97,9 @@ def write(payload: bytes) -> bytes:
 @dataclass
 class Parsed:
     tracks: dict[int, dict] = field(default_factory=dict)
-    packets: list[tuple] = field(default_factory=list)  # track, timestamp in ns, keyframe, lacing, offset, size
+    packets: list[tuple] = field(default_factory=list)  # track, timestamp in ns, keyframe, lacing, offset, size, cue in ns
     cues: list[tuple] = field(default_factory=list)  # time in ns, track, offset of the cluster in the file
-    clusters: list[int] = field(default_factory=list)
+    clusters: list[int] = field(default_factory=list)  # offset in the file
     duration: float = 0.0
     scale: int = 1_000_000
 
@@ -118,15 +121,16 @@ def read_size(data: bytes, at: int) -> tuple[int | None, int]:
 
 def children(data: bytes, at: int, end: int, inside: int = 0) -> Iterator[tuple[int, int, int]]:
     """(identifier, begin, end) of the elements in a range. An element of unknown size
-    ends where its parent does; a cluster of unknown size at the next top-level element."""
+    ends where its parent does; a cluster of unknown size at the next top-level element, a
+    segment at the next file."""
     while at < end:
         ident, body = read_id(data, at)
-        if inside == CLUSTER and ident in TOP:
+        if ident in ENDS.get(inside, ()):
             return
         size, body = read_size(data, body)
         stop = end if size is None else body + size
-        if size is None and ident == CLUSTER:
-            stop = max([body, *(b for _, _, b in children(data, body, end, CLUSTER))])
+        if size is None and ident in ENDS:
+            stop = max([body, *(b for _, _, b in children(data, body, end, ident))])
         if stop > end:
             raise ValueError(f"element at byte {at} is cut off")
         yield ident, body, stop
@@ -153,6 +157,8 @@ def read_block(data: bytes, begin: int, end: int, base: int, scale: int, simple:
         count, at = data[at] + 1, at + 1
         sizes = []
         if lacing == 2:
+            if (end - at) % count:
+                raise ValueError(f"lacing at byte {begin} doesn't fit its block")
             sizes = [(end - at) // count] * count
         elif lacing == 1:
             for _ in range(count - 1):
@@ -185,12 +191,15 @@ def read_block(data: bytes, begin: int, end: int, base: int, scale: int, simple:
 
 
 def parse(data: bytes) -> Parsed:
-    """Tracks, packets, cues and clusters of a Matroska file."""
-    out = Parsed()
+    """Tracks, packets, cues and clusters of a Matroska file. A packet's cue is that of its
+    track at its cluster, None without one."""
+    out, found = Parsed(), []
     for ident, begin, end in children(data, 0, len(data)):
         if ident != SEGMENT:
             continue
+        behind = begin
         for top, b, e in children(data, begin, end):
+            start, behind = behind, e  # elements follow each other without gaps
             if top == INFO:
                 for x, p, q in children(data, b, e):
                     if x == SCALE:
@@ -203,21 +212,24 @@ def parse(data: bytes) -> Parsed:
                         track = read_track(data, p, q)
                         out.tracks[track["number"]] = track
             elif top == CLUSTER:
-                out.clusters.append(b)
-                base = 0
+                out.clusters.append(start)
+                base, inside = 0, []
                 for x, p, q in children(data, b, e, CLUSTER):
                     if x == TIMESTAMP:
                         base = number(data, p, q)
                     elif x == SIMPLE_BLOCK:
-                        out.packets += read_block(data, p, q, base, out.scale, True, out.tracks)
+                        inside += read_block(data, p, q, base, out.scale, True, out.tracks)
                     elif x == BLOCK_GROUP:
                         for y, r, s in children(data, p, q):
                             if y == BLOCK:
-                                out.packets += read_block(data, r, s, base, out.scale, False, out.tracks)
+                                inside += read_block(data, r, s, base, out.scale, False, out.tracks)
+                found += [(start, packet) for packet in inside]
             elif top == CUES:
                 for x, p, q in children(data, b, e):
                     if x == CUE_POINT:
                         out.cues += read_cue(data, p, q, out.scale, begin)
+    cue = {(track, cluster): time for time, track, cluster in reversed(out.cues)}  # the first of several
+    out.packets = [(*packet, cue.get((packet[0], cluster))) for cluster, packet in found]
     return out
 
 
@@ -284,62 +296,82 @@ def slices(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[
         yield batch.slice(begin)
 
 
-def packets(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
-    """One row per frame: ``key, track, codec, packet, timestamp_ns, keyframe, lacing,
-    offset, size``. A null file has no rows; a damaged one raises."""
+PACKETS = "array<struct<track:long,codec:string,timestamp_ns:long,keyframe:boolean,lacing:string,offset:long,size:long,cue_ns:long>>"
+
+
+def index(media: DataFrame, column: str = "media") -> DataFrame:
+    """The rows of ``media`` with ``packets``, a table of the file's frames in their order,
+    and ``container``: duration in ms, tracks, clusters, cues. Columns of these names are
+    replaced. A null file has an empty table and zeros; a damaged one raises."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    media = media.drop(*[c for c in media.columns if c.lower() in ("packets", "container")])
+    added = StructType.fromDDL(f"packets {PACKETS}, container array<long>")
+    whole = StructType([*media.schema.fields, *added.fields])
+    schema, at = to_arrow_schema(whole), media.columns.index(column)
+    inner = schema.field("packets").type.value_type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1):
-                rows = []
-                for k, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if data is not None:
-                        parsed = parse(data)
-                        rows += [(k, p[0], parsed.tracks.get(p[0], {}).get("codec"), i, *p[1:]) for i, p in enumerate(parsed.packets)]
-                columns = list(zip(*rows)) if rows else [()] * len(schema)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            for part in slices(batch, at):
+                rows, ends, marks = [], [0], []
+                for data in part.column(at):
+                    parsed = parse(data.as_py()) if data.is_valid else Parsed()
+                    rows += [(p[0], parsed.tracks.get(p[0], {}).get("codec"), *p[1:]) for p in parsed.packets]
+                    ends.append(len(rows))
+                    marks.append([int(parsed.duration), len(parsed.tracks), len(parsed.clusters), len(parsed.cues)])
+                columns = list(zip(*rows)) if rows else [()] * len(inner)
+                found = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, inner)], fields=list(inner))
+                tables = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
+                tables = tables.cast(schema.field("packets").type)
+                yield pa.RecordBatch.from_arrays([*part.columns, tables, pa.array(marks, schema.field("container").type)], schema=schema)
+
+    return media.mapInArrow(run, whole)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
-
-    kinds = [("track", LongType()), ("codec", StringType()), ("packet", LongType()), ("timestamp_ns", LongType()), ("keyframe", BooleanType()), ("lacing", StringType()), ("offset", LongType()), ("size", LongType())]
-    out = StructType([StructField(key, media.schema[key].dataType), *(StructField(n, t) for n, t in kinds)])
-    schema = to_arrow_schema(out)
-    return media.select(key, column).mapInArrow(run, out)
-
-
-def describe(data: bytes) -> tuple[bytes, str]:
-    """The samples read back by their byte ranges, and a feature string: duration in ms,
-    tracks, clusters, cues, packets, packets by lacing, and of the samples the mean, the
-    root mean square and the rate of crossings of the middle, in thousandths."""
-    parsed = parse(data)
-    view = memoryview(data)
-    payload = b"".join(view[p[4] : p[4] + p[5]] for p in parsed.packets)
-    x = np.frombuffer(payload, np.uint8).astype(np.int64)
-    above = x >= 128
-    by = [sum(p[3] == kind for p in parsed.packets) for kind in LACINGS]
-    n = max(1, len(x))
-    marks = [int(parsed.duration), len(parsed.tracks), len(parsed.clusters), len(parsed.cues), len(parsed.packets), *by]
-    marks += [int(x.sum() * 1000 // n), int(1000 * (int((x * x).sum()) / n) ** 0.5), int(np.count_nonzero(above[1:] != above[:-1]) * 1000 // n)]
-    return payload, ",".join(map(str, marks))
+
+def packets(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
+    """One row per frame: ``key, packet, track, codec, timestamp_ns, keyframe, lacing,
+    offset, size, cue_ns``. A null file has no rows; a damaged one raises."""
+    return index(media.select(key, column), column).select(key, F.posexplode("packets").alias("packet", "p")).select(
+        key, F.col("packet").cast("long").alias("packet"), "p.*"
+    )
+
+
+def sampled(payload: bytes) -> list[int]:
+    """Of 8-bit samples the mean, the root mean square and the rate of crossings of the
+    middle, in thousandths."""
+    x = np.frombuffer(payload, np.uint8)
+    n, total, squares, crossings = max(1, len(x)), 0, 0, 0
+    for i in range(0, len(x), 1 << 20):  # so that a long payload is not held again in wider numbers
+        part = x[i : i + (1 << 20) + 1].astype(np.int64)
+        crossings += int(np.count_nonzero(np.diff(part >= 128)))
+        total, squares = total + int(part[: 1 << 20].sum()), squares + int((part[: 1 << 20] ** 2).sum())
+    return [total * 1000 // n, int(1000 * (squares / n) ** 0.5), crossings * 1000 // n]
 
 
 def features(media: DataFrame) -> DataFrame:
-    """Digests and features of ``doc_id, n_bytes, media``, all from the stored bytes."""
+    """Digests and features of ``doc_id, n_bytes, media``, all from the stored bytes, which
+    are read back by the packet table. ``feature`` lists duration in ms, tracks, clusters,
+    cues, packets, packets by lacing, and what ``sampled`` says of the samples."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 2):
                 rows = []
-                for data in part.column(2):
+                for data, table, container in zip(part.column(2), part.column(3).to_pylist(), part.column(4).to_pylist()):
                     data = data.as_py()
-                    payload, marks = describe(data)
+                    view = memoryview(data)
+                    payload = b"".join(view[p["offset"] : p["offset"] + p["size"]] for p in table)
+                    by = [sum(p["lacing"] == kind for p in table) for kind in LACINGS]
+                    marks = ",".join(map(str, [*container, len(table), *by, *sampled(payload)]))
                     rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(data), hashlib.sha256(data).hexdigest(), marks))
                 kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], NAMES)
 
     kind = media.schema["doc_id"].dataType.simpleString()
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    indexed = index(media.select("doc_id", "n_bytes", "media")).select("doc_id", "n_bytes", "media", "packets", "container")
+    return indexed.mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 NAMES = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]

@@ -57,6 +57,20 @@ def payload(text):
     return data + bytes(max(64, -(-len(data) // 64) * 64) - len(data))
 
 
+def plain_feature(data):
+    """The feature string from the payload alone and the writer's sizes: 1,024 samples a frame,
+    8 frames a block, 8 blocks a cluster. A block of one frame has no lacing, and one whose
+    last frame is shorter has sizes of its own."""
+    lacing = dict.fromkeys(("none", "xiph", "fixed", "ebml"), 0)
+    for i in range(0, len(data), 8192):
+        block = data[i : i + 8192]
+        lacing["none" if len(block) <= 1024 else "ebml" if len(block) % 1024 else "fixed"] += -(-len(block) // 1024)
+    clusters, n = -(-len(data) // 65536), len(data)
+    mean, square = sum(data) * 1000 // n, int(1000 * (sum(b * b for b in data) / n) ** 0.5)
+    crossings = sum((a < 128) != (b < 128) for a, b in zip(data, data[1:])) * 1000 // n
+    return ",".join(map(str, [n // 8, 1, clusters, clusters, -(-n // 1024), *lacing.values(), mean, square, crossings]))
+
+
 def test_media_round_trip(docs, texts, edge):
     for df, given in ((docs, texts), (edge, [(i, t) for i, t, _ in EDGE])):
         rows = media.features(media.encode(df)).collect()
@@ -64,6 +78,7 @@ def test_media_round_trip(docs, texts, edge):
         got = sorted((r["doc_id"] or -1, r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) for r in rows)
         due = [(i or -1, len((t or "").encode()), len(p := payload(t)), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:])) for i, t in given]
         assert got == sorted(due)
+        assert {r["payload_sha256"]: r["feature"] for r in rows} == {hashlib.sha256(p).hexdigest(): plain_feature(p) for p in (payload(t) for _, t in given)}
     same = [r for r in rows if r["doc_id"] in (4, 5)]
     assert len({(r["media_sha256"], r["feature"]) for r in same}) == 1
     assert media.features(media.encode(edge.limit(0))).count() == 0
@@ -76,6 +91,11 @@ def test_media_packets(edge):
     assert {r["lacing"] for r in rows} == {"fixed", "ebml"} and {r["track"] for r in rows} == {1}
     times = [r["timestamp_ns"] for r in rows]
     assert times == sorted(times) and abs(times[-1] - (len(rows) - 1) * media.FRAME / media.RATE * 1e9) < 2e6
+    assert [r["packet"] for r in rows] == list(range(len(rows)))
+    frames = media.LACED * media.BLOCKS  # in a cluster, which has the cue of its first frame
+    assert [r["cue_ns"] for r in rows] == [times[k // frames * frames] for k in range(len(rows))]
+    null = edge.sparkSession.createDataFrame([(1, None), (2, None)], "doc_id int, media binary")
+    assert media.packets(null).count() == 0 and media.index(null).count() == 2
 
 
 @pytest.mark.parametrize("lacing", [0, 1, 2, 3])
@@ -103,6 +123,24 @@ def test_unknown_sizes_and_groups():
         media.parse(media.write(b"x" * 64)[:-3])
 
 
+def test_files_in_a_row_and_other_top_elements():
+    frame = media.element(media.SIMPLE_BLOCK, media.vint(1) + b"\x00\x00\x80" + b"data")
+    cluster = media.CLUSTER.to_bytes(4, "big") + b"\xff" + media.uint(media.TIMESTAMP, 3) + frame
+    others = b"".join(media.element(x, b"") for x in (media.SEEK_HEAD, media.CHAPTERS, media.TAGS, media.ATTACHMENTS))
+    segment = media.SEGMENT.to_bytes(4, "big") + b"\xff" + cluster + others + cluster
+    one = media.element(media.EBML, b"") + segment
+    parsed = media.parse(one + one)
+    at = [k for k in range(2 * len(one)) if (one + one).startswith(media.CLUSTER.to_bytes(4, "big"), k)]
+    assert parsed.clusters == at and len(at) == 4 and len(parsed.packets) == 4
+    assert all((one + one)[p[4] : p[4] + p[5]] == b"data" and p[6] is None for p in parsed.packets)
+
+
+def test_uneven_fixed_lacing_raises():
+    data = media.vint(1) + b"\x00\x00\x84" + bytes([1]) + b"abc"
+    with pytest.raises(ValueError, match="fit its block"):
+        media.read_block(data, 0, len(data), 0, 1, True, {})
+
+
 # 2: SimHash
 
 
