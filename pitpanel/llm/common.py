@@ -56,3 +56,29 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     repeated or null id never joins with another text."""
     t = text_of(text)
     return F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), t).cast("binary"))
+
+
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has a row for each key at most; null keys
+    are equal. Rows without a match get nulls.
+
+    A key of more than one in 1,024 of the rows is looked up in a broadcast table: there are
+    fewer than 1,024 such keys, whatever the data. The other keys meet in a shuffle, so no
+    task gets the rows of a hot key. Both frames are read twice, so they should be stored.
+    """
+    both = rows.withColumns({c: F.lit(None) for c in table.columns if c not in keys})
+    names = fresh(both, *(f"key_{i}" for i in range(len(keys))), "n_of_key")
+    own, n = names[:-1], names[-1]
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    hot = [tuple(r)[:-1] for r in counts.where(F.col(n) * 1024 > total).collect()]
+    renamed = table.withColumnsRenamed(dict(zip(keys, own, strict=True)))
+    equal = [rows[k].eqNullSafe(F.col(o)) for k, o in zip(keys, own, strict=True)]
+    if not hot:
+        return rows.join(renamed.hint("merge"), equal, "left").drop(*own)
+    schema = rows.select(*keys).schema
+    marks = rows.sparkSession.createDataFrame(hot, schema).toDF(*own)
+    few = renamed.join(F.broadcast(marks.toDF(*keys)), [F.col(o).eqNullSafe(F.col(k)) for k, o in zip(keys, own, strict=True)], "left_semi")
+    often = rows.join(F.broadcast(marks), equal, "left_semi").join(F.broadcast(few), equal, "left").drop(*own)
+    rest = rows.join(F.broadcast(marks), equal, "left_anti").join(renamed.hint("merge"), equal, "left").drop(*own)
+    return often.unionByName(rest)

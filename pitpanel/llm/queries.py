@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blobscan, decontam, linededup, media, mixing, pii, quality, simhash, tokens, toxicity
+from . import blobscan, decontam, linededup, media, mixing, phrases, pii, quality, simhash, tokens, toxicity, vectorcodes
 from .common import table
 
 
@@ -55,8 +55,16 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_media_matroska, op2_simhash, op3_mixing, op4_decontamination, op5_toxicity, op6_line_dedup, op7_quality, op8_token_counts, op9_secrets, op10_personal_data)
+    found = (op1_media_matroska, op2_simhash, op3_mixing, op4_decontamination, op5_toxicity, op6_line_dedup, op7_quality, op8_token_counts, op9_secrets, op10_personal_data, op12_vector_codes, op13_phrases)
     return {f.__name__: f for f in found}
 
 
@@ -104,6 +112,43 @@ select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_a
 from d left join j on j.k = d.k"""
 
 
+def codes_sql(rounds: int = vectorcodes.ROUNDS) -> str:
+    """A full scan of each codebook by inner products, which are exact on such integers."""
+    near = """a{i} as (select v.k, v.p, min(cast(list_dot_product(v.x, v.x) - 2 * list_dot_product(v.x, b.x) + list_dot_product(b.x, b.x) as bigint) * 256 + b.j) as m
+    from parts v join b{i} b on b.p = v.p group by 1, 2)"""
+    move = """s{j} as (select p, j, i, floor(sum(c) / count(*)) as c from (select v.p, a.m % 256 as j, unnest(v.x) as c, generate_subscripts(v.x, 1) as i from a{i} a join parts v on v.k = a.k and v.p = a.p) group by 1, 2, 3),
+  b{j} as (select b.p, b.j, coalesce(n.x, b.x) as x from b{i} b left join (select p, j, list(c order by i) as x from s{j} group by 1, 2) n on n.p = b.p and n.j = b.j)"""
+    steps = ",\n  ".join(x for i in range(rounds) for x in (near.format(i=i), move.format(i=i, j=i + 1)))
+    return f"""with finite as (select * from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  v as (select row_number() over (order by vec_id, embedding) as k, vec_id, label, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e from finite),
+  parts as (select k, p, e[p * (len(e) // 4) + 1:(p + 1) * (len(e) // 4)] as x from v, range(4) t(p)),
+  b0 as (select p, k - 1 as j, x from parts where k <= 256),
+  {steps},
+  {near.format(i=rounds)},
+  coded as (select k, string_agg(printf('%02x', m % 256), '' order by p) as code, cast(sum(m // 256) as bigint) as error from a{rounds} group by 1),
+  named as (select v.vec_id, v.label, c.code, c.error from v join coded c on c.k = v.k),
+  books as (select sha256(string_agg(cast(cast(c as bigint) as varchar), ',' order by p, j, i)) as h from (select p, j, unnest(x) as c, generate_subscripts(x, 1) as i from b{rounds}))
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, h as codebooks_sha256 from named, books"""
+
+
+PHRASES_SQL = r"""with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+  p as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
+  w as (select row_number() over () as id, lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p),
+  n as (select lang, cast(sum(len(ws)) as bigint) as n from w group by 1),
+  g as (select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) as phrase from w, range(1, 6) r(k) where len(ws) >= k),
+  f as (select lang, k, phrase, count(*) as a from g group by 1, 2, 3),
+  c as (select lang, k, phrase, a, string_split(phrase, ' ') as ws from f where k > 1 and a >= 100),
+  held as (select distinct s.lang, s.phrase from c l, range(1, 5) x(i), range(2, 5) y(size), c s
+    where size < l.k and i + size - 1 <= l.k and s.lang = l.lang and s.phrase = array_to_string(l.ws[i:i + size - 1], ' ') and 100 * l.a >= 100 * s.a),
+  cuts as (select c.lang, c.phrase, c.a, c.ws, x.k from c anti join held h on h.lang = c.lang and h.phrase = c.phrase join range(1, 5) x(k) on x.k < c.k),
+  scores as (select t.lang, t.phrase, t.a, l.a as l, r.a as r, n.n, t.k, cast((cast(1000 as hugeint) * t.a * n.n) // (cast(l.a as hugeint) * r.a) as bigint) as score
+    from cuts t join n on n.lang = t.lang join f l on l.lang = t.lang and l.phrase = array_to_string(t.ws[1:t.k], ' ')
+    join f r on r.lang = t.lang and r.phrase = array_to_string(t.ws[t.k + 1:], ' ')),
+  best as (select * from scores qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+  ranked as (select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score from best)
+select * from ranked where rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express in full."""
-    return {"op3_mixing": MIXING_SQL, "op6_line_dedup": LINES_SQL, "op9_secrets": SECRETS_SQL}
+    return {"op3_mixing": MIXING_SQL, "op6_line_dedup": LINES_SQL, "op9_secrets": SECRETS_SQL, "op12_vector_codes": codes_sql(), "op13_phrases": PHRASES_SQL}
