@@ -187,7 +187,7 @@ def scored(candidates: DataFrame, frequent: DataFrame, totals: DataFrame) -> Dat
     return out
 
 
-def top(rows: DataFrame, n: int = TOP) -> DataFrame:
+def top(rows: DataFrame, n: int) -> DataFrame:
     """The first ``n`` of each language; parts of a language are cut to their first before."""
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     share = F.crc32(F.col("phrase").cast("binary")) % SHARES
@@ -220,6 +220,6 @@ def collocations(docs: DataFrame) -> DataFrame:
     for level in levels[1:]:
         frequent = frequent.unionByName(level)
     candidates = stored(without_contained(frequent.where("k > 1")), "phrase-candidates")
-    out = top(scored(candidates, frequent, totals))
+    out = top(scored(candidates, frequent, totals), TOP)
     discard(chunks)
     return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blobscan, decontam, linededup, media, mixing, phrases, pii, quality, simhash, tokens, toxicity, vectorcodes
+from . import blobscan, decontam, extraction, linededup, media, mixing, phrases, pii, quality, simhash, tokens, toxicity, vectorcodes
 from .common import table
 
 
@@ -55,6 +55,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -64,7 +68,10 @@ def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_media_matroska, op2_simhash, op3_mixing, op4_decontamination, op5_toxicity, op6_line_dedup, op7_quality, op8_token_counts, op9_secrets, op10_personal_data, op12_vector_codes, op13_phrases)
+    found = (
+        op1_media_matroska, op2_simhash, op3_mixing, op4_decontamination, op5_toxicity, op6_line_dedup, op7_quality, op8_token_counts, op9_secrets,
+        op10_personal_data, op11_html_text, op12_vector_codes, op13_phrases,
+    )
     return {f.__name__: f for f in found}
 
 

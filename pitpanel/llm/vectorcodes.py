@@ -3,9 +3,9 @@ by equal-average search.
 
 The squared distance of two vectors of d components is at least the squared difference of
 their component sums over d. So the entries of a codebook lie sorted by sum; a part starts
-at its own sum and walks outward, nearer sums first, until the squared gap over d strictly
-exceeds the best distance so far. Equal bounds are still looked at, so the lowest index wins
-every tie, and the result is that of a full scan. All arithmetic is on integers.
+at its own sum and walks outward, STRIDE entries of the nearer side at a time, until the squared gap
+over d strictly exceeds the best distance so far. Equal bounds are still looked at, so the
+lowest index wins every tie, and the result is that of a full scan. All arithmetic is exact.
 
 Only codebooks (PARTS x ENTRIES entries) and the first ENTRIES vectors reach the driver. A
 round reads the vectors once and shuffles a sum for each entry that a task has used.
@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 from .common import looked_up, stored
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
-#: Components below this many, over the dimension of a part, keep every term within 63 bits.
-SAFE = 1 << 30
+#: Components below these, over the dimension of a part, keep every term exact as a double or
+#: within 63 bits.
+SAFE = 1 << 25, 1 << 30
 #: Scaled components from here on could overflow a sum of 38 digits.
 TOO_LARGE = 2.0**76
-#: Parts that walk together; their intermediate arrays take some 200 bytes each.
-TOGETHER = 1 << 15
+#: Entries that a step outward looks at, and parts that walk together.
+STRIDE, TOGETHER = 8, 1 << 11
 
 
 def integers(values: np.ndarray) -> np.ndarray:
@@ -45,11 +46,12 @@ def integers(values: np.ndarray) -> np.ndarray:
 
 
 def exact(parts: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both as they are if no term of a squared distance can leave 63 bits, else as Python integers."""
-    limit = SAFE // max(1, book.shape[1])
-    if parts.dtype != object and book.dtype != object and max(np.abs(parts).max(initial=0), np.abs(book).max(initial=0)) < limit:
-        return parts, book
-    return parts.astype(object), book.astype(object)
+    """Both in the fastest type that holds every term of a squared distance exactly."""
+    kind, d = object, max(1, book.shape[1])
+    if parts.dtype != object and book.dtype != object:
+        most = max(int(np.abs(parts).max(initial=0)), int(np.abs(book).max(initial=0)))
+        kind = np.float64 if most < SAFE[0] // d else np.int64 if most < SAFE[1] // d else object
+    return parts.astype(kind), book.astype(kind)
 
 
 def nearest(parts: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +63,7 @@ def nearest(parts: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray
     d, k = book.shape[1], len(book)
     sums = book.sum(axis=1)
     order = np.argsort(sums, kind="stable")
-    sums = sums[order]
+    sums, book = sums[order], book[order]
     code, best = np.full(len(parts), k, np.int64), np.zeros(len(parts), parts.dtype)
     at, own = np.arange(len(parts)), parts.sum(axis=1)
     high = np.searchsorted(sums, own)
@@ -74,13 +76,16 @@ def nearest(parts: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray
         go = (below | above) & ((code[at] == k) | (gap * gap <= best[at] * d))
         if not go.all():
             at, own, low, high, rise = at[go], own[go], low[go], high[go], rise[go]
-        entry = order[np.where(rise, high, low)]
-        apart = parts[at] - book[entry]
-        far = (apart * apart).sum(axis=1)
-        better = (code[at] == k) | (far < best[at]) | ((far == best[at]) & (entry < code[at]))
-        code[at[better]], best[at[better]] = entry[better], far[better]
-        low, high = low - ~rise, high + rise
-    return code, best
+        # STRIDE entries of the nearer side; those past its end are the last one again
+        place = np.clip(np.where(rise, high, low)[:, None] + np.where(rise, 1, -1)[:, None] * np.arange(STRIDE), 0, k - 1)
+        apart = parts[at][:, None] - book[place]
+        far = np.einsum("nsd,nsd->ns", apart, apart) if apart.dtype != object else (apart * apart).sum(axis=2)
+        least = far.min(axis=1)
+        entry = np.where(far == least[:, None], order[place], k).min(axis=1) if len(at) else np.zeros(0, np.int64)
+        better = (code[at] == k) | (least < best[at]) | ((least == best[at]) & (entry < code[at]))
+        code[at[better]], best[at[better]] = entry[better], least[better]
+        low, high = np.where(rise, low, low - STRIDE), np.where(rise, high + STRIDE, high)
+    return code, best if best.dtype == object else best.astype(np.int64)
 
 
 def kept(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -100,12 +105,12 @@ def cut(rows: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 def first_books(vectors: DataFrame) -> np.ndarray:
     """Integers (PARTS, entries, width / PARTS) of the vectors with the smallest ids, ascending;
     equal ids follow the vector, a null id comes last."""
-    rows = [r[0] for r in vectors.orderBy(F.col("vec_id").asc_nulls_last(), "embedding").select("embedding").limit(ENTRIES).collect()]
-    width = len(rows[0]) if rows else 0
+    ordered = vectors.orderBy(F.col("vec_id").asc_nulls_last(), "embedding")
+    width = next((r[0] for r in ordered.select(F.size("embedding")).limit(1).collect()), 0)
     if width % PARTS:
         raise ValueError(f"vectors of {width} components can't be cut into {PARTS} equal parts")
-    same = [r for r in rows if len(r) == width]
-    return integers(np.array(same, np.float64)).reshape(len(same), PARTS, -1).transpose(1, 0, 2)
+    rows = [r[0] for r in ordered.where(F.size("embedding") == width).select("embedding").limit(ENTRIES).collect()]
+    return integers(np.array(rows, np.float64)).reshape(len(rows), PARTS, width // PARTS).transpose(1, 0, 2)
 
 
 def moved(vectors: DataFrame, books: np.ndarray) -> np.ndarray:
