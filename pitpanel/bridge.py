@@ -59,6 +59,14 @@ facts as (select o.o_custkey as permno, cast(l.l_shipdate as date) as date, l.l_
     l.l_quantity as quantity from lineitem l join orders o on o.o_orderkey = l.l_orderkey)"""
 
 
+#: Few keys with many overlapping intervals, some of them open, and rows on the same keys.
+BUSY_SQL = """with spells as (select c.c_nationkey as permno, cast(o.o_orderdate as date) as valid_from,
+    case when o.o_orderkey % 50 = 0 then null else cast(o.o_orderdate as date) + cast(o.o_orderkey % 40 as int) end as valid_to,
+    o.o_orderkey as spell from orders o join customer c on c.c_custkey = o.o_custkey),
+visits as (select s.s_nationkey as permno, cast(l.l_shipdate as date) as date, l.l_quantity as quantity
+    from lineitem l join supplier s on s.s_suppkey = l.l_suppkey)"""
+
+
 def _select(spark: SparkSession, sf_dir: str, text: str, tables: tuple[str, ...], name: str) -> DataFrame:
     for t in tables:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(f"bridge_{t}")
@@ -72,6 +80,11 @@ def panel_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _select(spark, sf_dir, PANEL_SQL, ("events",), name)
 
 
+def busy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``spells`` or ``visits``."""
+    return _select(spark, sf_dir, BUSY_SQL, ("orders", "customer", "lineitem", "supplier"), name)
+
+
 def interval_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``intervals`` or ``facts``."""
     return _select(spark, sf_dir, INTERVAL_SQL, ("orders", "lineitem"), name)

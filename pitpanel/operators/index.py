@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.quality import finite, first_match
@@ -10,28 +10,43 @@ from .factors import by_session, log_growth
 from .joins import with_base
 
 
+def seedable() -> Column:
+    """The date of an ordinary row with a finite positive price, else null."""
+    return F.when((F.col("price_raw") > 0) & finite("price_raw") & (F.col("delist_flag") == "N"), F.col("date"))
+
+
 def seed_date(panel: DataFrame) -> DataFrame:
     """Adds the first date with a finite positive price on an ordinary row."""
-    good = (F.col("price_raw") > 0) & finite("price_raw") & (F.col("delist_flag") == "N")
-    return panel.withColumn("seed_date", F.min(F.when(good, F.col("date"))).over(Window.partitionBy("permno")))
+    return panel.withColumn("seed_date", F.min(seedable()).over(Window.partitionBy("permno")))
+
+
+def path_of(marked: DataFrame) -> DataFrame:
+    """The path by ``seed_date`` and, up to each row, the missing returns and gaps ``_broken``,
+    the total losses ``_lost`` and the log growth ``_growth`` since the seed."""
+    early = F.col("seed_date").isNull() | (F.col("date") < F.col("seed_date"))
+    status = first_match([(early, "NO_VALID_ANCHOR"), (F.col("_broken") > 0, "MISSING_RETURN_OR_SESSION_GAP"), (F.col("_lost") > 0, "ZERO_WEALTH")], F.lit("VALID"))
+    out = marked.withColumn("index_status", status)
+    value = F.when(F.col("index_status") == "ZERO_WEALTH", 0.0).when(F.col("index_status") == "VALID", F.exp("_growth"))
+    return out.select("permno", "date", "session_index", F.when(~early, F.col("seed_date")).alias("index_anchor_date"), value.alias("wealth_index"), "index_status")
+
+
+def steps(c: str = "ret_total_backtest") -> dict[str, Column]:
+    """What a row after the seed adds to ``_broken``, ``_lost`` and ``_growth``, by its ``gap``."""
+    after, r = F.col("date") > F.col("seed_date"), F.col(c)
+    return {
+        "_broken": F.when(after & (r.isNull() | F.col("gap")), 1).otherwise(0),
+        "_lost": F.when(after & (r == -1), 1).otherwise(0),
+        "_growth": F.when(after, log_growth(r)).otherwise(0.0),
+    }
 
 
 def wealth_path(panel: DataFrame) -> DataFrame:
     """Growth since the seed, whose own return doesn't count. A missing return or a session
     gap makes it null for good, a total loss 0 for good."""
     upto = by_session(Window.unboundedPreceding, 0)
-    after, r = F.col("date") > F.col("seed_date"), F.col("ret_total_backtest")
     gap = F.col("session_index") - F.lag("session_index").over(by_session()) != 1
     marked = seed_date(panel).withColumn("gap", gap)
-    broken = F.count(F.when(after & (r.isNull() | F.col("gap")), 1)).over(upto)
-    lost = F.count(F.when(after & (r == -1), 1)).over(upto)
-    growth = F.sum(F.when(after, log_growth(r)).otherwise(0.0)).over(upto)
-    path = marked.withColumns({"_broken": broken, "_lost": lost, "_growth": growth})
-    early = F.col("seed_date").isNull() | (F.col("date") < F.col("seed_date"))
-    status = first_match([(early, "NO_VALID_ANCHOR"), (F.col("_broken") > 0, "MISSING_RETURN_OR_SESSION_GAP"), (F.col("_lost") > 0, "ZERO_WEALTH")], F.lit("VALID"))
-    out = path.withColumn("index_status", status)
-    value = F.when(F.col("index_status") == "ZERO_WEALTH", 0.0).when(F.col("index_status") == "VALID", F.exp("_growth"))
-    return out.select("permno", "date", "session_index", F.when(~early, F.col("seed_date")).alias("index_anchor_date"), value.alias("wealth_index"), "index_status")
+    return path_of(marked.withColumns({name: F.sum(step).over(upto) for name, step in steps().items()}))
 
 
 def rebase(wealth: DataFrame, base_date: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,17 +11,60 @@ from pyspark.sql import functions as F
 from ..schemas import ContractError
 from .normalize import open_end as end_of
 
+#: An end from here on counts as open when lengths are measured.
+FAR = datetime.date(9000, 1, 1)
+EPOCH = datetime.date(1970, 1, 1)
+
+
+#: Keys with at least so many intervals are joined by time buckets, the KEYS with most of them
+#: at most: their widths are broadcast, a row of some 40 bytes each, so that table is bounded.
+MANY, KEYS = 64, 1 << 16
+
+
+def bucket_widths(hist: DataFrame, key: str, frm: str, end: Column, many: int = MANY, keys: int = KEYS) -> DataFrame:
+    """``_key, _lo, _hi, _width`` of the keys with many intervals: the first start, the last
+    bound that isn't open, and the mean length of the intervals in days, cut at ``_hi``.
+
+    With the mean as width a key's intervals touch two buckets more than it has intervals
+    for each of them, on average, and a row meets about twice the intervals that hold it.
+    """
+    is_open, days = end >= F.lit(FAR), lambda at: F.datediff(at, F.lit(EPOCH)).cast("long")
+    bounds = hist.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(frm).alias("_lo"),
+        F.greatest(F.max(frm), F.max(F.when(~is_open, end))).alias("_hi"),
+        F.count_if(is_open).alias("_open"),
+        F.sum(F.when(is_open, 0).otherwise(days(end)) - days(F.col(frm))).alias("_days"),
+    )
+    width = F.greatest(F.lit(1), F.ceil((F.col("_days") + F.col("_open") * days(F.col("_hi"))) / F.col("_n")))
+    most = bounds.where(F.col("_n") >= many).orderBy(F.desc("_n"), key).limit(keys)
+    return most.select(F.col(key).alias("_key"), "_lo", "_hi", width.cast("long").alias("_width"))
+
 
 def interval_join(
     df: DataFrame, hist: DataFrame, key: str = "permno", date: str = "date", frm: str = "valid_from", to: str = "valid_to",
-    open_end: bool = True, how: str = "left",
+    open_end: bool = True, how: str = "left", many: int = MANY,
 ) -> DataFrame:
-    """Each row with the interval of its key that holds its date, ends included. The key is
-    an equality, so the join hashes or sorts by it and tests the range within; a null end is
-    open, or matches nothing with ``open_end=False``."""
-    h = hist.select(F.col(key).alias("_key"), *(c for c in hist.columns if c != key))
-    end = end_of(h[to]) if open_end else h[to]
-    return df.join(h, (df[key] == h["_key"]) & (df[date] >= h[frm]) & (df[date] <= end), how)
+    """Each row with the intervals of its key that hold its date, ends included; ``_key`` is
+    null where none does. A null end is open, or matches nothing with ``open_end=False``;
+    null keys and dates match nothing, intervals may overlap.
+
+    Keys with few intervals are joined by the key, and the range is tested within. A key with
+    many is cut into buckets of time: its intervals go to all buckets that they touch, a row to
+    the one of its date, so a row meets few others than its own intervals, each match is found
+    once, and the rows of one key spread over the tasks. Rows without a key spread likewise.
+    """
+    end = end_of(to) if open_end else F.col(to)
+    h = hist.where(F.col(key).isNotNull() & (end >= F.col(frm)))
+    widths = F.broadcast(bucket_widths(h, key, frm, end, many))
+    place = lambda at: F.floor(F.datediff(F.greatest(F.least(at, F.col("_hi")), F.col("_lo")), F.col("_lo")) / F.col("_width"))
+    touched = F.when(F.col("_width").isNotNull(), F.sequence(place(F.col(frm)), place(end))).otherwise(F.array(F.lit(0).cast("long")))
+    carried = [F.col(c) for c in hist.columns if c != key]
+    parts = h.join(widths, F.col(key) == F.col("_key"), "left").select(F.col(key).alias("_key"), *carried, F.explode(touched).alias("_part"))
+    alone = F.when(F.col(key).isNull(), F.xxhash64(*df.columns) % 4096)
+    own = df.join(widths, F.col(key) == F.col("_key"), "left").withColumn("_bucket", F.coalesce(alone, place(F.col(date)), F.lit(0))).drop("_key", "_lo", "_hi", "_width")
+    inside = (own[date] >= parts[frm]) & (own[date] <= (end_of(parts[to]) if open_end else parts[to]))
+    return own.join(parts, (own[key] == parts["_key"]) & (own["_bucket"] == parts["_part"]) & inside, how).drop("_bucket", "_part")
 
 
 def carried_join(

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..bridge import BUSY_SQL, busy_table
 from ..functions import quality as q
 from ..operators import calendar as ca
 from ..operators import events as ev
 from ..operators import joins as jo
 from ..operators import normalize as no
 from ..operators import panel as pa
-from .base import AUDIT, B, END, HORIZON, KNOWN, OFFSET, P, PANEL, PLAN, RETURN_FAULTS, SUPPORTED, Run, first_of, near, query, span, sql_near
+from .base import AUDIT, B, COMMON, END, HORIZON, KNOWN, OFFSET, P, PANEL, PLAN, PRIMARY, RETURN_FAULTS, SUPPORTED, Run, first_of, near, query, span, sql_near
 
 # fmt: off
 ON = f"h.permno = f.permno and f.date >= h.valid_from and f.date <= coalesce(h.valid_to, {END})"
@@ -29,6 +30,14 @@ def j1_carried_join(spark, sf):
     return jo.carried_join(r.facts(), r.intervals()).select("permno", "date", "order_id", "line_id", "quantity", "valid_from", "attribute")
 
 
+@query(f"""{BUSY_SQL}, pairs as (select v.permno, v.date, s.spell from visits v left join spells s on s.permno = v.permno and s.valid_from <= v.date and (s.valid_to is null or v.date <= s.valid_to))
+  select permno, year(date) as year, count(*) as rows, count(spell) as matches, cast(sum(spell) as bigint) as spells from pairs group by permno, year(date)""")
+def j1_busy_keys(spark, sf):
+    """Overlapping intervals, hundreds to thousands of a key: joined by time buckets."""
+    pairs = jo.interval_join(busy_table(spark, sf, "visits"), busy_table(spark, sf, "spells"))
+    return pairs.groupBy("permno", F.year("date").cast("bigint").alias("year")).agg(F.count(F.lit(1)).alias("rows"), F.count("spell").alias("matches"), F.sum("spell").alias("spells"))
+
+
 @query(f"{B} select f.permno, f.date, f.order_id, f.line_id, h.valid_from, h.attribute from facts f left join intervals h on h.permno = f.permno and f.date >= h.valid_from and f.date <= h.valid_to")
 def j2_closed_interval_join(spark, sf):
     r = Run(spark, sf)
@@ -164,10 +173,11 @@ def q7_baseline_eligible(spark, sf):
     return Run(spark, sf).panel.select("permno", "date", "baseline_eligible_observed")
 
 
-UNIVERSE = f"""{P}, held as (select d.permno, d.date, (select max_by(h, h.valid_from) from history h where h.permno = d.permno and d.date between h.valid_from and h.valid_to) as m from daily d),
-  flags as (select permno, date, if(m is null, null, m.issuer_type in ('ACOR', 'CORP') and concat_ws('/', m.share_type, m.security_type, m.security_subtype, m.us_incorporated_flag) = 'NS/EQTY/COM/Y') as is_common_stock,
-    contains('NAQ', m.primary_exchange) as is_primary_exchange, m.trading_status_flag = 'A' as is_active, m.conditional_type = 'RW' as is_regular_way from held),
-  universe as (select *, not (not is_common_stock or not is_primary_exchange or not is_active or not is_regular_way) as is_investable from flags)"""
+UNIVERSE = f"""{P},
+  held as (select d.permno, d.date, (select max_by(h, h.valid_from) from history h where h.permno = d.permno and d.date between h.valid_from and h.valid_to) as m from daily d),
+  flags as (select permno, date, if(m is null, null, {COMMON.format('m')}) as is_common_stock, m.primary_exchange in {PRIMARY} as is_primary_exchange,
+    m.trading_status_flag = 'A' as is_active, m.conditional_type = 'RW' as is_regular_way from held),
+  universe as (select *, is_common_stock and is_primary_exchange and is_active and is_regular_way as is_investable from flags)"""
 
 
 @query(f"{UNIVERSE} select * from universe")

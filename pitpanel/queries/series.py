@@ -11,6 +11,7 @@ from ..operators import index as ix
 from ..operators import labels as la
 from ..operators import normalize as no
 from ..operators import panel as pa
+from ..operators import segments as sg
 from .base import AUDIT, FACTORS, FEATURES, LABELS, LOOKBACK, P, PANEL, PLAN, RATE, SUMMARY, WEALTH, HORIZON, Run, near, query, sql_near, table
 from .joins import REVERSE, UNIVERSE
 
@@ -29,6 +30,20 @@ def w2_series_ended(spark, sf):
     return fa.series_ended(Run(spark, sf).run_panel).select("permno", "date", "economic_series_ended")
 
 
+SEGMENT = 5  # sessions; so short that the given months have several
+
+
+@query(f"{FACTORS} select permno, date, economic_series_ended from factors")
+def w2_series_ended_in_segments(spark, sf):
+    return sg.series_ended(Run(spark, sf).run_panel, SEGMENT).select("permno", "date", "economic_series_ended")
+
+
+@query(f"{FACTORS} select permno, date, has_required_history, {sql_near('momentum')} as momentum from factors")
+def w3_momentum_in_segments(spark, sf):
+    found = sg.momentum(Run(spark, sf).run_panel, LOOKBACK, SEGMENT)
+    return found.select("permno", "date", "has_required_history", near("momentum").alias("momentum"))
+
+
 @query(f"{FACTORS} select permno, date, has_required_history, {sql_near('momentum')} as momentum from factors")
 def w3_momentum(spark, sf):
     return Run(spark, sf).factors.select("permno", "date", "has_required_history", near("momentum").alias("momentum"))
@@ -68,6 +83,12 @@ def w8_rebase_with_fallback(spark, sf):
     return ix.rebase_with_fallback(Run(spark, sf).wealth, PLAN["base_date"], "first_valid_after_base").select("permno", "date", "status", "actual_base_date", near("rebased").alias("rebased"))
 
 
+@query(f"{WEALTH} select permno, date, index_anchor_date, index_status, {sql_near('wealth_index')} as wealth_index from wealth")
+def w6_wealth_path_in_segments(spark, sf):
+    found = sg.wealth_path(Run(spark, sf).run_panel, SEGMENT)
+    return found.select("permno", "date", "index_anchor_date", "index_status", near("wealth_index").alias("wealth_index"))
+
+
 COMPOUND = "if(count(*) over w = count(ret_total) over w, {0} * product(1 + ret_total) over w, null)"
 WIN = f"window w as ({BY} rows between unbounded preceding and current row)"
 
@@ -77,6 +98,11 @@ def w9_compound_returns(spark, sf):
     return ix.compound_returns(Run(spark, sf).run_panel).select("permno", "date", near("wealth").alias("wealth"))
 
 
+@query(f"{PANEL} select permno, date, {sql_near(COMPOUND.format('1.0'))} as wealth from panel {WIN}")
+def w9_compound_returns_in_segments(spark, sf):
+    return sg.compound_returns(Run(spark, sf).run_panel, size=SEGMENT).select("permno", "date", near("wealth").alias("wealth"))
+
+
 @query(f"""{PANEL}, x as (select permno, date, ret_total, count(*) over w as n, count(ret_total) over w as k, product(1 + ret_total) over w as g,
     coalesce(bool_or(ret_total = -1) over ({BY} rows between unbounded preceding and 1 preceding), false) as ended from panel window w as ({BY} rows between {LOOKBACK - 1} preceding and current row))
   select permno, date, {sql_near(f"case when n = {LOOKBACK} and k = {LOOKBACK} and not ended then g - 1 end")} as momentum from x""")
