@@ -1,13 +1,14 @@
 """Collocations: phrases of two to five words that occur together more than their parts would,
 counted on a prefix-free parse.
 
-Pieces of text are cut into chunks by their own words: a window of WINDOW words whose hash is
-0 mod DIVISOR ends a chunk and begins the next, so both hold the window. Equal passages are
-cut alike wherever they stand, and the parse is a dictionary of distinct chunks with how
-often each occurs. Phrases are counted inside the chunks of that dictionary, each weighted
-by its frequency. A phrase belongs to the chunk in which it begins; one that begins in the
-window at the end of a chunk is the next chunk's, which holds it whole, as a phrase has at
-most WINDOW + 1 words. So each occurrence counts once.
+A text is a sequence of words with a mark where a piece ends. It is cut into chunks by its
+own content: a window of WINDOW tokens whose hash is 0 mod DIVISOR ends a chunk and begins
+the next, so both hold the window. Equal passages are cut alike wherever they stand, and the
+parse is a dictionary of distinct chunks with how often each occurs. Phrases are counted
+inside the chunks of that dictionary, each weighted by its frequency. A phrase belongs to the
+chunk in which it begins; one that begins in the window at the end of a chunk is the next
+chunk's, which holds it whole, as a phrase has at most WINDOW + 1 words. So each occurrence
+counts once.
 
 A phrase can't occur more often than a part of it. So phrases of k words are counted only
 where both phrases of k - 1 words in them may be frequent, by a bit map of BITS bits that
@@ -29,7 +30,7 @@ from .common import discard, looked_up, stored, text_of
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 WINDOW, DIVISOR = LONGEST - 1, 16
-#: Words that a chunk owns at most; a longer stretch without a cutting window is cut anyhow.
+#: Tokens that a chunk owns at most; a longer stretch without a cutting window is cut anyhow.
 STRETCH = 1024
 #: Bits of the map of frequent phrases that goes to all tasks (8 MB).
 BITS = 1 << 26
@@ -39,14 +40,33 @@ HELD = 400_000
 SHARES = 64
 # A-Z in lower case, what ends a piece as a line break, what parts words as a space.
 PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
+#: The token that ends a piece; no word can be it. An empty phrase stands for all words.
+STOP, ALL = ord("."), b""
+#: Odd factors that mix the hashes of the words of a phrase by their places.
+FACTORS = np.array([0x9E3779B97F4A7C15 ^ (i * 0x51ED270) for i in range(LONGEST)], np.uint64)
+LOW_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
-class Hashes(dict):
-    """Hashes of words, each made once."""
+def spans(line: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the tokens of a line begin and end; single spaces part them."""
+    space = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    return np.concatenate([[0], space + 1]), np.append(space, len(line))
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = crc32(word)
-        return h
+
+def hashes(line: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash for each token by its length and its first and last eight bytes, which is enough
+    to choose cuts and to look up what may be frequent."""
+    eight = np.ndarray((len(line) + 1,), "<u8", line + bytes(8), strides=(1,))
+    n = end - begin
+    kept = LOW_BYTES[np.minimum(n, 8)]
+    h = (eight[begin] & kept) * FACTORS[0] ^ (eight[np.maximum(end - 8, begin)] & kept) * FACTORS[1]
+    h = (h ^ h >> np.uint64(29)) * FACTORS[2] + n.astype(np.uint64)
+    return h ^ h >> np.uint64(32)
+
+
+def mixed(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of k words, by those of the words."""
+    return sum(h[i : len(h) - k + 1 + i] * FACTORS[i] for i in range(k))
 
 
 class Counts(defaultdict):
@@ -67,79 +87,102 @@ class Counts(defaultdict):
         self.clear()
 
 
-def cut(words: list[bytes], sizes: list[int], hashes: Hashes) -> Iterator[tuple[bytes, bool]]:
-    """The chunks of consecutive pieces, which have so many words each, and whether a chunk
-    ends its piece: then it owns all its words, else all but the last WINDOW."""
-    ends = np.cumsum(sizes)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    starts = [ends - sizes]
-    if len(words) > WINDOW:
-        mixed = sum(h[i : len(h) - WINDOW + 1 + i] * np.uint64(0x9E3779B97F4A7C15 ^ (i * 0x51ED27)) for i in range(WINDOW))
-        hit = np.flatnonzero((mixed >> np.uint64(40)) % np.uint64(DIVISOR) == 0)
-        starts.append(hit[hit + WINDOW <= ends[np.searchsorted(ends, hit, side="right")]])
-    starts = np.unique(np.concatenate(starts))
-    long = np.flatnonzero(np.diff(np.append(starts, len(words))) > STRETCH)
-    if len(long):
-        stops = np.append(starts, len(words))
-        extra = np.concatenate([np.arange(stops[i] + STRETCH, stops[i + 1], STRETCH) for i in long])
-        starts = np.unique(np.concatenate([starts, extra[extra + WINDOW <= ends[np.searchsorted(ends, extra, side="right")]]]))
-    end = ends[np.searchsorted(ends, starts, side="right")]
-    following = np.append(starts[1:], len(words))
-    last = following >= end
-    for a, b, whole in zip(starts.tolist(), np.where(last, end, following + WINDOW).tolist(), last.tolist(), strict=True):
-        yield b" ".join(words[a:b]), whole
+def cut(line: bytes) -> Iterator[tuple[bytes, bool]]:
+    """The chunks of a text, and whether a chunk is its last: that owns all its tokens, the
+    others all but the last WINDOW."""
+    begin, end = spans(line)
+    n, starts = len(begin), [0]
+    if n > WINDOW:
+        hit = np.flatnonzero((mixed(hashes(line, begin, end), WINDOW) >> np.uint64(40)) % np.uint64(DIVISOR) == 0).tolist()
+        for stop in [*hit, n]:
+            while stop - starts[-1] > STRETCH and n - starts[-1] > STRETCH + WINDOW:
+                starts.append(starts[-1] + STRETCH)
+            if starts[-1] < stop < n:
+                starts.append(stop)
+    at, last = begin[starts].tolist(), end[np.array(starts[1:], int) + WINDOW - 1].tolist()
+    for a, b in zip(at, last, strict=False):
+        yield line[a:b], False
+    yield line[at[-1] :], True
+
+
+def plain(text: str) -> bytes:
+    """The tokens of a text, single spaces between them."""
+    return b" ".join(text.encode().translate(PLAIN).replace(b"\n", b" . ").split())
 
 
 def parse(docs: DataFrame) -> DataFrame:
     """The dictionary: ``lang, whole, chunk, n`` for each distinct chunk of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, hashes = Counts(), Hashes()
+        counts = Counts()
         names = ["lang", "whole", "chunk", "n"]
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                pieces = [p for p in map(bytes.split, text.as_py().encode().translate(PLAIN).split(b"\n")) if p]
-                if not pieces:
-                    continue
-                for chunk, whole in cut([w for p in pieces for w in p], list(map(len, pieces)), hashes):
-                    counts[lang, whole][chunk] += 1
+                own, line = (counts[lang, False], counts[lang, True]), plain(text.as_py())
+                for chunk, whole in cut(line) if line else ():
+                    own[whole][chunk] += 1
                 if counts.many():
                     yield from counts.rows(names)
-                if len(hashes) > HELD:
-                    hashes.clear()
         yield from counts.rows(names)
 
     given = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_of().alias("text"))
     return given.mapInArrow(run, "lang string, whole boolean, chunk string, n long").groupBy("lang", "whole", "chunk").agg(F.sum("n").alias("n"))
 
 
-def phrases(words: list[bytes], starts: int, k: int, salt: int, likely: bytes | None) -> list[bytes]:
-    """Phrases of k words that begin at the first ``starts`` words and whose two phrases of
-    k - 1 words are in the bit map ``likely``."""
-    n = min(starts, len(words) - k + 1)
-    if k == 1:
-        return words[:n]
-    if n <= 0:
-        return []
-    shorter = words if k == 2 else [b" ".join(words[i : i + k - 1]) for i in range(n + 1)]
-    found = [likely[(p := crc32(s, salt) % BITS) >> 3] >> (p & 7) & 1 for s in shorter[: n + 1]]
-    return [b" ".join(words[i : i + k]) for i in range(n) if found[i] and found[i + 1]]
+def salt(lang: str) -> np.uint64:
+    return np.uint64(crc32(lang.encode()) * 0x9E3779B1)
+
 
+def placed(h: np.ndarray, lang: str) -> np.ndarray:
+    """Places in the bit map of phrases with hashes ``h``."""
+    return ((h + salt(lang)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - BITS.bit_length() + 1)
 
-def counted(chunks: DataFrame, k: int, likely: bytes | None) -> DataFrame:
-    """``lang, phrase, f`` for the phrases of k words that occur LEAST times (words: all)."""
+
+def likely_starts(h: np.ndarray, owned: np.ndarray, stops: np.ndarray, k: int, lang: str, bits: np.ndarray | None) -> np.ndarray:
+    """Where phrases of k words begin that may be frequent: at tokens that their chunk owns,
+    without a stop inside. Chunks stand one behind the other with a stop between."""
+    n = len(h) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    good = owned[:n].copy()
+    for i in range(k):
+        good &= ~stops[i : n + i]
+    if k > 1:
+        p = placed(mixed(h, k - 1), lang)
+        known = bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1 == 1
+        good &= known[:n] & known[1 : n + 1]
+    return np.flatnonzero(good)
+
+
+def counted(chunks: DataFrame, k: int, likely: np.ndarray | None) -> DataFrame:
+    """``lang, phrase, f`` for the phrases of k words; of words also the empty phrase, which
+    stands for all of them."""
     shared = chunks.sparkSession.sparkContext.broadcast(likely)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, bits = Counts(), shared.value
         names = ["lang", "k", "phrase", "f"]
         for batch in batches:
-            for lang, whole, chunk, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
-                words = chunk.as_py().encode().split(b" ")
+            langs, whole, texts, times = (batch.column(i) for i in range(4))
+            whole, times = whole.to_numpy(zero_copy_only=False), times.to_numpy()
+            texts, rows = texts.cast(pa.binary()).to_pylist(), defaultdict(list)
+            for i, lang in enumerate(langs.to_pylist()):
+                rows[lang].append(i)
+            for lang, at in rows.items():
+                line = b" . ".join([texts[i] for i in at]) + b" ."
+                begin, end = spans(line)
+                sizes = np.array([texts[i].count(b" ") + 2 for i in at])  # with the stop behind
+                place = np.arange(len(begin)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                owned = place < np.repeat(np.where(whole[at], sizes, sizes - 1 - WINDOW), sizes)
+                stops = (end - begin == 1) & (np.frombuffer(line, np.uint8)[begin] == STOP)
+                found = likely_starts(hashes(line, begin, end), owned, stops, k, lang, bits)
+                weights = np.repeat(times[at], sizes)[found]
                 own = counts[lang, k]
-                for phrase in phrases(words, len(words) if whole else len(words) - WINDOW, k, crc32(lang.encode() + b"\n"), bits):
-                    own[phrase] += n
-                if len(own) > HELD // 8 and counts.many():
+                if k == 1:
+                    own[ALL] += int(weights.sum())
+                for a, b, n in zip(begin[found].tolist(), end[found + k - 1].tolist(), weights.tolist(), strict=True):
+                    own[line[a:b]] += n
+                if counts.many():
                     yield from counts.rows(names)
         yield from counts.rows(names)
 
@@ -147,14 +190,24 @@ def counted(chunks: DataFrame, k: int, likely: bytes | None) -> DataFrame:
     return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-def bit_map(frequent: DataFrame) -> bytes:
+def bit_map(frequent: DataFrame) -> np.ndarray:
     """A map of BITS bits with those of the phrases set; its size doesn't depend on them."""
-    place = F.crc32(F.concat("lang", F.lit("\n"), "phrase").cast("binary")) % BITS
-    words = frequent.select(place.alias("p")).groupBy((F.col("p") / 32).cast("long").alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 32).cast("int"))).alias("w"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                begin, end = spans(phrase)
+                found.append(int(placed(mixed(hashes(phrase, begin, end), len(begin)), lang)[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["p"])
+
+    places = frequent.select("lang", "phrase").mapInArrow(run, "p long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 32).cast("int"))
+    words = places.groupBy((F.col("p") / 32).cast("long").alias("i")).agg(F.bit_or(bit).alias("w"))
     out = np.zeros(BITS // 32, "<u4")
     rows = words.toPandas()  # BITS / 32 rows at most
     out[rows["i"].to_numpy(np.int64)] = rows["w"].to_numpy(np.int64).astype("<u4")
-    return out.tobytes()
+    return out.view(np.uint8)
 
 
 def without_contained(candidates: DataFrame) -> DataFrame:
@@ -205,21 +258,19 @@ def collocations(docs: DataFrame) -> DataFrame:
     without frequent phrases, gives no rows.
     """
     chunks = stored(parse(docs), "phrase-chunks")
-    owned = F.size(F.split("chunk", " ")) - F.when(F.col("whole"), 0).otherwise(WINDOW)
-    totals = stored(chunks.groupBy("lang").agg(F.sum(owned * F.col("n")).alias("n")), "phrase-totals")
-    levels, likely = [], None
+    levels, likely, totals = [], None, None
     for k in range(1, LONGEST + 1):
         level = stored(counted(chunks, k, likely).where(F.col("f") >= LEAST).withColumn("k", F.lit(k)), f"phrases-{k}")
-        if level.isEmpty():
-            break
+        if k == 1:
+            totals = level.where(F.col("phrase") == ALL.decode()).select("lang", F.col("f").alias("n"))
+            level = level.where(F.col("phrase") != ALL.decode())
         levels.append(level)
-        likely = bit_map(level) if k < LONGEST else None
-    if not levels:
-        levels = [level]
+        if k == LONGEST or level.isEmpty():
+            break
+        likely = bit_map(level)
+    discard(chunks)
     frequent = levels[0]
     for level in levels[1:]:
         frequent = frequent.unionByName(level)
     candidates = stored(without_contained(frequent.where("k > 1")), "phrase-candidates")
-    out = top(scored(candidates, frequent, totals), TOP)
-    discard(chunks)
-    return out
+    return top(scored(candidates, frequent, totals), TOP)

@@ -282,15 +282,20 @@ def test_phrases_of_repeated_words_and_edges(spark, monkeypatch):
     assert phrases.collocations(given(spark, rows[2:6])).collect() == []
 
 
-def test_parse_cuts_equal_passages_alike_and_keeps_every_start(spark):
+def test_parse_cuts_equal_passages_alike_and_keeps_every_start():
     rng = random.Random(4)
     passage = [f"p{rng.randrange(400)}".encode() for _ in range(600)]
-    hashes = phrases.Hashes()
-    chunks = [Counter(phrases.cut(head + passage, [len(head) + 600], hashes)) for head in ([], [b"x"] * 7, passage[50:90])]
+    chunks = [Counter(phrases.cut(b" ".join(head + passage))) for head in ([], [b"x"] * 7, passage[50:90])]
     shared = chunks[0] & chunks[1] & chunks[2]
     assert sum(shared.values()) >= 0.9 * sum(chunks[0].values())
-    owned = sum(len(c.split(b" ")) - (0 if last else phrases.WINDOW) for c, last in phrases.cut(passage * 9, [5400], hashes))
-    assert owned == 5400
+    for tokens in (passage * 9, [b"a"] * 5400, [b"a", b"b", b"c"] * 1800, passage[:3], passage[:4], [b"a"] * 1028, [b"a"] * 1029):
+        found, at = list(phrases.cut(b" ".join(tokens))), 0
+        for chunk, last in found:
+            words = chunk.split(b" ")
+            assert words == tokens[at : at + len(words)]
+            at += len(words) - (0 if last else phrases.WINDOW)
+            assert len(words) <= phrases.STRETCH + 2 * phrases.WINDOW
+        assert at == len(tokens) and [last for _, last in found] == [False] * (len(found) - 1) + [True]
 
 
 def test_a_full_bit_map_changes_nothing(spark, monkeypatch):
@@ -298,5 +303,5 @@ def test_a_full_bit_map_changes_nothing(spark, monkeypatch):
     rng = random.Random(8)
     rows = [("en", " ".join(rng.choices("abcdefg", k=30))) for _ in range(40)]
     want = plain_phrases(rows, 5)
-    monkeypatch.setattr(phrases, "bit_map", lambda frequent: b"\xff" * (phrases.BITS // 8))
+    monkeypatch.setattr(phrases, "bit_map", lambda frequent: np.full(phrases.BITS // 8, 255, np.uint8))
     assert sorted(tuple(r) for r in phrases.collocations(given(spark, rows)).collect()) == want
