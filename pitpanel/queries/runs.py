@@ -9,11 +9,13 @@ from ..operators import audit as au
 from ..operators import checks as ck
 from ..operators import factors as fa
 from ..operators import features as fe
+from ..operators import monthly as mo
 from ..operators import panel as pa
 from ..schemas import DAILY, HISTORY
 from ..sources import tables as ta
 from ..sources.shared import scratch
-from .base import AUDIT, FEATURES, HORIZON, LABEL_TAIL, LABELS, LOOKBACK, OFFSET, P, PANEL, PLAN, WEALTH, Run, query, table
+from ..sources.store import Store, Weeks
+from .base import AUDIT, FACTORS, FEATURES, HORIZON, LABEL_TAIL, LABELS, LOOKBACK, OFFSET, P, PANEL, PLAN, WEALTH, WEALTH_TAIL, Run, near, query, sql_near, table
 from .joins import REVERSE
 
 # fmt: off
@@ -35,6 +37,35 @@ def s11_write_months(spark, sf):
     return spark.read.parquet(root).select("o_orderkey", "date", F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"))
 
 
+@query("select o_orderkey, cast(o_orderdate as date) as date, o_custkey from orders")
+def s11_committed_months(spark, sf):
+    """Parts by month and customer, committed by version: some months first and with one wrong
+    row each, then all as they are, which writes what is new or has changed."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"), "o_custkey")
+    store = Store(spark, scratch(spark, "months-store"), key="o_custkey", buckets=4)
+    early = orders.where("year(date) < 1994")
+    store.write(early.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 1000 == 0, -1).otherwise(F.col("o_orderkey"))))
+    store.write(orders)
+    return store.read(orders.schema)
+
+
+@query(f"""{FACTORS}, {WEALTH_TAIL} select f.permno, f.date, f.economic_series_ended, f.has_required_history, {sql_near('f.momentum')} as momentum, w.index_status, {sql_near('w.wealth_index')} as wealth_index
+  from factors f join wealth w on w.permno = f.permno and w.date = f.date""")
+def s15_incremental_run(spark, sf):
+    """Weeks one after the other: the first two with some wrong returns, then those mended and
+    the others added. Only what the changes reach is built again."""
+    panel, root = Run(spark, sf).run_panel, scratch(spark, "incremental")
+    rows = stored(spark, panel.select(*[c.split()[0] for c in mo.PANEL.split(", ")]), "incremental-panel")
+    given, factors, states = (Store(spark, f"{root}/{name}", period=Weeks, buckets=4) for name in ("panel", "factors", "states"))
+    wrong = F.when((F.col("permno") % 50 == 0) & (F.dayofmonth("date") == 9), 0.5).otherwise(F.col("ret_total_backtest"))
+    given.write(rows.where("date < '2024-01-15'").withColumn("ret_total_backtest", wrong))
+    mo.update(given, factors, states, LOOKBACK)
+    given.write(rows)
+    mo.update(given, factors, states, LOOKBACK)
+    found = factors.read(mo.FACTORS)
+    return found.select("permno", "date", "economic_series_ended", "has_required_history", near("momentum").alias("momentum"), "index_status", near("wealth_index").alias("wealth_index"))
+
+
 @query("select o_orderkey, o_custkey from orders")
 def s12_verify_written(spark, sf):
     path = scratch(spark, "verified")
@@ -42,6 +73,13 @@ def s12_verify_written(spark, sf):
     return spark.read.parquet(path)
 
 
+def stored(spark, df, name: str):
+    """``df``, written once to be read several times."""
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _published(r: Run) -> tuple[str, str]:
     root = scratch(r.spark, "runs")
     name = ta.run_id({"lookback": LOOKBACK, "horizon": HORIZON, **PLAN}, {"daily": r.daily, "history": r.history, "terminal": r.terminal})
