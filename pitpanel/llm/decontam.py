@@ -59,6 +59,8 @@ def hashes(codes: np.ndarray, mask: str) -> np.ndarray:
 
 
 SLOTS = 1 << 20
+#: Words of alignments that are compared at a time.
+CELLS = 1 << 20
 
 
 def masks(n: int) -> tuple[str, ...]:
@@ -114,24 +116,83 @@ def best_stretch(equal: np.ndarray, least: int = LEAST) -> tuple[int, int, int]:
     return begin, last + least, int(equal[begin : last + least].sum())
 
 
-def overlaps(text: str, block: Block) -> list[tuple[int, int, int, int]]:
-    """(item_id, begin, end, equal words) for each item with a stretch in the text; begin
-    and end count the text's words. One stretch per item, the one with most equal words."""
-    codes = np.fromiter(map(block.vocabulary.get, words_of(text.lower()), repeat(0)), np.uint64)
-    diagonals = set()
+def alignments(codes: np.ndarray, block: Block) -> Iterator[np.ndarray]:
+    """Item numbers and shifts (rows) at which a seed of the text is one of an item: in several
+    arrays, each of distinct alignments; two of them may share some. A shift is the place in
+    the text where the item's first word would stand."""
     for mask, sorted_h, owner, place, slots in block.seeds:
         h = hashes(codes, mask)
-        for p in np.flatnonzero(slots[h >> np.uint64(44)]).tolist():
-            a, b = np.searchsorted(sorted_h, h[p], "left"), np.searchsorted(sorted_h, h[p], "right")
-            diagonals.update(zip(owner[a:b].tolist(), (p - place[a:b]).tolist()))
-    best: dict[int, tuple[int, int, int, int]] = {}
-    for k, shift in sorted(diagonals):
-        item, own = block.items[k]
-        begin, end = max(0, shift), min(len(codes), shift + len(own))
-        a, b, same = best_stretch(codes[begin:end] == own[begin - shift : end - shift], min(LEAST, len(own)))
-        if b > a and (item not in best or same > best[item][3]):
-            best[item] = (item, begin + a, begin + b, same)
-    return [best[i] for i in sorted(best)]
+        at = np.flatnonzero(slots[h >> np.uint64(44)])
+        low, high = (np.searchsorted(sorted_h, h[at], side) for side in ("left", "right"))
+        at, low, high = at[high > low], low[high > low], high[high > low]
+        upto = np.cumsum(high - low)
+        begin = 0
+        while begin < len(at):
+            done = upto[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(upto, done + CELLS, "right")))
+            n = high[begin:end] - low[begin:end]
+            seed = np.repeat(high[begin:end] - np.cumsum(n), n) + np.arange(n.sum())
+            pairs = owner[seed] << 40 | (np.repeat(at[begin:end], n) - place[seed] + (1 << 39))
+            pairs = np.unique(pairs)
+            yield np.stack((pairs >> 40, (pairs & ((1 << 40) - 1)) - (1 << 39)), axis=1)
+            begin = end
+
+
+def stretches(codes: np.ndarray, block: Block, pairs: np.ndarray) -> np.ndarray:
+    """``item number, begin, end, equal words`` of the alignments that have a stretch as
+    ``best_stretch`` finds it, by sums that run over CELLS words of many alignments at once."""
+    numbers, which = np.unique(pairs[:, 0], return_inverse=True)
+    sizes = np.array([len(block.items[k][1]) for k in numbers])
+    order = np.argsort(sizes[which], kind="stable")
+    padded, out, a = np.append(codes, np.uint64(0)), [np.zeros((0, 4), np.int64)], 0
+    while a < len(order):
+        width = sizes[which[order[a:]]]
+        some = order[a : a + max(1, int((np.arange(1, len(width) + 1) * width <= CELLS).sum()))]
+        a += len(some)
+        used, row = np.unique(which[some], return_inverse=True)
+        wide = int(sizes[used].max())
+        words = np.zeros((len(used), wide), np.uint64)
+        for i, k in enumerate(used):
+            words[i, : sizes[k]] = block.items[numbers[k]][1]
+        words, at = words[row], pairs[some, 1][:, None] + np.arange(wide)
+        inside = (words > 0) & (at >= 0) & (at < len(codes))
+        equal = inside & (words == padded[np.where(inside, at, len(codes))])
+        # what lies outside costs more than all else can bring
+        worth = np.where(equal, round(100 * (1 - SHARE)), np.where(inside, -round(100 * SHARE), -100 * wide))
+        zero = np.zeros((len(some), 1), np.int64)
+        total, same = (np.concatenate((zero, np.cumsum(x, axis=1)), axis=1) for x in (worth, equal))
+        least = np.minimum(LEAST, sizes[which[some]])
+        for n in np.unique(least).tolist():
+            i = np.flatnonzero(least == n)
+            low = np.minimum.accumulate(total[i, : wide + 1 - n], axis=1)
+            gain = total[i, n:] - low
+            most = gain.max(axis=1)
+            i, low, gain, most = i[most >= 0], low[most >= 0], gain[most >= 0], most[most >= 0]
+            last = gain.shape[1] - 1 - np.argmax(gain[:, ::-1] == most[:, None], axis=1)
+            begin = np.argmax(total[i, : wide + 1 - n] == np.take_along_axis(low, last[:, None], 1), axis=1)
+            end, shift = last + n, pairs[some[i], 1]
+            r = np.arange(len(i))
+            out.append(np.stack((pairs[some[i], 0], shift + begin, shift + end, same[i][r, end] - same[i][r, begin]), axis=1))
+    return np.concatenate(out)
+
+
+def overlaps(text: str, block: Block, first: bool = False) -> list[tuple[int, int, int, int]]:
+    """(item_id, begin, end, equal words) for each item with a stretch in the text; begin
+    and end count the text's words. One stretch per item, the one with most equal words, of
+    several the first. With ``first`` it is enough to find one item."""
+    codes = np.fromiter(map(block.vocabulary.get, words_of(text.lower()), repeat(0)), np.uint64)
+    best, tried = np.zeros((0, 4), np.int64), np.zeros((0, 2), np.int64)
+    for pairs in alignments(codes, block):
+        if len(tried):
+            key = lambda x: x[:, 0] << 40 | (x[:, 1] + (1 << 39))
+            pairs = pairs[~np.isin(key(pairs), key(tried))]
+        tried = np.concatenate((tried, pairs))
+        found = np.concatenate((best, stretches(codes, block, pairs)))
+        found = found[np.lexsort((found[:, 1], -found[:, 3], found[:, 0]))]
+        best = found[np.unique(found[:, 0], return_index=True)[1]]
+        if first and len(best):
+            break
+    return sorted((block.items[k][0], a, b, n) for k, a, b, n in best.tolist())
 
 
 def word_count():
@@ -197,9 +258,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK
     )
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` that overlap no test item, with or without an id, with all their
-    columns. They are filtered where they lie, a pass for each block."""
+def short_items(benchmark: DataFrame, least: int) -> DataFrame:
+    """``item_id, text, n_words`` of the items of fewer than ``least`` words, on which
+    ``without_contaminated`` removes nothing."""
+    return benchmark.select("item_id", "text", word_count()(text_of()).alias("n_words")).where(F.col("n_words") < least)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, least: int = 1) -> DataFrame:
+    """The rows of ``docs`` that overlap no test item of at least ``least`` words, with or
+    without an id, with all their columns. They are filtered where they lie, a pass for each
+    block. ``short_items`` lists the items that are too short to remove documents for."""
+    if least > 1:
+        benchmark = benchmark.where(word_count()(text_of()) >= least)
     (mark,) = fresh(docs, "is_clean")
     for i, rows in enumerate(blocks(benchmark, block_words, unnamed=True)):
         if i:  # so that no worker holds more than one block
@@ -214,6 +284,6 @@ def clean_mark(shared):
 
     @F.pandas_udf("boolean")
     def mark(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: not overlaps(text, shared.value)).astype(bool)
+        return texts.map(lambda text: not overlaps(text, shared.value, first=True)).astype(bool)
 
     return mark

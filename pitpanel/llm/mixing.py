@@ -26,14 +26,14 @@ def words() -> Column:
     return F.regexp_count(text_of(), F.lit(f"({WORD})")).cast("long")
 
 
-def position() -> Column:
-    """A hash of ``BITS * LEVELS`` bits of a row's id and text."""
-    return F.conv(F.substring(row_key(), 1, BITS * LEVELS // 4), 16, 10).cast("long")
+def position(key: Column | str) -> Column:
+    """A hash of ``BITS * LEVELS`` bits: the first hexadecimal digits of a row's key."""
+    return F.conv(F.substring(key, 1, BITS * LEVELS // 4), 16, 10).cast("long")
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size, h``: words of the text and a hash of ``BITS * LEVELS`` bits."""
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words().alias("size"), position().alias("h"))
+    """``doc_id, source, size, key``: words of the text and the key of id and text."""
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words().alias("size"), row_key().alias("key"))
 
 
 def targets(per_source: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def targets(per_source: DataFrame) -> DataFrame:
     by_ratio = Window.orderBy("ratio", F.asc_nulls_last("source"))
     everything = Window.partitionBy(F.lit(1))
     level = (F.sum("source_size").over(everything) - F.sum("cap").over(by_ratio.rowsBetween(Window.unboundedPreceding, 0)) + F.col("cap")) / (
-        F.sum("w").over(by_ratio.rowsBetween(0, Window.unboundedFollowing))
+        F.sum("w").over(everything) - F.sum("w").over(by_ratio.rowsBetween(Window.unboundedPreceding, 0)) + F.col("w")
     )
     leveled = ranked.withColumn("level", level)
     common = F.max(F.when(F.col("ratio") > F.col("level"), F.col("level"))).over(everything)
@@ -92,26 +92,50 @@ def boundary(sizes: DataFrame, bounds: DataFrame, level: int) -> DataFrame:
     )
 
 
-def thresholds(sizes: DataFrame, budgeted: DataFrame) -> DataFrame:
-    """``source, below``: a document is taken once more if its hash is less than ``below``.
-
-    The finest boundary bucket goes in if the sum comes nearer to the budget with it.
-    """
+def edges(sizes: DataFrame, budgeted: DataFrame) -> DataFrame:
+    """``source, edge, copies``: rows whose key is less than ``edge`` are taken once more, and
+    so many of those that have this very key: as many as bring the sum nearest to the budget."""
+    hashed = sizes.withColumn("h", position("key"))
     bounds = budgeted.select("source", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"), "budget")
     for level in range(LEVELS):
-        bounds = stored(boundary(sizes, bounds, level), f"mix-bounds-{level}").select("source", "prefix", "before", "n", "budget")
-    nearer = F.col("before") + F.col("n") - F.col("budget") < F.col("budget") - F.col("before")
-    return bounds.select("source", (F.col("prefix") + F.when(nearer, 1).otherwise(0)).alias("below"))
+        bounds = stored(boundary(hashed, bounds, level), f"mix-bounds-{level}").select("source", "prefix", "before", "budget")
+    # the rows of one hash: copies of one row, and by chance a second key
+    last = hashed.alias("s").join(bounds.alias("b"), F.col("s.source").eqNullSafe(F.col("b.source")) & (F.col("s.h") == F.col("b.prefix")))
+    keys = last.groupBy(F.col("b.source").alias("source"), "s.key", "b.before", "b.budget").agg(F.first("s.size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    upto = F.col("before") + F.sum(F.col("size") * F.col("rows")).over(Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
+    crossed = keys.withColumn("upto", upto).where(F.col("upto") > F.col("budget"))
+    first = crossed.groupBy("source").agg(F.min(F.struct("key", "size", "budget", (F.col("upto") - F.col("size") * F.col("rows")).alias("before"))).alias("f")).select("source", "f.*")
+    left = F.col("budget") - F.col("before")
+    whole = F.floor(left / F.col("size"))
+    rest = left - whole * F.col("size")
+    copies = whole + F.when(F.col("size") - rest < rest, 1).otherwise(0)
+    return first.select("source", F.col("key").alias("edge"), copies.cast("long").alias("copies"))
 
 
 def plan(sizes: DataFrame) -> DataFrame:
-    """``source, source_size, target, times, below``: what the mix takes of each source."""
+    """``source, source_size, target, times, edge, copies``: what the mix takes of each source."""
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     budgeted = stored(budgets(targets(per_source)), "mix-budgets")
-    below = thresholds(sizes, budgeted)
-    joined = budgeted.alias("p").join(below.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")), "left")
+    joined = budgeted.alias("p").join(edges(sizes, budgeted).alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")), "left")
     # one row per source; Spark broadcasts it if it is small enough
-    return stored(joined.select("p.source", "p.source_size", "p.target", "p.times", F.coalesce("t.below", F.lit(0)).alias("below")), "mix-plan")
+    return stored(joined.select("p.source", "p.source_size", "p.target", "p.times", F.coalesce("t.edge", F.lit("")).alias("edge"), F.coalesce("t.copies", F.lit(0)).alias("copies")), "mix-plan")
+
+
+def first_copies(rows: DataFrame, same: list[str], variant: str, copies: str, name: str) -> DataFrame:
+    """``rows`` with ``name``: whether a row is one of the first ``copies`` of those that are
+    equal in ``same``, by ``variant``; rows of one variant are alike, so it doesn't matter
+    which of them these are. They are counted by file, and numbered in their file."""
+    rows = stored(rows, "mix-copies")
+    file, place, n, before, number = fresh(rows, "copy_file", "copy_place", "copy_n", "copy_before", "copy_number")
+    at = rows.select("*", F.col("_metadata.file_name").alias(file), F.col("_metadata.row_index").alias(place))
+    counts = at.groupBy(*same, variant, file).agg(F.count(F.lit(1)).alias(n))
+    earlier = Window.partitionBy(*same).orderBy(variant, file).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn(before, F.coalesce(F.sum(n).over(earlier), F.lit(0))).drop(n)
+    keys = [*same, variant, file]
+    renamed = offsets.toDF(*(f"{c}_of" if c in keys else c for c in offsets.columns))
+    numbered = at.withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(place)))
+    joined = numbered.join(renamed, [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in keys])
+    return joined.withColumn(name, F.col(before) + F.col(number) <= F.col(copies)).select(*rows.columns, name)
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -119,26 +143,34 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Sources are ordered by code point, null last, and weigh 1, 2, 3, repeating. ``taken``
     is ``size`` times the passes over the source, and once more below its threshold.
-    Null text: size 0. Repeated rows share a hash, so all of them are taken or none; all
-    of a run is a function of the rows, so reruns agree. A source without words has target
-    0. Other columns are ignored; an empty table gives an empty result.
+    Null text: size 0. Repeated rows share a key; if the budget runs out among them, so many
+    of them are taken once more as bring the sum nearest to it. All of a run is a function of
+    the rows, so reruns agree. A source without words has target 0. Other columns are
+    ignored; an empty table gives an empty result.
     """
     sizes = stored(sized(docs), "mix-sizes")
-    taken = F.col("s.size") * (F.col("p.times") + F.when(F.col("s.h") < F.col("p.below"), 1).otherwise(0))
-    return sizes.alias("s").join(plan(sizes).alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select(
-        "s.doc_id", "s.size", "p.source_size", "p.target", taken.cast("long").alias("taken")
-    )
+    joined = sizes.alias("s").join(plan(sizes).alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "p.source_size", "p.target", "p.times", "p.edge", "p.copies")
+    at_edge = F.col("key") == F.col("edge")
+    clear = joined.where(~at_edge).withColumn("more", F.col("key") < F.col("edge"))
+    some = first_copies(joined.where(at_edge).withColumn("variant", F.lit(0)), ["source"], "variant", "copies", "more").drop("variant")
+    taken = F.col("size") * (F.col("times") + F.col("more").cast("long"))
+    return clear.unionByName(some).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def take(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the mix takes, with all their columns and ``size`` and
-    ``taken``; columns of these names are replaced. Rows without words are never taken."""
+    ``taken``; columns of these names are replaced. Rows without words are never taken. Of
+    repeated rows among which a budget runs out, those come first whose other columns have
+    the smaller hash."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("size", "taken")])
     sizes = stored(sized(docs), "mix-sizes")
-    own, h, size, *theirs = fresh(docs, "mix_own", "mix_h", "mix_size", "mix_source", "mix_times", "mix_below")
-    parts = plan(sizes).select(*(F.col(c).alias(n) for c, n in zip(("source", "times", "below"), theirs)))
-    marked = docs.withColumns({own: F.col("source").cast("string"), size: words(), h: position()})
+    own, key, size, variant, more, *theirs = fresh(docs, "mix_own", "mix_key", "mix_size", "mix_variant", "mix_more", "mix_source", "mix_times", "mix_edge", "mix_copies")
+    parts = plan(sizes).select(*(F.col(c).alias(n) for c, n in zip(("source", "times", "edge", "copies"), theirs)))
+    marked = docs.withColumns({own: F.col("source").cast("string"), size: words(), key: row_key()})
     joined = marked.join(parts, F.col(own).eqNullSafe(F.col(theirs[0])))
-    taken = F.col(size) * (F.col(theirs[1]) + F.when(F.col(h) < F.col(theirs[2]), 1).otherwise(0))
-    out = joined.withColumns({"size": F.col(size), "taken": taken.cast("long")}).where("taken > 0")
-    return out.select(*docs.columns, "size", "taken")
+    at_edge = F.col(key) == F.col(theirs[2])
+    clear = joined.where(~at_edge).withColumn(more, F.col(key) < F.col(theirs[2]))
+    edge = joined.where(at_edge).withColumn(variant, F.xxhash64(*docs.columns))
+    taken = F.col(size) * (F.col(theirs[1]) + F.col(more).cast("long"))
+    out = clear.unionByName(first_copies(edge, [own], variant, theirs[3], more).drop(variant))
+    return out.withColumns({"size": F.col(size), "taken": taken.cast("long")}).where("taken > 0").select(*docs.columns, "size", "taken")

@@ -107,6 +107,9 @@ def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
     marks don't count."""
     spans = [(a, b, True) for a, _, b in known]
     ends, starts, words = [], [], []  # of the words that count
+    begins, reach = [], []  # of the entities by start, and how far those up to each one reach
+    for a, _, b in sorted(known):
+        begins.append(a), reach.append(max(b, reach[-1] if reach else b))
     for m in token.finditer(text):
         word = m.group()
         if w := bare(word):
@@ -114,7 +117,8 @@ def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
         if digit.search(word) or "@" in word:
             core = word.strip(MARKS)
             start = m.start() + len(word) - len(word.lstrip(MARKS))
-            if is_identifier(core) and not any(a < start + len(core) and start < b for a, _, b in known):
+            before = bisect_left(begins, start + len(core))  # entities that begin before the word ends
+            if is_identifier(core) and not (before and reach[before - 1] > start):
                 spans.append((start, start + len(core), False))
     out = []
     for a, b, seed in sorted(spans):

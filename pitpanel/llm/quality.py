@@ -88,16 +88,24 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return out
 
 
-def weight(docs_text: Column, ratio) -> Column:
-    """Log importance weight: the sum of log ratios over a text's n-grams; 0 without tokens."""
+def ordered(x: np.ndarray) -> np.ndarray:
+    """64-bit integers in the order of the doubles, equal for equal ones."""
+    bits = (np.asarray(x, np.float64) + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def weighed(docs_text: Column, ratio, noise: Column) -> Column:
+    """``log_weight``, the sum of log ratios over a text's n-grams (0 without tokens), and
+    ``level``, an integer in the order of the weight with its noise."""
+
+    @F.pandas_udf("log_weight double, level long")
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         codes = Codes()
-        for texts in batches:
-            yield pd.Series([float(ratio.value[buckets(text, codes)].sum()) for text in texts], dtype="float64")
+        for texts, noises in batches:
+            weights = np.array([float(ratio.value[buckets(text, codes)].sum()) for text in texts], np.float64)
+            yield pd.DataFrame({"log_weight": weights, "level": ordered(weights + noises.to_numpy(np.float64))})
 
-    return score(docs_text)
+    return score(docs_text, noise)
 
 
 def gumbel(key: Column) -> Column:
@@ -106,29 +114,25 @@ def gumbel(key: Column) -> Column:
     return -F.log(-F.log(u))
 
 
-#: Noisy log weights as whole numbers in their order: 48 bits hold +-2**22 to 2**-25.
-BOUND, STEPS, LEVEL_BITS, LEVELS = float(1 << 22), float(1 << 25), 12, 4
-
-
-def level_of(noisy: Column) -> Column:
-    inside = F.greatest(F.lit(-BOUND), F.least(F.lit(BOUND - 1.0), noisy))
-    return F.floor((inside + BOUND) * STEPS).cast("long")
+#: Levels are 64-bit integers; a histogram looks at so many of their bits at a time.
+LEVEL_BITS, LEVELS = 13, 5
 
 
 def kth_largest(keys: DataFrame, k: int) -> int:
-    """The k-th largest of column ``level`` (0 to 2**48 - 1) by nested histograms."""
+    """The k-th largest of column ``level``, any long, by nested histograms; the least long if
+    there are fewer."""
     prefix, above = 0, 0
     for level in range(LEVELS):
         shift = LEVEL_BITS * (LEVELS - 1 - level)
-        inside = keys.where(F.shiftright("level", shift + LEVEL_BITS) == prefix)
-        rows = inside.groupBy(F.shiftright("level", shift).alias("b")).count().collect()  # 4,096 rows at most
+        inside = keys.where(F.shiftright("level", shift + LEVEL_BITS) == prefix) if level else keys
+        rows = inside.groupBy(F.shiftright("level", shift).alias("b")).count().collect()  # 8,192 rows at most
         for b, n in sorted(((r["b"], r["count"]) for r in rows), reverse=True):
             if above + n >= k:
                 prefix = b
                 break
             above += n
         else:
-            return 0
+            return -(1 << 63)
     return prefix
 
 
@@ -144,8 +148,8 @@ def select(
 
     The target model is that of labelled documents of quality 1, the raw model that of all
     rows. Without a label of quality 1 there is no target and every row stays. Empty, null
-    or token-less texts weigh 0 and pass or fail like any other; rows that tie with the
-    k-th stay too; repeated rows share their noise. A column ``log_weight`` of ``docs`` is
+    or token-less texts weigh 0 and pass or fail like any other; weights are compared as the
+    doubles they are, however large; rows that tie with the k-th stay too; repeated rows share their noise. A column ``log_weight`` of ``docs`` is
     replaced. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -158,11 +162,11 @@ def select(
 
     kept = docs.columns if columns is None else [c for c in columns if c != "log_weight"]
     (level,) = fresh(docs, "level")
-    scored = docs.withColumn("log_weight", weight(text_of(), ratio))
-    scored = scored.withColumn(level, level_of(F.col("log_weight") + temperature * gumbel(row_key())))
-    scored = stored(scored.select(*kept, "log_weight", level), "quality-scores")
+    (both,) = fresh(docs, "weighed")
+    scored = docs.withColumn(both, weighed(text_of(), ratio, temperature * gumbel(row_key())))
+    scored = stored(scored.select(*kept, f"{both}.log_weight", F.col(f"{both}.level").alias(level)), "quality-scores")
     if k is None:
         share = fraction if fraction is not None else good / all_known if good else 1.0
         k = round(share * scored.count())
-    least = kth_largest(scored.select(F.col(level).alias("level")), k) if k > 0 else 1 << 60
+    least = kth_largest(scored.select(F.col(level).alias("level")), k) if k > 0 else (1 << 63) - 1
     return scored.where(F.col(level) >= least).drop(level)

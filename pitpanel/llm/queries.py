@@ -75,8 +75,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
-MIXING_SQL = r"""with s as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
-    cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, 9) as bigint) as h from documents),
+MIXING_SQL = r"""with s as (select row_number() over () as i, doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+    md5(coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')) as key from documents),
   p as (select source, cast(sum(size) as bigint) as source_size from s group by 1),
   w as (select *, source_size * 3 as cap, (row_number() over (order by source nulls last) - 1) % 3 + 1 as w from p),
   r as (select *, cast(cap as double) / w as ratio from w),
@@ -85,13 +85,10 @@ MIXING_SQL = r"""with s as (select doc_id, source, cast(len(regexp_extract_all(c
   c as (select *, max(case when ratio > level then level end) over () as common from l),
   t as (select source, source_size, case when common is null or ratio <= common then cast(cap as double) else w * common end as target from c),
   b as (select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as times from t),
-  g as (select source, h, sum(size) as n from s group by 1, 2),
-  u as (select g.source, g.h, g.n, b.target - b.times * b.source_size as budget, sum(g.n) over (partition by g.source order by g.h) as upto
-      from g join b on g.source is not distinct from b.source),
-  x as (select source, min(h) as edge, min_by(upto - n, h) as before, min_by(n, h) as n, any_value(budget) as budget from u where upto > budget group by 1),
-  y as (select source, edge + case when before + n - budget < budget - before then 1 else 0 end as below from x)
-select s.doc_id, s.size, b.source_size, b.target, cast(s.size * (b.times + case when s.h < coalesce(y.below, 0) then 1 else 0 end) as bigint) as taken
-from s join b on s.source is not distinct from b.source left join y on s.source is not distinct from y.source"""
+  u as (select s.*, b.source_size, b.target, b.times, b.target - b.times * b.source_size as budget,
+      sum(s.size) over (partition by s.source order by s.key, s.i rows unbounded preceding) as upto from s join b on s.source is not distinct from b.source)
+select doc_id, size, source_size, target,
+  cast(size * (times + case when upto <= budget or upto - budget < budget - (upto - size) then 1 else 0 end) as bigint) as taken from u"""
 
 LINES_SQL = """with d as (select row_number() over () as k, doc_id, source, text, string_split(text, chr(10)) as ls from documents),
   l as (select k, source, unnest(ls) as line, generate_subscripts(ls, 1) as place from d),

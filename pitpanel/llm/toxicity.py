@@ -37,8 +37,9 @@ CLASSES = 64
 #: Words of a window at most, and the length from which on it counts for the kernel.
 WORDS, SHORT = 3, 4
 LANDMARKS, ROUNDS, PENALTY = 512, 4, 0.3
-#: Labelled documents of each kind that are learned from, and the characters of the longest.
-DOCUMENTS, FIT_CHARS = 1_500, 200_000
+#: Labelled documents of each kind that are learned from, the characters of the longest,
+#: and the characters of all of them together.
+DOCUMENTS, FIT_CHARS, FIT_ALL = 1_500, 200_000, 24_000_000
 #: Windows that one toxic or clean document gives in a round, and clean ones that are kept.
 TOXIC_WINDOWS, CLEAN_WINDOWS, HARD = 3, 2, 6_000
 #: Decisions over which a word counts as a likely, a middling and a sure insult.
@@ -47,6 +48,11 @@ LIKELY, MIDDLING, SURE = 0.3, 0.5, 0.7
 CHUNK = 1 << 20
 
 PAIRS = [(a, b) for a in range(1, SPAN) for b in range(a + 1, SPAN)]
+#: Characters before a cut that are searched for a good one.
+LOOK = 1 << 16
+# White space as the classes have it; a gap stands between words of two letters or more.
+spoken = re.compile(r"[^\t-\r\x1c-\x20\x85\xa0]+")
+gap = re.compile(r"(?<=\w\w)[\t-\r\x1c-\x20\x85\xa0](?=\w\w)")
 single_letters = re.compile(r"(?<!\S)(\w) (?=\w(?!\w))")
 
 
@@ -157,8 +163,11 @@ class Model:
         middling ones, the largest decision and the second largest on a word."""
         words = likely = middling = sure = 0
         top, best = -1.0, [-1.0, -1.0]
-        for part in parts(text):
+        for part, lead, tail in parts(text):
             _, _, d, n = self.decisions(encode(part))
+            # each window counts once: where its last word is neither led in nor looked ahead at
+            last = np.concatenate([np.arange(k, n) for k in range(min(WORDS, n))]) if n else np.zeros(0, np.int64)
+            d, n = d[(last >= lead) & (last < n - tail)], max(0, n - lead - tail)
             if n:
                 one = d[:n]
                 words, likely, middling, sure = words + n, likely + int((one > LIKELY).sum()), middling + int((one > MIDDLING).sum()), sure + int((one > SURE).sum())
@@ -167,16 +176,26 @@ class Model:
         return [1.0, *np.log1p([likely, sure, share]).tolist(), min(top, 1.5), min(best[0], 1.5)]
 
 
-def parts(text: str) -> Iterator[str]:
-    """A text in stretches of about CHUNK characters, cut at spaces where there are any."""
-    begin = 0
+def parts(text: str) -> Iterator[tuple[str, int, int]]:
+    """A text in stretches of about CHUNK characters, and how many words at the beginning and
+    at the end of each are another's: the last WORDS - 1 words of the one before stand
+    before a stretch, so that windows over the cut are seen, and some characters behind it, so
+    that triples are. Cuts lie at white space between words of several letters, if there is
+    any; a word that is longer than a stretch is cut without either."""
+    begin = lead_at = 0
     while begin < len(text):
-        end = begin + CHUNK
+        end, spaced = begin + CHUNK, True
         if end < len(text):
-            cut = max(text.rfind(" ", begin, end), text.rfind("\n", begin, end))
-            end = cut if cut > begin else end
-        yield text[begin:end]
-        begin = end
+            cuts = [m.start() for m in gap.finditer(text, max(begin, end - LOOK), end)]
+            end, spaced = (cuts[-1], True) if cuts else (end, False)
+        ahead = text[end : end + 2 * SPAN] if spaced else ""
+        yield text[lead_at:end] + ahead, words_in(text[lead_at:begin]), words_in(ahead)
+        last = [m.start() for m in spoken.finditer(text, max(lead_at, end - LOOK), end)][1 - WORDS :] if spaced else []
+        begin, lead_at = end, last[0] if last else end
+
+
+def words_in(text: str) -> int:
+    return windows(encode(text))[2] if text else 0
 
 
 def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = PENALTY, rounds: int = 30) -> np.ndarray:
@@ -265,18 +284,25 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, documents: int = DOCUMENTS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, documents: int = DOCUMENTS, longest: int = FIT_CHARS, together: int = FIT_ALL) -> Model:
     """A model from labelled documents whose crc32(doc_id as text) mod 5 is not 0.
 
     Of each kind at most ``documents`` labelled ids, by hash, are learned from, one text for
-    each and none of over FIT_CHARS characters, so that what reaches the driver is bounded.
+    each, none of over ``longest`` characters and no more of them, by hash, than have
+    ``together`` characters, so that what reaches the driver is bounded.
     With labels of one kind only every text scores alike.
     """
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     pick = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
-    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(pick(0).unionByName(pick(1))), "doc_id").where(F.length("text") <= FIT_CHARS)
-    rows = stored(rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")), "toxicity-rows").orderBy("doc_id").collect()
+    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(pick(0).unionByName(pick(1))), "doc_id").where(F.length("text") <= longest)
+    rows = stored(rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")), "toxicity-rows")
+    kept, total = [], 0
+    for r in rows.select("doc_id", F.length("text").alias("n"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").collect():  # 2 * documents at most
+        total += r["n"]
+        if total <= together:
+            kept.append(r["doc_id"])
+    rows = rows.where(F.col("doc_id").isin(kept)).orderBy("doc_id").collect()
     y = np.array([r["y"] for r in rows], np.int64)
     if len(set(y.tolist())) < 2:
         flat = 3.0 if y.any() else -3.0
@@ -295,7 +321,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row. Null, empty and wordless texts
     get the score of a text without insults; repeated rows get equal scores; a null id is
-    not held out. Words of over CHUNK characters are seen in pieces. Other columns are
+    not held out. Texts of any length are read in stretches that overlap, so windows over a cut
+    count as all others; only words of over CHUNK characters are seen in pieces. Other columns are
     ignored; an empty table gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
