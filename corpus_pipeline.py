@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pitpanel.llm import decontam, linededup, mixing, quality, simhash
 from pitpanel.llm.common import fresh, row_key, stored, table
 
+#: Words of a test item that documents are removed for, at least: a word or two that occur
+#: in any text are no leak. ``decontam.short_items`` lists the items below it.
+SHORTEST = 5
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality sample holds, as they are."""
@@ -37,14 +41,16 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = keyed.join(kept.where(F.col(n) == 1).hint("merge"), same, "left_semi")
     several = kept.where(F.col(n) > 1)
     if not several.isEmpty():
-        # only repeated rows come here; each task leaves one of them before they are shuffled
-        out = out.unionByName(keyed.join(several.hint("merge"), same, "left_semi").dropDuplicates([key]))
+        # only repeated rows come here; each task leaves the least of them before they are
+        # shuffled, so that it doesn't depend on their order which one stays
+        least = keyed.join(several.hint("merge"), same, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias(n))
+        out = out.unionByName(least.select(key, f"{n}.*"))
     return out.drop(key)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no test item."""
-    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that overlap no test item of SHORTEST words or more."""
+    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"), least=SHORTEST)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
