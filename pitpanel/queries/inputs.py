@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import calendar as ca
+from ..operators import differences as di
 from ..operators import normalize as no
 from ..plans import windows as pl
 from ..schemas import DAILY, require_columns
@@ -35,9 +36,20 @@ def s3_require_columns(spark, sf):
     return require_columns(Run(spark, sf).daily, DAILY).select(*DAILY.names)
 
 
-@query("select count(*) as rows from orders")
+@query("""select year, rows, due as rows_due, rows is not distinct from due as agrees from
+  (select year(o_orderdate) as year, count(*) as rows, if(year(o_orderdate) % 2 = 0, count(*), count(*) - 1) as due from orders group by 1 union all select 1900, null, 5)""")
 def s4_file_counts(spark, sf):
-    return ta.file_counts(table(spark, sf, "orders")).agg(F.sum("rows").alias("rows"))
+    """A file for each year against a manifest that is one row off for every second year and
+    names a file that isn't there."""
+    root = scratch(spark, "years")
+    orders = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    orders.repartition("year").write.partitionBy("year").parquet(root)
+    found = spark.read.parquet(root)
+    files = found.groupBy(ta.file_name(2).alias("file"), F.col("year").cast("bigint").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    due = files.select("file", "year", (F.col("n") - F.when(F.col("year") % 2 == 0, 0).otherwise(1)).alias("rows"))
+    due = due.unionByName(spark.createDataFrame([("absent.parquet", 1900, 5)], "file string, year long, rows long"))
+    counts = ta.file_counts(found, due.select("file", "rows"), levels=2)
+    return counts.join(due.select("file", "year"), "file").select("year", "rows", "rows_due", "agrees")
 
 
 @query("select o_orderkey, cast(o_orderdate as date) as date, year(o_orderdate) as year, month(o_orderdate) as month from orders where o_orderdate >= date '1996-01-15' and o_orderdate < date '1996-07-11'")
@@ -193,6 +205,19 @@ def n10_bag_diff(spark, sf):
     return no.bag_diff(d.select("permno", "delist_flag"), d.select("permno", F.lit("N").alias("delist_flag")))
 
 
+CHANGED = "select l_orderkey, l_linenumber, year(l_shipdate) as year, if(l_orderkey % 997 = 5, l_quantity + 1, l_quantity) as quantity from lineitem where l_orderkey % 1009 <> 7"
+
+
+@query(f"""with a as (select l_orderkey, l_linenumber, year(l_shipdate) as year, l_quantity as quantity from lineitem), b as ({CHANGED})
+  select *, 1 as surplus, 'left' as side from (select * from a except all select * from b) x union all select *, -1, 'right' from (select * from b except all select * from a) y""")
+def n10_table_diff(spark, sf):
+    """Changed and lost rows by fingerprints of year and bucket; only differing buckets are read."""
+    year = F.year("l_shipdate").cast("bigint").alias("year")
+    a = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", year, F.col("l_quantity").alias("quantity"))
+    more = F.when(F.col("l_orderkey") % 997 == 5, F.col("quantity") + 1).otherwise(F.col("quantity"))
+    return di.table_diff(a, a.where("l_orderkey % 1009 <> 7").withColumn("quantity", more), ["year"], ["l_orderkey"])
+
+
 @query(f"{P} select permno, event_date, return_storage_date as storage, cast(null as varchar) as flag, true as has_storage, false as has_flag from terminal")
 def n11_optional_column(spark, sf):
     t = Run(spark, sf).terminal.withColumnRenamed("return_storage_date", "DelDlyDt")

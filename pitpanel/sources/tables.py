@@ -34,9 +34,15 @@ def read_panel(spark: SparkSession, root: str, year: int | None = None, month: i
     return df
 
 
-def file_counts(df: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+def file_name(levels: int = 1) -> Column:
+    """The last so many parts of a row's file path. Folders of partitions may hold files of the
+    same name; with the folders' levels the names differ."""
+    return F.array_join(F.slice(F.split(F.col("_metadata.file_path"), "/"), -levels, levels), "/")
+
+
+def file_counts(df: DataFrame, manifest: DataFrame | None = None, levels: int = 1) -> DataFrame:
     """Rows per file; with a manifest (``file, rows``) also whether they agree."""
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    name = file_name(levels)
     found = df.select(name.alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
     if manifest is None:
         return found
