@@ -240,9 +240,14 @@ def trained(htmls: list[str], seed: int = 3) -> Labeller:
 
 
 def sample(pages: DataFrame) -> list[str]:
-    """Pages to train on: those of least hash, SAMPLE at most of SAMPLE_CHARS at most."""
-    short = pages.where(F.length("html").between(1, SAMPLE_CHARS))
-    return [r[0] for r in short.select("html").orderBy(F.xxhash64("html"), "html").limit(SAMPLE).collect()]
+    """Pages to train on: those of least hash, SAMPLE distinct ones at most of SAMPLE_CHARS at
+    most. Only hashes are ordered, so no task sends pages that others outdo."""
+    short = pages.where(F.length("html").between(1, SAMPLE_CHARS)).select("html", F.xxhash64("html").alias("h"))
+    least = [r[0] for r in short.select("h").distinct().orderBy("h").limit(SAMPLE).collect()]
+    if not least:
+        return []
+    chosen = short.where(F.col("h") <= least[-1]).groupBy("h").agg(F.min("html").alias("html"))
+    return [r["html"] for r in sorted(chosen.collect(), key=lambda r: r["h"])]
 
 
 def main_text(found: list[Block], chosen: np.ndarray) -> str:
