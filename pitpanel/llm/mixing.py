@@ -94,7 +94,8 @@ def boundary(sizes: DataFrame, bounds: DataFrame, level: int) -> DataFrame:
 
 def edges(sizes: DataFrame, budgeted: DataFrame) -> DataFrame:
     """``source, edge, copies``: rows whose key is less than ``edge`` are taken once more, and
-    so many of those that have this very key: as many as bring the sum nearest to the budget."""
+    so many of those that have this very key: as many as bring the sum nearest to the budget.
+    ``copies`` is 0 unless it is some of several; all of them lie below a longer edge."""
     hashed = sizes.withColumn("h", position("key"))
     bounds = budgeted.select("source", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"), "budget")
     for level in range(LEVELS):
@@ -104,12 +105,13 @@ def edges(sizes: DataFrame, budgeted: DataFrame) -> DataFrame:
     keys = last.groupBy(F.col("b.source").alias("source"), "s.key", "b.before", "b.budget").agg(F.first("s.size").alias("size"), F.count(F.lit(1)).alias("rows"))
     upto = F.col("before") + F.sum(F.col("size") * F.col("rows")).over(Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
     crossed = keys.withColumn("upto", upto).where(F.col("upto") > F.col("budget"))
-    first = crossed.groupBy("source").agg(F.min(F.struct("key", "size", "budget", (F.col("upto") - F.col("size") * F.col("rows")).alias("before"))).alias("f")).select("source", "f.*")
+    first = crossed.groupBy("source").agg(F.min(F.struct("key", "size", "rows", "budget", (F.col("upto") - F.col("size") * F.col("rows")).alias("before"))).alias("f")).select("source", "f.*")
     left = F.col("budget") - F.col("before")
     whole = F.floor(left / F.col("size"))
     rest = left - whole * F.col("size")
-    copies = whole + F.when(F.col("size") - rest < rest, 1).otherwise(0)
-    return first.select("source", F.col("key").alias("edge"), copies.cast("long").alias("copies"))
+    copies = (whole + F.when(F.col("size") - rest < rest, 1).otherwise(0)).cast("long")
+    every = copies >= F.col("rows")
+    return first.select("source", F.when(every, F.concat("key", F.lit("~"))).otherwise(F.col("key")).alias("edge"), F.when(every, 0).otherwise(copies).alias("copies"))
 
 
 def plan(sizes: DataFrame) -> DataFrame:
@@ -149,12 +151,16 @@ def mix(docs: DataFrame) -> DataFrame:
     ignored; an empty table gives an empty result.
     """
     sizes = stored(sized(docs), "mix-sizes")
-    joined = sizes.alias("s").join(plan(sizes).alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "p.source_size", "p.target", "p.times", "p.edge", "p.copies")
-    at_edge = F.col("key") == F.col("edge")
-    clear = joined.where(~at_edge).withColumn("more", F.col("key") < F.col("edge"))
-    some = first_copies(joined.where(at_edge).withColumn("variant", F.lit(0)), ["source"], "variant", "copies", "more").drop("variant")
+    parts = plan(sizes)
+    joined = sizes.alias("s").join(parts.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "p.source_size", "p.target", "p.times", "p.edge", "p.copies")
+    more = F.col("key") < F.col("edge")
+    out = joined.withColumn("more", more)
+    if not parts.where("copies > 0").isEmpty():
+        some = (F.col("key") == F.col("edge")) & (F.col("copies") > 0)
+        few = first_copies(joined.where(some).withColumn("variant", F.lit(0)), ["source"], "variant", "copies", "more").drop("variant")
+        out = out.where(~some).unionByName(few)
     taken = F.col("size") * (F.col("times") + F.col("more").cast("long"))
-    return clear.unionByName(some).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def take(docs: DataFrame) -> DataFrame:
@@ -164,13 +170,15 @@ def take(docs: DataFrame) -> DataFrame:
     the smaller hash."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("size", "taken")])
     sizes = stored(sized(docs), "mix-sizes")
-    own, key, size, variant, more, *theirs = fresh(docs, "mix_own", "mix_key", "mix_size", "mix_variant", "mix_more", "mix_source", "mix_times", "mix_edge", "mix_copies")
+    own, key, variant, more, *theirs = fresh(docs, "mix_own", "mix_key", "mix_variant", "mix_more", "mix_source", "mix_times", "mix_edge", "mix_copies")
     parts = plan(sizes).select(*(F.col(c).alias(n) for c, n in zip(("source", "times", "edge", "copies"), theirs)))
-    marked = docs.withColumns({own: F.col("source").cast("string"), size: words(), key: row_key()})
-    joined = marked.join(parts, F.col(own).eqNullSafe(F.col(theirs[0])))
-    at_edge = F.col(key) == F.col(theirs[2])
-    clear = joined.where(~at_edge).withColumn(more, F.col(key) < F.col(theirs[2]))
-    edge = joined.where(at_edge).withColumn(variant, F.xxhash64(*docs.columns))
-    taken = F.col(size) * (F.col(theirs[1]) + F.col(more).cast("long"))
-    out = clear.unionByName(first_copies(edge, [own], variant, theirs[3], more).drop(variant))
-    return out.withColumns({"size": F.col(size), "taken": taken.cast("long")}).where("taken > 0").select(*docs.columns, "size", "taken")
+    source, times, edge, copies = (F.col(n) for n in theirs)
+    joined = docs.withColumns({own: F.col("source").cast("string"), key: row_key()}).join(parts, F.col(own).eqNullSafe(source))
+    out = joined.withColumn(more, F.col(key) < edge)
+    if not parts.where(copies > 0).isEmpty():
+        some = (F.col(key) == edge) & (copies > 0)
+        few = first_copies(joined.where(some).withColumn(variant, F.xxhash64(*docs.columns)), [own], variant, theirs[3], more).drop(variant)
+        out = out.where(~some).unionByName(few)
+    # the words are counted again only of rows that are taken
+    taken = out.where((times > 0) | F.col(more)).withColumn("size", words()).where("size > 0")
+    return taken.withColumn("taken", (F.col("size") * (times + F.col(more).cast("long"))).cast("long")).select(*docs.columns, "size", "taken")
