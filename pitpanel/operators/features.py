@@ -18,9 +18,14 @@ def build_features(factors: DataFrame, cal: DataFrame, offset: int, eval_end: st
     """Ordinary rows, ``offset`` sessions old at their decision and available by then, for
     decisions up to ``eval_end``. No column of an outcome is carried."""
     seen = asof_sessions(factors.where("delist_flag = 'N'"), cal, offset).where(F.col("decision_date") <= F.lit(eval_end).cast("date"))
+    return observed_at_decision(seen)
+
+
+def observed_at_decision(seen: DataFrame, *extra: str) -> DataFrame:
+    """The columns of features, after ``extra``, of rows that stand with their decision."""
     eligible = F.col("baseline_eligible_observed") & F.col("has_required_history")
     return seen.select(
-        "permno", "decision_date", "decision_time", F.col("date").alias("observation_date"), *OBSERVED,
+        *extra, "permno", "decision_date", "decision_time", F.col("date").alias("observation_date"), *OBSERVED,
         F.col("ret_total_for_signal").alias("observed_total_return"), "momentum", "has_required_history", "baseline_eligible_observed",
         eligible.alias("eligible_for_research"), "metadata_quality", "availability_basis", F.lit("APPROXIMATE_PIT").alias("pit_status"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.quality import first_match
@@ -32,8 +32,12 @@ def forward_window(panel: DataFrame, horizon: int) -> DataFrame:
 def build_labels(panel: DataFrame, cal: DataFrame, horizon: int, eval_end: str) -> DataFrame:
     """A label for each row whose horizon the calendar holds: a status, and a value and
     availability only where every session of the horizon was observed."""
-    windows = with_label_end(forward_window(panel, horizon), cal, horizon)
-    cut = F.col("label_end_date") > F.lit(eval_end).cast("date")
+    return labelled(with_label_end(forward_window(panel, horizon), cal, horizon), F.lit(horizon), F.lit(eval_end).cast("date"))
+
+
+def labelled(windows: DataFrame, horizon: Column, eval_end: Column, *extra: str) -> DataFrame:
+    """The columns of labels, after ``extra``, of rows with their forward windows."""
+    cut = F.col("label_end_date") > eval_end
     status = first_match(
         [
             (F.col("terminal_sessions") > 0, "TERMINAL_OUTCOME"),
@@ -47,7 +51,7 @@ def build_labels(panel: DataFrame, cal: DataFrame, horizon: int, eval_end: str)
     observed = F.col("label_status") == "OBSERVED_APPROXIMATE_AVAILABILITY"
     growth = F.when(F.col("loss_sessions") > 0, -1.0).otherwise(F.exp("forward_log") - 1)
     return windows.withColumn("label_status", status).select(
-        "permno", F.col("date").alias("decision_date"), "label_end_date", "label_end_time", "expected_available_at",
+        *extra, "permno", F.col("date").alias("decision_date"), "label_end_date", "label_end_time", "expected_available_at",
         F.when(observed, F.col("observed_available_at")).alias("available_at"), F.when(observed, growth).alias("forward_vendor_return"), "label_status",
         "observed_sessions", "valid_sessions", "terminal_sessions", "missing_return_sessions", "incomplete_return_sessions",
         cut.alias("period_end_truncated"), ((F.col("observed_sessions") < horizon) & ~cut).alias("has_session_gap"),

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from ..operators import calendar as ca
 from ..operators import differences as di
 from ..operators import normalize as no
+from ..operators import sweep as sw
 from ..plans import windows as pl
 from ..schemas import DAILY, require_columns
 from ..sources import extract as ex
 from ..sources import tables as ta
 from ..sources.shared import scratch
-from .base import B, END, FACTORS, P, Run, near, query, sql_near, table
+from .base import B, END, FACTORS, P, PANEL, Run, near, query, sql_near, table
 
 # fmt: off
 DAYS = ", ".join(DAILY.names)
@@ -345,19 +346,23 @@ def c9_session_gaps(spark, sf):
 
 CONFIGS = f"""configs as (select cast(user_id as bigint) as config_id, cast(date '2024-01-16' + cast(user_id % 8 as integer) as date) as eval_start, cast(date '2024-01-26' + cast(user_id % 3 as integer) as date) as eval_end,
   cast(2 + user_id % 9 as bigint) as lookback, cast(user_id % 5 as bigint) as training, cast(1 + user_id % 3 as bigint) as horizon, cast(1 as bigint) as lag, user_id % 2 = 0 as preopen from (select distinct user_id from events) u)"""
-PLANNED = f"""{P}, {CONFIGS}, o as (select c.*, lag + case when preopen then 1 else 0 end as off, s.session_index as ie, e.session_index as ee, s.decision_time as cutoff from configs c join calendar s on s.date = c.eval_start join calendar e on e.date = c.eval_end),
+PLAN_TAIL = """o as (select c.*, lag + case when preopen then 1 else 0 end as off, s.session_index as ie, e.session_index as ee, s.decision_time as cutoff from configs c join calendar s on s.date = c.eval_start join calendar e on e.date = c.eval_end),
   t as (select *, case when training > 0 then ie - horizon - off end as ilast, case when training > 0 then ie - horizon - off - training + 1 end as ifirst from o),
   p as (select *, coalesce(ifirst, ie) - off - lookback + 1 as ip from t),
   plans as (select p.*, a.date as process_start, b.date as training_start, c.date as training_end, case when a.date is null or a.date < date '2024-01-01' then 'NOT_ENOUGH_HISTORY' end as problem
     from p left join calendar a on a.session_index = p.ip left join calendar b on b.session_index = p.ifirst left join calendar c on c.session_index = p.ilast)"""
+PLANNED = f"{P}, {CONFIGS}, {PLAN_TAIL}"
 
 
-def _plans(r: Run):
+def _configs(users):
     u = F.col("user_id")
-    configs = table(r.spark, r.sf_dir, "events").select("user_id").distinct().select(
+    return users.distinct().select(
         u.cast("bigint").alias("config_id"), F.date_add(F.lit("2024-01-16").cast("date"), (u % 8).cast("int")).alias("eval_start"), F.date_add(F.lit("2024-01-26").cast("date"), (u % 3).cast("int")).alias("eval_end"),
         (2 + u % 9).alias("lookback"), (u % 5).alias("training"), (1 + u % 3).alias("horizon"), F.lit(1).cast("bigint").alias("lag"), (u % 2 == 0).alias("preopen"))
-    return pl.plan_windows(r.cal, configs, "2024-01-01", "2024-01-30")
+
+
+def _plans(r: Run):
+    return pl.plan_windows(r.cal, _configs(table(r.spark, r.sf_dir, "events").select("user_id")), "2024-01-01", "2024-01-30")
 
 
 @query(f"{PLANNED} select config_id, process_start, training_start, training_end, eval_start, eval_end, ee - ip + 1 as loaded_sessions from plans")
@@ -370,6 +375,50 @@ def c11_plan_checks(spark, sf):
     return _plans(Run(spark, sf)).select("config_id", "problem")
 
 
+# Many configurations at once; as many in any table, so that the result grows with the panel.
+SWEEP = 24
+SWEPT = f"""{PANEL}, {CONFIGS.replace("select distinct user_id from events", f"select distinct user_id % {SWEEP} as user_id from events")}, {PLAN_TAIL},
+  mine as (select p.config_id, p.lookback, p.horizon, p.off, p.eval_end, x.* from plans p join fullpanel x on x.session_index between p.ip and p.ee where p.problem is null)"""
+SWEPT_FACTORS = f"""{SWEPT},
+  ends as (select config_id, permno, min(date) as end_date from mine where delist_flag = 'Y' or ret_total_backtest = -1 group by all),
+  back as (select a.config_id, a.permno, a.date, count(b.ret_total_for_signal) = a.lookback as whole, product(1 + b.ret_total_for_signal) as growth
+    from mine a join mine b on b.config_id = a.config_id and b.permno = a.permno and b.session_index > a.session_index - a.lookback and b.session_index <= a.session_index
+    group by a.config_id, a.permno, a.date, a.lookback),
+  swept as (select m.*, b.growth - 1 as value, b.whole and not ifnull(m.date >= e.end_date, false) as has_required_history
+    from mine m join back b using (config_id, permno, date) left join ends e using (config_id, permno)),
+  decided as (select w.*, c.date as decision_date from swept w join calendar c on c.session_index = w.session_index + w.off
+    where w.delist_flag = 'N' and c.decision_time >= w.available_at and c.date <= w.eval_end)"""
+SWEPT_LABELS = f"""{SWEPT},
+  ahead as (select a.config_id, a.permno, a.date, a.session_index, a.horizon, a.eval_end, count(b.date) as observed_sessions, count(b.ret_total_for_signal) as valid_sessions,
+      count(*) filter (b.delist_flag = 'Y') as terminal_sessions, count(b.date) - count(b.ret_total) as missing_return_sessions, product(1 + b.ret_total_for_signal) as growth
+    from mine a left join mine b on b.config_id = a.config_id and b.permno = a.permno and b.session_index > a.session_index and b.session_index <= a.session_index + a.horizon
+    group by a.config_id, a.permno, a.date, a.session_index, a.horizon, a.eval_end),
+  named as (select a.*, c.date as label_end_date, case when terminal_sessions > 0 then 'TERMINAL_OUTCOME' when c.date > eval_end then 'PERIOD_END_TRUNCATED'
+      when observed_sessions < horizon then 'SESSION_GAP' when missing_return_sessions > 0 then 'MISSING_RETURN' when valid_sessions < horizon then 'INCOMPLETE_RETURN'
+      else 'OBSERVED_APPROXIMATE_AVAILABILITY' end as label_status
+    from ahead a join calendar c on c.session_index = a.session_index + a.horizon)"""
+
+
+def _swept(spark, sf):
+    """The running totals of the panel, the configurations by session, the calendar."""
+    r = Run(spark, sf)
+    configs = _configs(table(spark, sf, "events").select((F.col("user_id") % SWEEP).alias("user_id")))
+    wanted = sw.configured(pl.plan_windows(r.cal, configs, "2024-01-01", "2024-01-30"), configs, r.cal)
+    return sw.running(r.panel), wanted, r.cal
+
+
+@query(f"{SWEPT_FACTORS} select config_id, permno, decision_date, has_required_history, {sql_near('case when has_required_history then value end')} as momentum, baseline_eligible_observed and has_required_history as eligible_for_research from decided")
+def c10_sweep_features(spark, sf):
+    return sw.sweep_features(*_swept(spark, sf)).select("config_id", "permno", "decision_date", "has_required_history", near("momentum").alias("momentum"), "eligible_for_research")
+
+
+@query(f"""{SWEPT_LABELS} select config_id, permno, date as decision_date, label_end_date, label_status, observed_sessions, valid_sessions, terminal_sessions,
+  {sql_near("case when label_status = 'OBSERVED_APPROXIMATE_AVAILABILITY' then growth - 1 end")} as forward_vendor_return from named""")
+def c10_sweep_labels(spark, sf):
+    return sw.sweep_labels(*_swept(spark, sf)).select(
+        "config_id", "permno", "decision_date", "label_end_date", "label_status", "observed_sessions", "valid_sessions", "terminal_sessions", near("forward_vendor_return").alias("forward_vendor_return"))
+
+
 @query(f"""{PLANNED} select config_id, c.date, 'LOADED' as role from plans join calendar c on c.date between process_start and eval_end where problem is null
   union all select config_id, c.date, 'TRAINING' from plans join calendar c on c.date between training_start and training_end where problem is null
   union all select config_id, c.date, 'EVALUATION' from plans join calendar c on c.date between eval_start and eval_end where problem is null""")
