@@ -4,18 +4,21 @@ A text is a blob named by its SHA-256. However many paths, versions or copies ca
 blob, it is scanned once per rule version: the ledger keeps the pairs of blob and rule
 version that were scanned and what they gave. Each version of a corpus scans only the
 pairs that the ledger lacks, appends them, and joins the findings of the current rule
-versions back to all rows that carry the blob.
+versions back to all rows that carry the blob. ``StoredLedger`` keeps a ledger in a folder that
+later sessions open; ``Ledger`` is one of frames.
 Spans come from the pieces between matches: their lengths and those of the matches, summed
 in order, are the offsets.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import Conflict, Part, Store
 from .common import stored, text_of
 
 
@@ -125,14 +128,56 @@ def scan_new(docs: DataFrame, rules: tuple[Rule, ...] = RULES, pairs: DataFrame
     return Ledger(scanned, scan(texts, rules).select("blob", "rule", version.alias("version"), "start", "end"))
 
 
-def update(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: Ledger | None = None) -> Ledger:
-    """``ledger`` with what ``docs`` adds, which is written to the shared folder."""
+PAIRS = "blob binary, rule string, version int"
+FINDINGS = f"{PAIRS}, start long, end long"
+
+
+class StoredLedger(Store):
+    """A ledger in the folder ``root``, made of appends. Each writes its pairs and findings aside
+    and becomes part of the ledger by one commit, so a write that dies leaves the ledger as it
+    was. Of two that append at a time the second scans again what is still unseen, so no pair
+    is listed twice. An append adds two small folders; nothing merges them."""
+
+    def opened(self) -> tuple[int, int, Ledger]:
+        """The version, the number of appends, and the ledger as it stands."""
+        version, parts = self.ledger()
+
+        def frame(bucket: int, schema: str) -> DataFrame:
+            paths = [p.path for k, p in sorted(parts.items()) if k[1] == bucket]
+            return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+        return version, len(parts) // 2, Ledger(frame(0, PAIRS), frame(1, FINDINGS))
+
+    def update(self, docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> Ledger:
+        """Scan what ``docs`` adds, append it, and return the ledger with it."""
+        while True:
+            version, n, known = self.opened()
+            new = scan_new(docs, rules, known.pairs if n else None)
+            parts = {}
+            for bucket, (name, rows) in enumerate((("pairs", new.pairs), ("findings", new.findings))):
+                path = f"{self.root}/data/{uuid.uuid4().hex}-{name}"
+                rows.write.parquet(path)
+                parts[n, bucket] = Part(n, bucket, path, 0, 0, "0", name)
+            if self.spark.read.schema(PAIRS).parquet(parts[n, 0].path).isEmpty():
+                return known
+            try:
+                self.commit(version, parts)
+            except Conflict:
+                continue
+            return self.opened()[2]
+
+
+def update(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: Ledger | StoredLedger | None = None) -> Ledger:
+    """``ledger`` with what ``docs`` adds, which a stored ledger keeps; else it is written to the
+    shared folder."""
+    if isinstance(ledger, StoredLedger):
+        return ledger.update(docs, rules)
     new = scan_new(docs, rules, ledger.pairs if ledger else None)
     new = Ledger(stored(new.pairs, "ledger-pairs"), stored(new.findings, "ledger-findings"))
     return Ledger(ledger.pairs.unionByName(new.pairs), ledger.findings.unionByName(new.findings)) if ledger else new
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: Ledger | None = None) -> DataFrame:
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: Ledger | StoredLedger | None = None) -> DataFrame:
     """``doc_id, n_<rule>..., base_sha256, spans`` for each row of ``docs``, by the findings
     that ``ledger`` holds and those of the pairs that it lacks.
 

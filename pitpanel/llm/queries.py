@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import scratch
 from . import blobscan, decontam, extraction, linededup, media, mixing, phrases, pii, quality, simhash, tokens, toxicity, vectorcodes
 from .common import table
 
@@ -44,11 +45,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An earlier version of the corpus, about half of its rows, is scanned first; the whole
-    corpus then scans only what that ledger lacks."""
+    """An earlier version of the corpus, about half of its rows, is scanned into a stored ledger
+    first; the whole corpus then opens it and scans only what it lacks."""
     docs = table(spark, sf_dir, "documents")
     earlier = docs.where(F.xxhash64("doc_id") % 2 == 0)
-    return blobscan.find_secrets(docs, ledger=blobscan.update(earlier))
+    root = scratch(spark, "blob-ledger")
+    blobscan.StoredLedger(spark, root).update(earlier)
+    return blobscan.find_secrets(docs, ledger=blobscan.StoredLedger(spark, root))
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -673,6 +673,50 @@ def test_ledger_scans_only_unseen_pairs(spark, monkeypatch, bits):
     assert sorted(map(str, blobscan.find_secrets(both, newer, ledger).collect())) == sorted(map(str, blobscan.find_secrets(both, newer).collect()))
 
 
+def test_stored_ledger_lasts(spark, tmp_path, monkeypatch):
+    """Opened by another session, after a write that died, and by two writers at a time."""
+    root = str(tmp_path / "ledger")
+    first = frame(spark, [(1, SECRETS[0], "a"), (2, "plain", "a")])
+    both = first.unionByName(frame(spark, [(3, SECRETS[1], "a"), (4, SECRETS[0], "b"), (5, None, "b")]))
+    names = [r.name for r in blobscan.RULES]
+    sha = lambda *texts: {hashlib.sha256((t or "").encode()).hexdigest() for t in texts}
+    due = lambda *texts: sorted((b, n, 1) for b in sha(*texts) for n in names)
+    assert pairs_of(blobscan.StoredLedger(spark, root).opened()[2].pairs) == []
+    blobscan.StoredLedger(spark, root).update(first)
+    other = spark.newSession()
+    assert pairs_of(blobscan.StoredLedger(other, root).opened()[2].pairs) == due(SECRETS[0], "plain")
+
+    again = other.createDataFrame(both.collect(), both.schema)
+    dead = blobscan.StoredLedger(other, root)
+    monkeypatch.setattr(dead, "commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        dead.update(again)
+    assert blobscan.StoredLedger(other, root).opened()[1] == 1
+
+    slow, scanned = blobscan.StoredLedger(other, root), []
+    plain_scan, plain_commit = blobscan.scan_new, slow.commit
+
+    def commit(version, parts):
+        monkeypatch.setattr(slow, "commit", plain_commit)
+        blobscan.StoredLedger(spark, root).update(frame(spark, [(9, SECRETS[1], "c")]))
+        return plain_commit(version, parts)
+
+    def scan_new(*args):
+        new = plain_scan(*args)
+        scanned.append(pairs_of(new.pairs))
+        return new
+
+    monkeypatch.setattr(slow, "commit", commit)
+    monkeypatch.setattr(blobscan, "scan_new", scan_new)
+    whole = slow.update(again)
+    assert scanned == [due(SECRETS[1], ""), due(SECRETS[1]), due("")]
+    assert pairs_of(whole.pairs) == due(SECRETS[0], "plain", SECRETS[1], "")
+    assert whole.findings.count() == whole.findings.distinct().count() > 0
+    ledger = blobscan.StoredLedger(spark, root)
+    assert sorted(map(str, blobscan.find_secrets(both, ledger=ledger).collect())) == sorted(map(str, blobscan.find_secrets(both).collect()))
+    assert ledger.opened()[1] == 3  # nothing new, nothing appended
+
+
 def test_secrets_query_equals_one_scan(spark):
     from pitpanel.llm import queries
 
