@@ -11,6 +11,7 @@ from ..operators import events as ev
 from ..operators import joins as jo
 from ..operators import normalize as no
 from ..operators import panel as pa
+from ..operators.cover import disjoint_cover
 from .base import AUDIT, B, COMMON, END, HORIZON, KNOWN, OFFSET, P, PANEL, PLAN, PRIMARY, RETURN_FAULTS, SUPPORTED, Run, first_of, near, query, span, sql_near
 
 # fmt: off
@@ -30,6 +31,15 @@ def j1_carried_join(spark, sf):
     return jo.carried_join(r.facts(), r.intervals()).select("permno", "date", "order_id", "line_id", "quantity", "valid_from", "attribute")
 
 
+@query(f"""{BUSY_SQL}, held as (select *, ifnull(valid_to, {END}) as till from spells where ifnull(valid_to, {END}) >= valid_from),
+  bounds as (select permno, valid_from as begins from held union select permno, till + 1 from held where till < {END}),
+  pieces as (select permno, begins, lead(begins) over (partition by permno order by begins) - 1 as ends from bounds)
+  select p.permno, p.begins as valid_from, cast(p.ends as date) as valid_to, count(*) as covers, max_by(h.spell, row(h.valid_from, h.till, h.spell)) as spell
+  from pieces p join held h on h.permno = p.permno and h.valid_from <= p.begins and h.till >= p.begins group by p.permno, p.begins, p.ends""")
+def n9_disjoint_cover(spark, sf):
+    return disjoint_cover(busy_table(spark, sf, "spells")).select("permno", "valid_from", "valid_to", "covers", "spell")
+
+
 @query(f"""{BUSY_SQL}, pairs as (select v.permno, v.date, s.spell from visits v left join spells s on s.permno = v.permno and s.valid_from <= v.date and (s.valid_to is null or v.date <= s.valid_to))
   select permno, year(date) as year, count(*) as rows, count(spell) as matches, cast(sum(spell) as bigint) as spells from pairs group by permno, year(date)""")
 def j1_busy_keys(spark, sf):
