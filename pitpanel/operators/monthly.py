@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import ContractError
+from ..sources.shared import stored
 from ..sources.store import Key, Store
 from . import index as ix
 from . import segments as sg
@@ -51,16 +53,18 @@ def merged(df: DataFrame, states: dict, before: DataFrame) -> tuple[DataFrame, D
     return df.join(earlier.hint("merge"), [sg.KEY, "_segment"], "left"), after
 
 
-def built(rows: DataFrame, halo: DataFrame, before: DataFrame, lookback: int) -> tuple[DataFrame, DataFrame]:
+def built(rows: DataFrame, halo: DataFrame, before: DataFrame, lookback: int, keep: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Factors of panel rows with ``_segment``, given the factors of the last sessions before and
-    the states there; and the states after each segment, of entities that have rows in it."""
-    ended, after_end = merged(rows, {"_ended": (F.bool_or(sg.ending()), "bool_or")}, before)
-    first, after_seed = merged(sg.ended_after(ended).drop("_ended"), {"_seed": (F.min(ix.seedable()), "min"), "_last": (F.max("session_index"), "max")}, before)
-    marked, steps = sg.seeded(first), ix.steps()
+    the states there; and the states after each segment, of entities that have rows in it.
+    ``keep`` writes a step's rows, as each of the next ones reads them twice or more."""
+    found, after_end = merged(rows, {"_ended": (F.bool_or(sg.ending()), "bool_or")}, before)
+    ended = keep(sg.ended_after(found).drop("_ended"), "ended")
+    first, after_seed = merged(ended, {"_seed": (F.min(ix.seedable()), "min"), "_last": (F.max("session_index"), "max")}, before)
+    marked, steps = keep(sg.seeded(first), "seeded"), ix.steps()
     summed, after_sum = merged(marked, {n + "_before": (F.sum(step), "sum") for n, step in steps.items()}, before)
     path = ix.path_of(sg.totals(summed, steps))
     # momentum looks back over all rows at hand; those of the halo only lend their returns
-    own = sg.ended_after(ended).select("permno", "date", "session_index", "ret_total_for_signal", "economic_series_ended", F.lit(False).alias("_halo"))
+    own = ended.select("permno", "date", "session_index", "ret_total_for_signal", "economic_series_ended", F.lit(False).alias("_halo"))
     lent = halo.select("permno", "date", "session_index", "ret_total_for_signal", "economic_series_ended", F.lit(True).alias("_halo"))
     factors = sg.windowed(own.unionByName(lent).withColumn("_segment", F.lit(0)), lookback).drop("_segment")
     out = factors.join(path.drop("session_index"), ["permno", "date"])
@@ -101,11 +105,13 @@ def update(panel: Store, factors: Store, states: Store, lookback: int) -> set[Ke
         first = rows.agg(F.min("session_index")).first()[0]
         halo = factors.read(FACTORS, [(p, b) for p in past[-lookback:] for b in buckets]) if first is not None else factors.read(FACTORS, [])
         halo = halo.where(F.col("session_index") > F.lit(first) - lookback)
-        out, after = built(rows, halo, before, lookback)
+        keep = lambda df, name: stored(panel.spark, df, f"monthly-{name}")
+        out, after = built(rows, halo, before, lookback, keep)
         dense = every_period(after, [start - 1, *now]).where(F.col("_segment") >= start)
         notes = {k: due[k] for k in keys}
-        factors.write(out.select(*[c.split()[0] for c in FACTORS.split(", ")]), keys, notes)
+        # a store reads what it is given twice: for the fingerprints and to write
+        factors.write(keep(out.select(*[c.split()[0] for c in FACTORS.split(", ")]), "factors"), keys, notes)
         dated = dense.withColumn("date", panel.period.first(F.col("_segment")))  # stands for its period
-        states.write(dated.select(*[c.split()[0] for c in STATE.split(", ")]), keys, notes)
+        states.write(keep(dated.select(*[c.split()[0] for c in STATE.split(", ")]), "states"), keys, notes)
         built_keys |= set(keys)
     return built_keys
